@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -401,60 +400,97 @@ def upsert_papers(papers: DataFrame, target: DataFrame, links: DataFrame) -> tup
 _PERSON = ["name", "email", "institution", "orcid", "rank"]
 
 
-def _merge_people(incoming: pd.DataFrame, existing: pd.DataFrame) -> pd.DataFrame:
-    """Apply the contributors of one document to the rows of its simulation."""
-    people = [dict(r, touched=False) for r in existing.sort_values("id").to_dict("records")]
-    for r in people:
-        r["doc"] = r["pos"] = 0
-    for r in incoming.sort_values(["doc", "pos"]).to_dict("records"):
-        field = next(f for f in ("orcid", "email", "name") if r[f])
-        hit = next((p for p in people if p[field] == r[field]), None)
-        if hit is None:
-            hit = {"id": 0, "simulation_id": r["simulation_id"], "doc": r["doc"], "pos": r["pos"]}
-            people.append(hit)
-        hit.update({f: r[f] for f in _PERSON}, touched=True)
-    out = pd.DataFrame(people, columns=["id", "simulation_id", *_PERSON, "doc", "pos", "touched"])
-    return out[out["touched"]].drop(columns="touched")
-
-
-def upsert_contributors(contributors: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """New table, actions and rejects.
-
-    The key is ORCID, else e-mail, else name, row by row, and a row may change
-    what a later one of the same document finds.  That makes it sequential
-    within a simulation, whose people come from one array of one document.
+def _apply_people(existing: Column, incoming: Column) -> Column:
+    """Fold the contributors of a document into the rows of its simulation."""
+
+    def same(held: Column, new: Column) -> Column:
+        return (
+            F.when(new["orcid"] != "", held["orcid"] == new["orcid"])
+            .when(new["email"] != "", held["email"] == new["email"])
+            .otherwise(held["name"] == new["name"])
+        )
+
+    def written(id_: Column, pos: Column, new: Column) -> Column:
+        return F.struct(
+            id_.alias("id"), pos.alias("pos"), *[new[f].alias(f) for f in _PERSON], F.lit(True).alias("touched")
+        )
+
+    def step(people: Column, new: Column) -> Column:
+        at = F.array_position(F.transform(people, lambda held: F.coalesce(same(held, new), F.lit(False))), F.lit(True))
+        replaced = F.transform(
+            people, lambda held, i: F.when(i + 1 == at, written(held["id"], held["pos"], new)).otherwise(held)
+        )
+        added = F.concat(people, F.array(written(F.lit(0).cast("long"), new["pos"], new)))
+        return F.when(at > 0, replaced).otherwise(added)
+
+    return F.aggregate(incoming, existing, step)
+
+
+def upsert_contributors(
+    docs: DataFrame, target: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """New table, actions, rejected contributors and deferred documents.
+
+    ``docs`` has (doc, simulation_id, contributors), the last being the array
+    of structs (name, email, institution, orcid, rank) of the document.  The
+    key is ORCID, else e-mail, else name, and a contributor may change what a
+    later one finds.  That order matters only inside one array of one document,
+    so it is folded there, in built-in functions.  The rows of a simulation
+    were themselves written from such arrays, which bounds the list they are
+    folded into.  A second document of a simulation is deferred.
     """
-    empty = F.lit("")
-    rows = contributors.select(
-        *ORDER, "simulation_id",
-        *[F.coalesce(c, empty).alias(c) for c in ("name", "email", "institution", "orcid")],
-        F.coalesce(F.col("rank"), F.col("pos") + 1).cast("int").alias("rank"),
+    firsts = docs.groupBy("simulation_id").agg(F.min("doc").alias("__first"))
+    marked = docs.join(firsts, "simulation_id")
+    now, deferred = marked.where(F.col("doc") == F.col("__first")), marked.where(F.col("doc") != F.col("__first"))
+    text_or_empty = lambda c: F.coalesce(c, F.lit("")).alias
+    people = F.transform(
+        F.col("contributors"),
+        lambda p, i: F.struct(
+            i.cast("long").alias("pos"),
+            *[text_or_empty(p[f])(f) for f in ("name", "email", "institution", "orcid")],
+            F.coalesce(p["rank"], i + 1).cast("int").alias("rank"),
+        ),
+    )
+    named = lambda p: (p["orcid"] != "") | (p["email"] != "") | (p["name"] != "")
+    rows = now.select("doc", "simulation_id", people.alias("people"))
+    rejects = rows.select("doc", "simulation_id", F.inline(F.filter("people", lambda p: ~named(p))))
+    held = target.join(now.select("simulation_id"), "simulation_id", "left_semi").groupBy("simulation_id").agg(
+        F.sort_array(
+            F.collect_list(
+                F.struct(
+                    "id", F.lit(-1).cast("long").alias("pos"), *_PERSON[:-1], F.col("rank").cast("int").alias("rank"),
+                    F.lit(False).alias("touched"),
+                )
+            )
+        ).alias("existing")
     )
-    named = (F.col("orcid") != "") | (F.col("email") != "") | (F.col("name") != "")
-    good = rows.where(named)
-    touched = target.join(good.select("simulation_id").distinct(), "simulation_id", "left_semi")
-    merged = good.groupBy("simulation_id").cogroup(
-        touched.select("id", "simulation_id", *_PERSON).groupBy("simulation_id")
-    ).applyInPandas(
-        _merge_people,
-        "id long, simulation_id long, name string, email string, institution string, orcid string, rank int, doc long, pos long",
+    none = F.array().cast(held.schema["existing"].dataType)
+    folded = rows.join(held, "simulation_id", "left").select(
+        "doc", "simulation_id",
+        F.inline(_apply_people(F.coalesce("existing", none), F.filter("people", named))),
     )
-    fresh = number_rows(merged, [F.col("id") > 0, *ORDER, "id"], "__no")
+    done = folded.where("touched").drop("touched")
+    updates = done.where("id > 0").select("id", "simulation_id", *_PERSON)
     start = _max_id(target, "id")
-    final = fresh.select(
-        F.when(F.col("id") > 0, F.col("id")).otherwise(F.col("__no") + start).alias("id"), "simulation_id", *_PERSON,
-        F.when(F.col("id") > 0, "update").otherwise("insert").alias("action"),
+    inserts = number_rows(done.where("id = 0"), ORDER, "__no").select(
+        (F.col("__no") + start).alias("id"), "simulation_id", *_PERSON
     )
-    kept = target.join(final.where("action = 'update'").select("id"), "id", "left_anti")
-    before = target.select("id", *[F.col(c).alias(f"__{c}") for c in _PERSON])
-    changed = F.lit(False)
+    new = updates.select("id", F.struct(*_PERSON).alias("__new"))
+    both = target.join(new, "id", "left")
+    table = both.select(
+        *[
+            (F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)) if c in _PERSON else F.col(c)).alias(c)
+            for c in target.columns
+        ]
+    ).unionByName(inserts, allowMissingColumns=True)
+    differs = F.lit(False)
     for c in _PERSON:
-        changed = changed | ~F.col(c).eqNullSafe(F.col(f"__{c}"))
-    actions = final.join(before, "id", "left").where((F.col("action") == "insert") | changed).drop(
-        *[f"__{c}" for c in _PERSON]
+        differs = differs | ~F.col(c).eqNullSafe(F.col(f"__new.{c}"))
+    changed = both.where(F.col("__new").isNotNull() & differs).select(
+        "id", "simulation_id", "__new.*", F.lit("update").alias("action")
     )
-    table = kept.unionByName(final.drop("action"), allowMissingColumns=True)
-    return table, actions, rows.where(~named)
+    actions = changed.unionByName(inserts.withColumn("action", F.lit("insert")))
+    return table, actions, rejects, deferred.drop("__first")
 
 
 # --- reprocessing ----------------------------------------------------------
