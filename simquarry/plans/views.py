@@ -242,10 +242,12 @@ from events"""
 def closure(text: str, known: dict[str, str]) -> list[str]:
     """Views named in a text and, below them, the ones they need, in order."""
     out: list[str] = []
+    open_: set[str] = set()
 
     def visit(sql: str) -> None:
         for name in re.findall(r"\bv_\w+\b", sql):
-            if name in known and name not in out:
+            if name in known and name not in out and name not in open_:
+                open_.add(name)
                 visit(known[name])
                 out.append(name)
 
@@ -273,6 +275,7 @@ def query(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 def oracle(sql: str, extra: dict[str, str] | None = None) -> str:
     """The DuckDB text of a query over the views; ``extra`` adds local ones."""
     known = {**VIEWS, **DUCK, **(extra or {})}
-    ctes = [f"{v} as ({known[v]})" for v in closure(sql, known)]
-    head = "with recursive" if re.search(r"--\s*recursive", sql) else "with"
+    views = closure(sql, known)
+    ctes = [f"{v} as ({known[v]})" for v in views]
+    head = "with recursive" if any(re.search(rf"\b{v}\b", known[v]) for v in views) else "with"
     return f"{head} {', '.join(ctes)} {sql}" if ctes else sql
