@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simquarry.functions import fixed_values as fv
-from simquarry.functions import text
+from simquarry.functions import rules, text
 from simquarry.functions.text import blank
 from simquarry.operators.intake import as_time
 from simquarry.operators.ranking import number_rows
+from simquarry.session import freeze
 
 ORDER = ("doc", "pos")
 
@@ -60,16 +61,24 @@ def upsert(
     insert only, from the first incoming row.
     """
     when = F.struct(*order)
+    unknown = rules.any_of([F.col(k).isNull() for k in keys])
+    # A row with a NULL in its key is a group of its own.  One struct a group
+    # of columns keeps the number of aggregates small.
     grouped = (
-        source.withColumn("__key", _group_key(keys, order))
-        .groupBy("__key")
+        source.withColumn("__alone", F.when(unknown, when))
+        .groupBy(*keys, "__alone")
         .agg(
             F.min(when).alias("__first"),
-            *[F.first(k).alias(k) for k in keys],
-            *[F.max_by(c, when).alias(c) for c in update],
+            *([F.max(F.struct(when.alias("__w"), *update)).alias("__u")] if update else []),
+            *([F.min(F.struct(when.alias("__w"), *first, *[F.col(c).alias(f"__raw_{c}") for c in fill])).alias("__f")]
+              if [*first, *fill] else []),
             *[F.max_by(c, F.when(~blank(F.col(c)), when)).alias(c) for c in fill],
-            *[F.min_by(c, when).alias(f"__raw_{c}") for c in fill],
-            *[F.min_by(c, when).alias(c) for c in first],
+        )
+        .select(
+            _group_key(keys, [f"__first.{o}" for o in order]).alias("__key"), "__first", *keys,
+            *[F.col(f"__u.{c}").alias(c) for c in update],
+            *fill, *[F.col(f"__f.__raw_{c}").alias(f"__raw_{c}") for c in fill],
+            *[F.col(f"__f.{c}").alias(c) for c in first],
         )
     )
     held = [*update, *fill]
@@ -82,7 +91,8 @@ def upsert(
     for k in keys:
         cond = F.col(k) == F.col(f"__k_{k}")
         same = cond if same is None else same & cond
-    matched = grouped.join(old, same, "left").drop(*[f"__k_{k}" for k in keys])
+    # Updates and inserts come from one evaluation of the source.
+    matched = freeze(grouped.join(old, same, "left").drop(*[f"__k_{k}" for k in keys]))
 
     # Inserts, numbered after the greatest id.
     fresh = number_rows(matched.where(F.col("__old").isNull()), ["__first"], "__no")
@@ -378,7 +388,8 @@ def upsert_papers(papers: DataFrame, target: DataFrame, links: DataFrame) -> tup
         *groups.columns, "__id",
         F.when(F.col("__id").isNull() & (F.col("__doi.__first") < F.col("__first")), F.col("__doi.__key")).alias("__via"),
     )
-    every = with_doi.withColumn("__via", F.lit(None).cast("string")).unionByName(without)
+    # Numbers, ids and links all start from this one set.
+    every = freeze(with_doi.withColumn("__via", F.lit(None).cast("string")).unionByName(without))
     fresh = number_rows(every.where("__id is null and __via is null"), ["__first"], "__no").withColumn(
         "id", (F.col("__no") + _max_id(target, "id")).cast(target.schema["id"].dataType)
     )
@@ -469,7 +480,7 @@ def upsert_contributors(
         "doc", "simulation_id",
         F.inline(_apply_people(F.coalesce("existing", none), F.filter("people", named))),
     )
-    done = folded.where("touched").drop("touched")
+    done = freeze(folded.where("touched").drop("touched"))
     updates = done.where("id > 0").select("id", "simulation_id", *_PERSON)
     start = _max_id(target, "id")
     inserts = number_rows(done.where("id = 0"), ORDER, "__no").select(

@@ -18,22 +18,16 @@ def filter_files(df: DataFrame, regex: str | None, col: str = "name") -> DataFra
 
 
 # --- parts and batches -----------------------------------------------------
-def _numbered_entries(col: str) -> Column:
-    """The packed string as an array of (part number, entry, landing name)."""
-    return F.transform(
-        F.split(col, ";"),
-        lambda e, i: F.struct(
-            (i + 1).alias("part_num"),
-            e.alias("entry"),
-            text.landing_name(F.get(F.split(e, ":"), 1)).alias("landing"),
-        ),
-    )
+def _landing(entry: Column) -> Column:
+    return text.landing_name(F.get(F.split(entry, ":"), 1))
 
 
 def number_parts(ticket: DataFrame, wanted: Sequence[str] | None = None, col: str = "irods_tickets") -> DataFrame:
     """Parts with their number in the full list, then filtered by name."""
-    parts = ticket.where(~text.blank(F.col(col))).select(
-        F.col("id").alias("ticket_id"), F.inline(_numbered_entries(col))
+    parts = (
+        ticket.where(~text.blank(F.col(col)))
+        .select(F.col("id").alias("ticket_id"), F.posexplode(F.split(col, ";")).alias("pos", "entry"))
+        .select("ticket_id", (F.col("pos") + 1).alias("part_num"), "entry", _landing(F.col("entry")).alias("landing"))
     )
     return parts if not wanted else parts.where(F.col("landing").isin(*wanted))
 
@@ -50,18 +44,22 @@ def make_batches(
     All parts of a ticket come from one packed string, so selection, count and
     position are array functions on that row and nothing is shuffled.
     """
-    entries = _numbered_entries(col)
+    entries = F.split(col, ";")
     if wanted:
-        entries = F.filter(entries, lambda e: e["landing"].isin(*wanted))
-    chosen = ticket.where(~text.blank(F.col(col))).select(F.col("id").alias("ticket_id"), entries.alias("parts"))
-    per_batch = F.least(
-        F.greatest(F.lit(1), F.ceil(F.size("parts") / max(1, threads))), F.lit(cap)
-    )
+        numbered = F.transform(entries, lambda e, i: F.struct((i + 1).alias("part_num"), e.alias("entry")))
+        entries = F.filter(numbered, lambda e: _landing(e["entry"]).isin(*wanted))
+        number, entry = F.col("part.part_num"), F.col("part.entry")
+    else:
+        number, entry = F.col("pos") + 1, F.col("part")
+    per_batch = F.least(F.greatest(F.lit(1), F.ceil(F.size("parts") / max(1, threads))), F.lit(cap))
+    # The size is taken below the explode, once per ticket.
     return (
-        chosen.withColumn("per_batch", per_batch)
+        ticket.where(~text.blank(F.col(col)))
+        .select(F.col("id").alias("ticket_id"), entries.alias("parts"))
+        .withColumn("per_batch", per_batch)
         .select("ticket_id", "per_batch", F.posexplode("parts").alias("pos", "part"))
         .select(
-            "ticket_id", "part.part_num", "part.entry", "part.landing",
+            "ticket_id", number.alias("part_num"), entry.alias("entry"), _landing(entry).alias("landing"),
             F.floor(F.col("pos") / F.col("per_batch")).alias("batch"),
         )
     )

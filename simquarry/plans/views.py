@@ -239,6 +239,47 @@ select ts, concat('s', event_id) as run_id, event_type <> 'error' as ok
 from events"""
 
 
+# Spark forms of the heavy inputs.  They give the same rows as the plain texts
+# above, which stay in use for DuckDB: strings are built after the aggregation,
+# so that it works on numbers (hash aggregates, narrow shuffles).
+for _name in ("v_landing", "v_ticket", "v_objects"):
+    DUCK[_name] = VIEWS[_name]
+
+VIEWS["v_landing"] = """
+select ticket_id, part, concat('L', ticket_id, '-', part) as landing_id,
+       concat('/z/landing/L', ticket_id, '-', part) as collection,
+       partkey, char(linestatus) as linestatus, char(returnflag) as returnflag, discount
+from (select l_orderkey as ticket_id, l_linenumber as part, min(l_partkey) as partkey,
+             max(ascii(l_linestatus)) as linestatus, min(ascii(l_returnflag)) as returnflag, max(l_discount) as discount
+      from lineitem group by l_orderkey, l_linenumber)"""
+
+_PART = (
+    "case when parts & {bit} <> 0 then case when (o_orderkey + {n}) % 17 = 0 then concat('bad-L', o_orderkey, '-{n}') "
+    "else concat('MDRSubmit_L', o_orderkey, '-{n}:/z/landing/L', o_orderkey, '-{n}') end end"
+)
+VIEWS["v_ticket"] = """
+select o.o_orderkey as id, o.o_custkey as created_by_id, o.o_orderdate as created_at,
+       case when o.o_orderpriority = '5-LOW' then 'd' else 'u' end as ticket_type,
+       o.o_orderstatus = 'F' as upload_notification_sent,
+       o.o_orderstatus = 'P' as processing_complete,
+       case when parts is not null then concat_ws(';', {parts}) end as irods_tickets
+from orders o left join (
+  select l_orderkey, bit_or(shiftleft(1, l_linenumber)) as parts from lineitem group by l_orderkey) p
+on p.l_orderkey = o.o_orderkey""".format(parts=", ".join(_PART.format(n=n, bit=1 << n) for n in range(1, 8)))
+
+VIEWS["v_objects"] = """
+select collection, 'mdrepo-submission.completed.json' as name,
+       case when (ticket_id + part) % 11 = 0 then 0 else 5039 end as size,
+       md5(landing_id) as md5
+from v_landing where (ticket_id * 3 + part) % 13 <> 0
+union all
+select concat('/z/landing/L', l_orderkey, '-', l_linenumber) as collection,
+       concat('part-', l_partkey, '.xtc') as name,
+       cast(l_partkey % 1000 + 1 as int) as size,
+       md5(concat('f', l_orderkey, '-', l_linenumber, '-', l_partkey)) as md5
+from (select distinct l_orderkey, l_linenumber, l_partkey from lineitem)"""
+
+
 def closure(text: str, known: dict[str, str]) -> list[str]:
     """Views named in a text and, below them, the ones they need, in order."""
     out: list[str] = []
