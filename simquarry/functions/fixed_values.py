@@ -4,10 +4,10 @@ These must equal the values of the repository's own tools for right results:
 names, patterns, residue lists, limits.  They are plain lists in natural order.
 """
 
-# Name of the completion marker of an upload, and one entry of the packed
-# ticket string: prefix, landing id, collection.
+# Name of the completion marker of an upload.  An entry of the packed ticket
+# string is this prefix, the landing id, a colon and the collection.
 COMPLETION_MARKER = "mdrepo-submission.completed.json"
-TICKET_ENTRY = r"^MDRSubmit_([^:]+):(.+)$"
+TICKET_PREFIX = "MDRSubmit_"
 
 # Queue.
 IN_FLIGHT = ["pending", "running"]

@@ -29,25 +29,35 @@ def ticket_entry(entry: Column, mode: str = "regex") -> tuple[Column, Column, Co
     ``split`` takes the second colon-separated field only.
     """
     if mode == "regex":
-        ok = entry.rlike(fv.TICKET_ENTRY)
-        landing = F.regexp_extract(entry, fv.TICKET_ENTRY, 1)
-        collection = F.regexp_extract(entry, fv.TICKET_ENTRY, 2)
+        # The pattern by hand: prefix, a landing up to the first colon, and a
+        # collection, neither empty.  Much cheaper than three matches an entry.
+        start, colon = len(fv.TICKET_PREFIX) + 1, F.locate(":", entry)
+        ok = (
+            entry.startswith(fv.TICKET_PREFIX) & (colon > start) & (F.length(entry) > colon) & ~entry.contains("\n")
+        )
+        landing = F.substring(entry, F.lit(start), colon - start)
+        collection = F.substring(entry, colon + 1, F.length(entry))
     elif mode == "split":
         ok = entry.contains(":")
-        collection = F.get(F.split(entry, ":"), 1)
+        collection = second_field(entry)
         landing = landing_name(collection)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return F.when(ok, landing), F.when(ok, collection), ok
 
 
+def second_field(entry: Column) -> Column:
+    """Text between the first and the second colon; NULL without a colon."""
+    return F.when(entry.contains(":"), F.substring_index(F.substring_index(entry, ":", 2), ":", -1))
+
+
 def landing_name(collection: Column) -> Column:
     """Last path component, trailing slashes dropped."""
-    return F.element_at(F.split(F.regexp_replace(collection, "/+$", ""), "/"), -1)
+    return F.substring_index(F.rtrim(collection, F.lit("/")), "/", -1)
 
 
 def basename(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def extension(path: Column) -> Column:

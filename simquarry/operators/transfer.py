@@ -19,7 +19,7 @@ def filter_files(df: DataFrame, regex: str | None, col: str = "name") -> DataFra
 
 # --- parts and batches -----------------------------------------------------
 def _landing(entry: Column) -> Column:
-    return text.landing_name(F.get(F.split(entry, ":"), 1))
+    return text.landing_name(text.second_field(entry))
 
 
 def number_parts(ticket: DataFrame, wanted: Sequence[str] | None = None, col: str = "irods_tickets") -> DataFrame:

@@ -253,19 +253,17 @@ from (select l_orderkey as ticket_id, l_linenumber as part, min(l_partkey) as pa
              max(ascii(l_linestatus)) as linestatus, min(ascii(l_returnflag)) as returnflag, max(l_discount) as discount
       from lineitem group by l_orderkey, l_linenumber)"""
 
-_PART = (
-    "case when parts & {bit} <> 0 then case when (o_orderkey + {n}) % 17 = 0 then concat('bad-L', o_orderkey, '-{n}') "
-    "else concat('MDRSubmit_L', o_orderkey, '-{n}:/z/landing/L', o_orderkey, '-{n}') end end"
-)
 VIEWS["v_ticket"] = """
 select o.o_orderkey as id, o.o_custkey as created_by_id, o.o_orderdate as created_at,
        case when o.o_orderpriority = '5-LOW' then 'd' else 'u' end as ticket_type,
        o.o_orderstatus = 'F' as upload_notification_sent,
        o.o_orderstatus = 'P' as processing_complete,
-       case when parts is not null then concat_ws(';', {parts}) end as irods_tickets
+       case when parts is not null then array_join(transform(filter(sequence(1, 7), n -> parts & shiftleft(1, n) <> 0), n ->
+         case when (o_orderkey + n) % 17 = 0 then concat('bad-L', o_orderkey, '-', n)
+              else concat('MDRSubmit_L', o_orderkey, '-', n, ':/z/landing/L', o_orderkey, '-', n) end), ';') end as irods_tickets
 from orders o left join (
   select l_orderkey, bit_or(shiftleft(1, l_linenumber)) as parts from lineitem group by l_orderkey) p
-on p.l_orderkey = o.o_orderkey""".format(parts=", ".join(_PART.format(n=n, bit=1 << n) for n in range(1, 8)))
+on p.l_orderkey = o.o_orderkey"""
 
 VIEWS["v_objects"] = """
 select collection, 'mdrepo-submission.completed.json' as name,
