@@ -77,36 +77,50 @@ def rank_in_group(
     return out
 
 
-def running_total(
-    df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column | str], value: Column, name: str
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    bucket: str,
+    order: Sequence[Column | str],
+    values: dict[str, tuple[str, Column]],
+    before: Sequence[str] = (),
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` within a key, computed per bucket.
+    """Running sums or maxima within a key, computed per bucket.
 
-    ``bucket`` must grow with the order (a day, a file block).  A window sees
-    one bucket of one key; the sums of earlier buckets are added from a table
-    with one row per (key, bucket).
+    ``values`` maps a new column to ("sum" or "max", expression); the row itself
+    counts, except for the names in ``before``.  ``bucket`` must grow with the
+    order (a day, a file block).  A window sees one bucket of one key; earlier
+    buckets come in from a table with one row per (key, bucket).
     """
-    held = df.withColumn("__v", value)
-    before = (
+    fold = {"sum": F.sum, "max": F.max}
+    kind = {name: fold[how] for name, (how, _) in values.items()}
+    held = df.withColumns({f"__v_{name}": value for name, (_, value) in values.items()})
+    past = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
         held.groupBy(*keys, bucket)
-        .agg(F.sum("__v").alias("__s"))
-        .withColumn(
-            "__before",
-            F.coalesce(
-                F.sum("__s").over(
-                    Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("__s")
-    )
-    inside = F.sum("__v").over(
-        Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        held.withColumn("__in", inside)
-        .join(before, [*keys, bucket])
-        .withColumn(name, F.col("__in") + F.col("__before"))
-        .drop("__v", "__in", "__before")
+        .agg(*[kind[name](f"__v_{name}").alias(f"__s_{name}") for name in values])
+        .select(*keys, bucket, *[kind[name](f"__s_{name}").over(past).alias(f"__b_{name}") for name in values])
     )
+    inside = Window.partitionBy(*keys, bucket).orderBy(*order)
+
+    def total(name: str) -> Column:
+        here = F.col(f"__i_{name}")
+        if values[name][0] == "max":
+            return F.greatest(f"__b_{name}", here)
+        return F.coalesce(f"__b_{name}", F.lit(0)) + F.coalesce(here, F.lit(0))
+
+    frames = {
+        name: kind[name](f"__v_{name}").over(
+            inside.rowsBetween(Window.unboundedPreceding, -1 if name in before else 0)
+        )
+        for name in values
+    }
+    out = held.withColumns({f"__i_{name}": column for name, column in frames.items()}).join(earlier, [*keys, bucket])
+    return out.select(*df.columns, *[total(name).alias(name) for name in values])
+
+
+def running_total(
+    df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column | str], value: Column, name: str
+) -> DataFrame:
+    """Inclusive running sum of one expression; see ``running``."""
+    return running(df, keys, bucket, order, {name: ("sum", value)})

@@ -239,6 +239,11 @@ from (select *, n >= 3 and (live is null or date_trunc('second', ts) - live >= i
 ALERT_SQL = "select label, ts, seq, kind, told as failures, since, delivered from v_replay where kind is not null"
 
 
+@named("x1_alert_batch", ALERT_SQL, ALERTS)
+def _(i: Inputs):
+    return alerts.alerts(i.v_runs)
+
+
 @named("x1_alert_stream", ALERT_SQL, ALERTS)
 def _(i: Inputs):
     runs = table_stream(i, "events").selectExpr(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,15 +47,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written copy.
+    """Write ``df`` once to the shared folder and go on from the written table.
 
-    Used where two results must come from one and the same set of rows.  The
-    copy is replicated storage, so it survives the loss of executors.
+    Used where several results must come from one and the same set of rows, or
+    where lineage would grow round by round.  The table is parquet in replicated
+    storage: it survives the loss of executors, later steps read only the
+    columns they need, and its size is known to the optimizer.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/frozen-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
