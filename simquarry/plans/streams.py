@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from simquarry.functions import fixed_values as fv
-from simquarry.operators import alerts, bundles, intake, structure, transfer
+from simquarry.operators import alerts, bundles, intake, transfer
 from simquarry.operators.structure import chain_sequences
 from simquarry.plans.intake import PARTS
 from simquarry.plans.registry import Inputs, named
 from simquarry.plans.structure import SEQ
 from simquarry.plans.transfer import PUSH
 from simquarry.plans.views import VIEWS, query, view
+from simquarry.session import shared_folder
 from simquarry.sources import documents, files, sinks, tables
 from simquarry.streaming.alerts import alert_stream
 from simquarry.streaming.intake import completion_stream, current_jobs, job_stream, outcome_stream
@@ -123,10 +126,16 @@ def _(i: Inputs):
     return files.parse_outcome_lines(lines).select("bundle", "result", "detail")
 
 
-@named("s7_inventory")
+@named(
+    "s7_inventory",
+    "select concat('part=', user_id % 50) as folder, cast(sum(strlen(props) + 1) as bigint) as bytes from events group by user_id % 50",
+)
 def _(i: Inputs):
-    """The given folder itself."""
-    return files.read_inventory(i.spark, i.sf_dir)
+    """Text files written from a table, then listed: bytes per folder."""
+    root = f"{shared_folder(i.spark)}/tree-{uuid.uuid4().hex}"
+    i.events.select((F.col("user_id") % 50).alias("part"), "props").write.partitionBy("part").text(root)
+    data = files.read_inventory(i.spark, root).where(~F.col("name").rlike("^[._]"))
+    return data.groupBy(F.substring_index("dir", "/", -1).alias("folder")).agg(F.sum("size").alias("bytes"))
 
 
 ID_LINES = """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from simquarry.functions.text import dirname
+from simquarry.sources.files import plain_path, read_inventory
 
 _MANIFEST = "files array<struct<irods_path: string, md5_hash: string>>, _bad string"
 
@@ -32,11 +33,17 @@ _IMPORT = f"simulation struct<{_SIMULATION}>, _bad string"
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 
 
-def _read_whole(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per document; a document is one value of JSON and not split."""
-    return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
+def _read_whole(spark: SparkSession, path: str) -> DataFrame:
+    """One row per document; a document is one value of JSON and not split.
+
+    Files of zero bytes, which the file sources leave out, come from the
+    inventory, because an empty document must be seen to be reported.
+    """
+    full = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("text")
     )
+    empty = read_inventory(spark, path).where("size = 0").select("path", F.lit("").alias("text"))
+    return full.unionByName(empty)
 
 
 def parse_manifests(docs: DataFrame, key: str = "collection") -> tuple[DataFrame, DataFrame]:
@@ -55,7 +62,7 @@ def parse_manifests(docs: DataFrame, key: str = "collection") -> tuple[DataFrame
     return rows, parsed.where(~F.coalesce(good, F.lit(False))).select(key)
 
 
-def read_manifests(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+def read_manifests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Manifests by the folder they lie in."""
     docs = _read_whole(spark, path).withColumn("collection", dirname(F.col("path")))
     return parse_manifests(docs)
@@ -72,7 +79,7 @@ def parse_imports(docs: DataFrame, key: str = "doc") -> tuple[DataFrame, DataFra
     return rows, parsed.where(~F.coalesce(good, F.lit(False))).select(key)
 
 
-def read_imports(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+def read_imports(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return parse_imports(_read_whole(spark, path).withColumnRenamed("path", "doc"))
 
 

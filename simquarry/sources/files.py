@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from simquarry.functions.text import strip
 from simquarry.operators.ranking import running_total
+from simquarry.session import freeze
 
 
 def read_lines(spark: SparkSession, path: str | list[str], line_no: bool = True) -> DataFrame:
@@ -57,15 +62,66 @@ def residue_key(atoms: DataFrame) -> DataFrame:
     )
 
 
-def read_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Path, size and modification time of all files below a root.
+TREE = "dir string, path string, name string, is_dir boolean, size long, modified_at timestamp_ntz"
+_LISTED = 20_000
+
+
+def _lister(local: bool):
+    def entries(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch["path"]:
+                system, inner = (fs.LocalFileSystem(), folder) if local else fs.FileSystem.from_uri(folder)
+                infos = system.get_file_info(fs.FileSelector(inner))
+                for k in range(0, len(infos), _LISTED):
+                    part = infos[k : k + _LISTED]
+                    is_dir = [i.type == fs.FileType.Directory for i in part]
+                    yield pd.DataFrame(
+                        {
+                            "dir": folder,
+                            "path": [f"{folder.rstrip('/')}/{i.base_name}" for i in part],
+                            "name": [i.base_name for i in part],
+                            "is_dir": is_dir,
+                            "size": pd.array([None if d else i.size for d, i in zip(is_dir, part)], dtype="Int64"),
+                            "modified_at": pd.to_datetime([i.mtime for i in part], utc=True).tz_localize(None),
+                        }
+                    )
 
-    The content column is not selected, so no file is opened.
+    return entries
+
+
+def read_tree(spark: SparkSession, root: str) -> DataFrame:
+    """All files and folders below a root, empty ones included.
+
+    Spark's own file sources leave out folders and files of zero bytes, and
+    both matter here.  One level of the tree is listed at a time, its folders
+    spread over the tasks; the number of rounds is the depth of the tree.
     """
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        .select("path", F.col("length").alias("size"), F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"))
-    )
+    root = plain_path_text(root)
+    list_level = _lister("://" not in root)
+    level, found = spark.createDataFrame([(root,)], "path string"), None
+    while True:
+        entries = freeze(level.mapInPandas(list_level, TREE))
+        found = entries if found is None else found.unionByName(entries)
+        folders = entries.where("is_dir").select("path")
+        if folders.isEmpty():
+            return found
+        level = folders.repartition("path")
+
+
+def plain_path_text(path: str) -> str:
+    """Local paths without a scheme, others as they are; no slash at the end."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/") or "/"
+
+
+def plain_path(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def read_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Path, folder, size and modification time of all files below a root."""
+    return read_tree(spark, root).where("not is_dir").drop("is_dir")
 
 
 def split_id_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

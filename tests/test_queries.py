@@ -10,7 +10,7 @@ from tests.compare import duck, run
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, TEXTS = entry.queries(), entry.oracle_sql()
 # No plain SQL says the same; other tests check these row by row.
-WITHOUT_SQL = {"m5_upsert_contributors", "p15_format_by_content", "s7_inventory"}
+WITHOUT_SQL = {"m5_upsert_contributors", "p15_format_by_content"}
 
 
 @pytest.fixture(scope="module")
