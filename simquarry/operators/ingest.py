@@ -526,3 +526,62 @@ def clear_for_reprocess(
     if uploaded is not None:
         out += cleared(uploaded, uploaded_downloads, "simulationuploadedfile_id")
     return out
+
+
+# --- whole documents -------------------------------------------------------
+def ingest_documents(
+    docs: DataFrame, tables: dict[str, DataFrame], now
+) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """One round of import: all tables afterwards, documents left for the next
+    round, and rejects (doc, reason).
+
+    ``docs`` are parsed import documents, ``tables`` the tables by name.  A
+    document is applied with all its parts or not at all; nothing is written
+    here, so the caller replaces the tables once everything has succeeded.
+    """
+    # Documents are read here, not at the top, to keep operators below sources.
+    from simquarry.sources.documents import elements
+
+    out = dict(tables)
+    known, unknown = resolve_owner(docs, tables["account"], tables["user"])
+    resolved = resolve_simulations(known, tables["simulation"])
+    todo = resolved.where((F.col("step") != "invalid") & ~F.col("deferred"))
+    software = upsert_software(
+        todo.select("doc", F.lit(0).alias("pos"), F.col("software_name").alias("name"), F.col("software_version").alias("version")),
+        tables["software"],
+    )
+    out["software"] = software.table
+    with_software = with_ids(
+        todo.withColumns({"pos": F.lit(0), "name": F.col("software_name"), "version": F.col("software_version")}),
+        software, ["name", "version"], "software_id",
+    ).drop("pos", "name", "version")
+    table, actions = upsert_simulations(with_software, tables["simulation"], now)
+    # New ids are settled before the parts refer to them.
+    ids = freeze(actions.select("doc", "sim_id"))
+    current = freeze(todo.drop("sim_id").join(ids, "doc"))
+    part = lambda field, **k: elements(current, field, **k)
+    out["uploaded_file"] = upsert_files(part("original_files"), tables["uploaded_file"], "original").table
+    out["processed_file"] = upsert_files(part("processed_files"), tables["processed_file"], "processed").table
+    out["replicate"] = upsert_replicates(
+        part("replicates").withColumnRenamed("e", "trajectory_file_name"), tables["replicate"]
+    ).table
+    people = current.where(F.col("contributors").isNotNull()).select(
+        "doc", F.col("sim_id").alias("simulation_id"), "contributors"
+    )
+    out["contribution"], _actions, nameless, _later = upsert_contributors(people, tables["contribution"])
+    out["ligand"] = upsert_ligands(part("ligands"), tables["ligand"]).table
+    out["solute"] = upsert_solutes(part("solutes"), tables["solute"]).table
+    out["external_link"] = upsert_links(part("external_links"), tables["external_link"]).table
+    pubs, pub_links = upsert_papers(part("papers"), tables["pub"], tables["simulation_pub"])
+    out["pub"], out["simulation_pub"] = pubs.table, pub_links.table
+    proteins, protein_links = upsert_uniprot(part("uniprots"), tables["uniprot"], tables["simulation_uniprot"])
+    out["uniprot"], out["simulation_uniprot"] = proteins.table, protein_links.table
+    pdb, out["simulation"] = upsert_pdb(part("pdb", single=True), tables["pdb"], table)
+    out["pdb"] = pdb.table
+    rejects = (
+        unknown.select("doc", F.lit("unknown lead contributor").alias("reason"))
+        .unionByName(resolved.where("step = 'invalid'").select("doc", F.lit("no such simulation").alias("reason")))
+        .unionByName(nameless.select("doc", F.lit("contributor without a name").alias("reason")).distinct())
+    )
+    later = docs.join(resolved.where("deferred and step <> 'invalid'").select("doc"), "doc", "left_semi")
+    return out, later, rejects

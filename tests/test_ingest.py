@@ -211,3 +211,34 @@ def test_clear_for_reprocess(make):
     sims = make("simulation_id long", (5,))
     assert [rows(t, "id") for t in ingest.clear_for_reprocess(sims, files, downloads)] == [[(2,)], [(11,)]]
     assert [rows(t, "id") for t in ingest.clear_for_reprocess(sims, files, downloads, files, up)] == [[(2,)], [(11,)], [(2,)], []]
+
+
+def test_whole_documents(spark, tmp_path):
+    """Three documents: a new simulation, one that depends on it, a stranger."""
+    import json
+
+    from simquarry.sources.documents import read_imports
+    from simquarry.sources.tables import SCHEMAS
+
+    base = {
+        "lead_contributor_orcid": "o1", "software_name": "amber", "software_version": "22", "short_description": "s", "duration": 1, "sampling_frequency": 1,
+        "integration_timestep_fs": 2, "rmsd_values": [1], "rmsf_values": [], "fasta_sequence": "A", "num_replicates": 1, "temperature_kelvin": 300,
+        "processed_files": [{"name": "d/minimal.pdb", "file_type": "T", "size": 1, "md5_sum": "m"}], "replicates": ["r"], "contributors": [{"name": "n"}, {"email": ""}],
+        "ligands": [{"name": "L", "smiles": "C"}], "solutes": [{"name": "Na", "concentration_mol_liter": 0.1}], "external_links": [{"url": "u"}],
+        "papers": [{"title": "t", "authors": "a", "journal": "j", "volume": "1", "year": 2020, "doi": "d"}], "uniprots": [{"uniprot_id": "P1", "name": "n", "sequence": "AAA"}],
+        "pdb": {"pdb_id": "1ABC", "title": "t", "classification": "c"},
+    }
+    for name, extra in {"a": {"unique_file_hash_string": "h1"}, "b": {"unique_file_hash_string": "h1", "alias": "x"}, "c": {"unique_file_hash_string": "h2", "lead_contributor_orcid": "zz"}}.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps({"simulation": {**base, **extra}}))
+    docs, bad = read_imports(spark, str(tmp_path))
+    assert bad.count() == 0
+    tables = {t: spark.createDataFrame([], s) for t, s in SCHEMAS.items()}
+    tables["user"] = spark.createDataFrame([(5, "u", None, None, None, None)], SCHEMAS["user"])
+    tables["account"] = spark.createDataFrame([(5, "orcid", "o1")], SCHEMAS["account"])
+    out, later, rejects = ingest.ingest_documents(docs, tables, NOW)
+    assert rows(out["simulation"], "id", "created_by_id", "software_id", "pdb_id", "is_placeholder", "is_public") == [(1, 5, 1, 1, True, False)]
+    assert [out[t].count() for t in ("software", "processed_file", "uploaded_file", "replicate", "contribution", "ligand", "pub", "simulation_pub", "uniprot", "simulation_uniprot", "pdb")] == [1, 1, 0, 1, 1, 1, 1, 1, 1, 1, 1]
+    assert rows(out["processed_file"], "simulation_id", "local_file_path") == [(1, "MDR00000001/processed/minimal.pdb")]
+    assert rows(out["solute"], "name") == [("Na+",)] and rows(out["uniprot"], "amino_length") == [(3,)]
+    assert [r["doc"].rsplit("/", 1)[1] for r in later.collect()] == ["b.json"]
+    assert sorted((r["doc"].rsplit("/", 1)[1], r["reason"]) for r in rejects.collect()) == [("a.json", "contributor without a name"), ("c.json", "unknown lead contributor")]
