@@ -64,7 +64,7 @@ def upsert(
     unknown = rules.any_of([F.col(k).isNull() for k in keys])
     # A row with a NULL in its key is a group of its own.  One struct a group
     # of columns keeps the number of aggregates small.
-    grouped = (
+    grouped = freeze(
         source.withColumn("__alone", F.when(unknown, when))
         .groupBy(*keys, "__alone")
         .agg(
@@ -82,8 +82,12 @@ def upsert(
         )
     )
     held = [*update, *fill]
+    # Only target rows with an incoming key are grouped.  The incoming keys are
+    # a written table of known size, so a small import is broadcast here and
+    # the target is not shuffled.
     old = (
-        target.groupBy(*keys)
+        target.join(grouped.select(*keys), list(keys), "left_semi")
+        .groupBy(*keys)
         .agg(F.min(F.struct(id_col, *held)).alias("__old"))
         .select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__old")
     )
@@ -190,10 +194,20 @@ def resolve_simulations(imports: DataFrame, sim: DataFrame) -> DataFrame:
         F.when(invalid, "invalid").when(given, "id").when(alias_id.isNotNull(), "alias")
         .when(F.col("__hash_id").isNotNull(), "hash").otherwise("new")
     )
+    # Most documents give no id and many no alias: stand-ins that match nothing
+    # spread those rows over the partitions of the join.
+    spread = F.concat(F.lit("\0"), F.col("doc").cast("string"))
     found = (
-        imports.join(by_id, "simulation_id", "left")
-        .join(by_alias, ["alias", "owner_id"], "left")
+        imports.withColumns(
+            {
+                "__id": F.coalesce("simulation_id", -1 - F.pmod(F.xxhash64("doc"), F.lit(1 << 20))),
+                "__alias": F.when(blank(F.col("alias")) | F.col("owner_id").isNull(), spread).otherwise(F.col("alias")),
+            }
+        )
+        .join(by_id.withColumnRenamed("simulation_id", "__id"), "__id", "left")
+        .join(by_alias.withColumnRenamed("alias", "__alias"), ["__alias", "owner_id"], "left")
         .join(by_hash, "hash", "left")
+        .drop("__id", "__alias")
         .withColumn("step", step)
         .withColumn(
             "sim_id",

@@ -34,7 +34,10 @@ def classify_landings(upload: DataFrame, ticket: DataFrame, sim: DataFrame, jobs
     questions about them, in flight and ever.
     """
     state = jobs.groupBy("ticket_id").agg(F.bool_or(F.col("status").isin(*fv.IN_FLIGHT)).alias("__busy"))
-    sims = sim.select(F.col("id").alias("simulation_id"), "is_placeholder")
+    sims = sim.select(F.col("id").alias("__sim"), "is_placeholder")
+    # Landings without a simulation match nothing; a stand-in below zero spreads
+    # them over the partitions of the join.
+    spread = F.coalesce("simulation_id", -1 - F.pmod(F.xxhash64("ticket_id", "landing_id"), F.lit(1 << 20)))
     eligible = F.coalesce(
         F.col("successful") & F.col("simulation_id").isNotNull() & (F.col("is_placeholder") == F.lit(False)),
         F.lit(False),
@@ -46,7 +49,8 @@ def classify_landings(upload: DataFrame, ticket: DataFrame, sim: DataFrame, jobs
         .join(state, "ticket_id", "left")
         .where(~F.coalesce("__busy", F.lit(False)))
         .join(ticket_map(ticket), ["ticket_id", "landing_id"], "left")
-        .join(sims, "simulation_id", "left")
+        .withColumn("__sim", spread)
+        .join(sims, "__sim", "left")
         .select(
             "ticket_id", "landing_id", "simulation_id", "collection", kind.alias("class"),
             F.col("__busy").isNotNull().alias("has_job"),
@@ -78,8 +82,15 @@ def already_purged(
     By default its first and last collection are looked at, with ``full_scan``
     all.  ``local`` lists (ticket_id, landing_id) directories on disk.
     """
-    present = collections.select("collection").distinct().withColumn("__there", F.lit(True))
-    rows = cands.join(present, "collection", "left").withColumn("__there", F.coalesce("__there", F.lit(False)))
+    present = collections.select(F.col("collection").alias("__place")).distinct().withColumn("__there", F.lit(True))
+    # A landing without a collection gets a place of its own, which spreads
+    # such rows over the partitions of the join.
+    place = F.coalesce("collection", F.concat(F.lit("\0"), F.col("landing_id")))
+    rows = (
+        cands.withColumn("__place", place)
+        .join(present, "__place", "left")
+        .withColumn("__there", F.coalesce("__there", F.lit(False)))
+    )
     if local is not None:
         on_disk = local.select("ticket_id", "landing_id").distinct().withColumn("__local", F.lit(True))
         rows = rows.join(on_disk, ["ticket_id", "landing_id"], "left")

@@ -13,7 +13,13 @@ from simquarry.plans.views import query
 
 # The jobs of the given tables belong to low ticket numbers only; spread them.
 JOBS = """
-select id, id * 3 % 1013 as ticket_id, status, server from v_job where id % 4 <> 0"""
+select id, id * 2 as ticket_id, status, server from v_job"""
+# Misses are made by other names, so that every table stays whole.
+INVENTORY = "select case when size % 7 = 0 then concat(path, '.gone') else path end as path, size from v_release"
+LOST = "select case when size % 11 = 0 then path else concat(path, '.seen') end as path from v_release"
+LEFT = "select distinct case when size % 5 = 0 then collection else concat(collection, '-old') end as collection from v_objects"
+LOCAL = "select ticket_id, case when (ticket_id * part) % 6 = 1 then landing_id else concat(landing_id, '-old') end as landing_id from v_landing"
+ON_DISK = "select case when size % 4 <> 0 then path else concat(path, '.gz') end as path from v_log_files"
 
 CLASSES = {
     "v_exploded": PARTS["v_exploded"],
@@ -30,8 +36,8 @@ left join (select ticket_id, landing_id, arg_max(collection, pos) as collection
 left join v_simulation s on s.id = u.simulation_id
 where not exists (select 1 from v_jobs j where j.ticket_id = u.ticket_id and j.status in ('pending', 'running'))""",
     "v_cand": "select * from v_class where class <> 'held'",
-    "v_inv": "select path, size from v_release where size % 7 <> 0",
-    "v_lost": "select path from v_release where size % 11 = 0",
+    "v_inv": INVENTORY,
+    "v_lost": LOST,
     "v_used_files": """
 select * from v_files f where exists (select 1 from v_cand c where c.class = 'eligible' and c.simulation_id = f.simulation_id)""",
     "v_sampled": """
@@ -62,11 +68,11 @@ def _files(i: Inputs):
 
 
 def _inventory(i: Inputs):
-    return i.v_release.where("size % 7 <> 0")
+    return query(i.spark, i.sf_dir, INVENTORY)
 
 
 def _lost(i: Inputs):
-    return i.v_release.where("size % 11 = 0").select("path")
+    return query(i.spark, i.sf_dir, LOST)
 
 
 @named("j6_not_in_flight", """select ticket_id, landing_id from v_upload u where not exists
@@ -100,8 +106,8 @@ def _(i: Inputs):
 
 PURGED = {
     **CLASSES,
-    "v_left": "select distinct collection from v_objects where size % 5 = 0",
-    "v_local": "select ticket_id, landing_id from v_landing where (ticket_id * part) % 6 = 1",
+    "v_left": LEFT,
+    "v_local": LOCAL,
     "v_seen": """
 select c.ticket_id, c.landing_id, c.collection, l.collection is not null as there, d.landing_id is not null as on_disk
 from v_cand c left join v_left l on l.collection = c.collection
@@ -110,8 +116,7 @@ left join v_local d on d.ticket_id = c.ticket_id and d.landing_id = c.landing_id
 
 
 def _purged(i: Inputs, full: bool):
-    left = i.v_objects.where("size % 5 = 0")
-    local = i.v_landing.where("(ticket_id * part) % 6 = 1")
+    left, local = query(i.spark, i.sf_dir, LEFT), query(i.spark, i.sf_dir, LOCAL)
     return op.already_purged(_classes(i).where("class <> 'held'"), left, local, full_scan=full)
 
 
@@ -281,7 +286,7 @@ def _log_jobs(i: Inputs):
 
 @named("j12_orphan_logs", "select event_id as id, path as log_file from v_log_files where event_id % 9 <> 0 and size % 4 = 0")
 def _(i: Inputs):
-    return op.orphan_logs(_log_jobs(i), i.v_log_files.where("size % 4 <> 0"))
+    return op.orphan_logs(_log_jobs(i), query(i.spark, i.sf_dir, ON_DISK))
 
 
 @named(
@@ -292,7 +297,7 @@ def _(i: Inputs):
     from simquarry.operators.intake import apply_fix
 
     jobs = _log_jobs(i)
-    return apply_fix(jobs, op.orphan_logs(jobs, i.v_log_files.where("size % 4 <> 0")), "log_file", None)
+    return apply_fix(jobs, op.orphan_logs(jobs, query(i.spark, i.sf_dir, ON_DISK)), "log_file", None)
 
 
 # --- backups ---------------------------------------------------------------

@@ -11,7 +11,7 @@ from simquarry.operators import alerts, bundles, intake, transfer
 from simquarry.operators.structure import chain_sequences
 from simquarry.plans.intake import PARTS
 from simquarry.plans.registry import Inputs, named
-from simquarry.plans.structure import SEQ
+from simquarry.plans.structure import CHAINS, SEQ
 from simquarry.plans.transfer import PUSH
 from simquarry.plans.views import VIEWS, query, view
 from simquarry.session import shared_folder
@@ -160,8 +160,7 @@ def _id_lines(i: Inputs):
 
 @named("s9_fasta_records", r"""select sim_id, cast(number as int) as number, concat('>', number, chr(10), sequence) as record from v_num where not regexp_matches(sequence, '^X+$')""", SEQ)
 def _(i: Inputs):
-    atoms = i.v_atoms.where("sim_id <> 3 or resname in ('SOL', 'LIG')")
-    return sinks.fasta_records(chain_sequences(atoms.withColumnsRenamed({"resix": "residue", "atom_id": "line_no"})))
+    return sinks.fasta_records(chain_sequences(query(i.spark, i.sf_dir, CHAINS)))
 
 
 @named(

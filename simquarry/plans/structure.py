@@ -221,7 +221,7 @@ def _(i: Inputs):
 
 # A structure of water only has no candidate.
 WANTED = {
-    "v_a": "select * from v_atoms where sim_id <> 7 or resname in ('SOL', 'HOH')",
+    "v_a": "select sim_id, atom_id, name, case when sim_id = 7 then 'SOL' else resname end as resname from v_atoms",
     "v_want": """select distinct sim_id, case when sim_id % 4 = 0 then 'LIG' when sim_id % 4 = 1 then 'ZZZ' when sim_id = 7 then 'QQQ' end as wanted from v_atoms""",
     "v_cand_names": f"select distinct sim_id, resname from v_a where not {BACKGROUND}",
 }
@@ -261,31 +261,40 @@ def _(i: Inputs):
     return op.system_flags(i.v_coord_atoms)
 
 
+STRIPPED = "select sim_id, frame, case when sim_id = 1 and atom_id >= 15 then 0 else atom_id end as atom_id from v_traj"
+
+
 @named(
     "a18_prestripped",
     """select t.sim_id, t.n as top_atoms, j.n as traj_atoms, j.n < t.n as prestripped
        from (select sim_id, count(distinct atom_id) as n from v_coord_atoms group by 1) t
-       join (select sim_id, count(distinct atom_id) as n from v_traj where sim_id <> 1 or atom_id < 15 group by 1) j on j.sim_id = t.sim_id""",
+       join (select sim_id, count(distinct atom_id) as n from v_cut group by 1) j on j.sim_id = t.sim_id""",
+    {"v_cut": STRIPPED},
 )
 def _(i: Inputs):
-    return op.prestripped(i.v_traj.where("sim_id <> 1 or atom_id < 15"), i.v_coord_atoms)
+    return op.prestripped(query(i.spark, i.sf_dir, STRIPPED), i.v_coord_atoms)
 
 
 @named(
     "a19_natoms_mismatch",
     """select t.sim_id, t.n as top_atoms, j.n as coord_atoms
        from (select sim_id, count(distinct atom_id) as n from v_coord_atoms group by 1) t
-       join (select sim_id, count(distinct atom_id) as n from v_traj where frame = 0 and (sim_id <> 1 or atom_id < 15) group by 1) j on j.sim_id = t.sim_id
+       join (select sim_id, count(distinct atom_id) as n from v_cut where frame = 0 group by 1) j on j.sim_id = t.sim_id
        where t.n <> j.n""",
+    {"v_cut": STRIPPED},
 )
 def _(i: Inputs):
-    return op.natoms_mismatch(i.v_traj.where("frame = 0 and (sim_id <> 1 or atom_id < 15)"), i.v_coord_atoms)
+    return op.natoms_mismatch(query(i.spark, i.sf_dir, STRIPPED).where("frame = 0"), i.v_coord_atoms)
 
 
+# One structure without a residue that has a letter.
+CHAINS = """
+select sim_id, atom_id as line_no, case when sim_id = 3 then 'LIG' else resname end as resname, resix as residue, chain from v_atoms"""
 SEQ = {
+    "v_chains": CHAINS,
     "v_res": f"""
-select sim_id, case when trim(chain) = '' then '_' else chain end as chain, resix, min(atom_id) as pos, any_value({AA}) as aa
-from v_atoms where sim_id <> 3 or resname in ('SOL', 'LIG') group by sim_id, chain, resix""",
+select sim_id, case when trim(chain) = '' then '_' else chain end as chain, residue, min(line_no) as pos, any_value({AA}) as aa
+from v_chains group by sim_id, chain, residue""",
     "v_chain": "select sim_id, chain, min(pos) as line, bool_or(aa <> '') as used, string_agg(aa, '' order by pos) filter (aa <> '') as sequence from v_res group by 1, 2",
     "v_num": "select *, row_number() over (partition by sim_id order by line) as number from v_chain where used",
 }
@@ -298,12 +307,11 @@ from v_atoms where sim_id <> 3 or resname in ('SOL', 'LIG') group by sim_id, cha
     SEQ,
 )
 def _(i: Inputs):
-    atoms = i.v_atoms.where("sim_id <> 3 or resname in ('SOL', 'LIG')")
-    return op.chain_sequences(atoms.withColumnsRenamed({"resix": "residue", "atom_id": "line_no"}))
+    return op.chain_sequences(query(i.spark, i.sf_dir, CHAINS))
 
 
 REF_ATOMS = {
-    "v_ref": """select sim_id, resix % 50 as resnum, chain, atom_id as line_no from v_atoms where atom_id % 7 <> 0 and resix % 50 <> 3""",
+    "v_ref": """select sim_id, case when atom_id % 7 <> 0 and resix % 50 <> 3 then resix % 50 end as resnum, chain, atom_id as line_no from v_atoms""",
 }
 
 
@@ -402,11 +410,12 @@ def _(i: Inputs):
     """select p.sim_id, round(max(v.value), 6) as max_value, case when max(v.value) is null then 'no values' when max(v.value) > 0.45 then 'above the limit' end as reason,
               coalesce(max(v.value) <= 0.45, false) as accepted
        from (select distinct label as sim_id from embeddings) p left join
-            (select label as sim_id, cast(embedding[1] as double) as value from embeddings where label % 5 <> 0) v on v.sim_id = p.sim_id group by p.sim_id""",
+            (select label as sim_id, case when label % 5 <> 0 then cast(embedding[1] as double) end as value from embeddings) v on v.sim_id = p.sim_id group by p.sim_id""",
 )
 def _(i: Inputs):
-    series = i.embeddings.select(F.col("label").alias("sim_id"), F.col("embedding")[0].cast("double").alias("value"))
-    out = tr.gate(series.where("sim_id % 5 <> 0"), series, 0.45)
+    value = F.when(F.col("label") % 5 != 0, F.col("embedding")[0].cast("double"))
+    series = i.embeddings.select(F.col("label").alias("sim_id"), value.alias("value"))
+    out = tr.gate(series, series, 0.45)
     return out.withColumn("max_value", F.round("max_value", 6))
 
 

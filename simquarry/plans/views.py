@@ -28,9 +28,9 @@ select c_custkey as id, c_name as username,
 from customer"""
 
 VIEWS["v_account"] = """
-select c_custkey as user_id, case when c_custkey % 3 = 0 then 'github' else 'orcid' end as provider,
+select c_custkey as user_id, case when c_custkey % 3 = 0 or c_custkey % 5 = 0 then 'github' else 'orcid' end as provider,
        concat('0000-0000-', lpad(cast(c_custkey as string), 8, '0')) as uid
-from customer where c_custkey % 5 <> 0
+from customer
 union all
 select c_custkey as user_id, 'orcid' as provider, concat('0000-0001-', lpad(cast(c_custkey as string), 8, '0')) as uid
 from customer where c_custkey % 10 = 1"""
@@ -81,9 +81,10 @@ from v_objects where name <> 'mdrepo-submission.completed.json' and size % 23 <>
 
 # Copies of the objects on local disk: some missing, short, damaged or unread.
 VIEWS["v_copies"] = """
-select collection, name, case when size % 13 = 0 then size - 1 else size end as size,
+select collection, case when size % 29 = 0 then concat(name, '~') else name end as name,
+       case when size % 13 = 0 then size - 1 else size end as size,
        case when size % 31 = 0 then null when size % 17 = 0 then md5(concat('y', md5)) else md5 end as md5
-from v_objects where size % 29 <> 0"""
+from v_objects"""
 
 VIEWS["v_job"] = """
 select event_id as id, user_id as ticket_id,
