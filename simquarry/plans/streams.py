@@ -25,9 +25,10 @@ def table_stream(i: Inputs, table: str):
     """A given table as a stream of files.
 
     Written as a pattern, the path may be a folder of files or a single file.
+    The bytes of a micro-batch are bounded, and with them the rows of a key.
     """
     schema = view(i.spark, i.sf_dir, table).schema
-    return i.spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(f"{i.sf_dir}/{table}.parque[t]")
+    return i.spark.readStream.schema(schema).option("maxBytesPerTrigger", 256 * 1024 * 1024).parquet(f"{i.sf_dir}/{table}.parque[t]")
 
 
 # --- sources ---------------------------------------------------------------

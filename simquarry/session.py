@@ -16,6 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # State of streams on local disk instead of the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 # A side of a join is broadcast by hint only up to this many (narrow) rows.
@@ -62,6 +66,9 @@ def freeze(df: DataFrame) -> DataFrame:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if ``df`` has at most ``max_rows`` rows, else leave the
-    choice to the optimizer, which shuffles both sides."""
-    seen = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if seen <= max_rows else df
+    choice to the optimizer, which shuffles both sides.
+
+    The size is a plain count, an aggregate of partial counts: a limit would
+    bring rows of every partition into one task.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df

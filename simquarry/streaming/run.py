@@ -19,6 +19,9 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = stream.schema
 
+    # An input without rows still gives a table.
+    spark.createDataFrame([], schema).write.parquet(f"{base}/rows/batch=-1")
+
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{base}/rows/batch={batch_id}")
 
