@@ -29,7 +29,7 @@ MEDIA_FILES = ["thumbnail.png", "minimal.pdb", "sampled.xtc"]
 
 # Backups.
 EXPECTED_REPLICAS = 2
-SNAPSHOT_PREFIX = "mdrepo."
+SNAPSHOT_PREFIX = "backup."
 SNAPSHOT_SUFFIX = ".sql.gz"
 
 # Series.

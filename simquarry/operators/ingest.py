@@ -445,7 +445,7 @@ def _apply_people(existing: Column, incoming: Column) -> Column:
         replaced = F.transform(
             people, lambda held, i: F.when(i + 1 == at, written(held["id"], held["pos"], new)).otherwise(held)
         )
-        added = F.concat(people, F.array(written(F.lit(0).cast("long"), new["pos"], new)))
+        added = F.concat(people, F.array(written(F.lit(None).cast("long"), new["pos"], new)))
         return F.when(at > 0, replaced).otherwise(added)
 
     return F.aggregate(incoming, existing, step)
@@ -495,9 +495,9 @@ def upsert_contributors(
         F.inline(_apply_people(F.coalesce("existing", none), F.filter("people", named))),
     )
     done = freeze(folded.where("touched").drop("touched"))
-    updates = done.where("id > 0").select("id", "simulation_id", *_PERSON)
+    updates = done.where("id is not null").select("id", "simulation_id", *_PERSON)
     start = _max_id(target, "id")
-    inserts = number_rows(done.where("id = 0"), ORDER, "__no").select(
+    inserts = number_rows(done.where("id is null"), ORDER, "__no").select(
         (F.col("__no") + start).alias("id"), "simulation_id", *_PERSON
     )
     new = updates.select("id", F.struct(*_PERSON).alias("__new"))

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from simquarry.functions import rules, text
-from simquarry.functions import fixed_values as fv
 from simquarry.operators import intake as op
 from simquarry.plans.registry import Inputs, named
 
 NOW = "2024-01-20 00:00:00"
-ENTRY = r"^MDRSubmit_([^:]+):(.+)$"
 
 # Views shared by the DuckDB texts below.
 PARTS = {

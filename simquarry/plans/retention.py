@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simquarry.functions import fixed_values as fv
-from simquarry.functions import text
 from simquarry.operators import bundles, retention as op, snapshots
 from simquarry.plans.intake import PARTS
 from simquarry.plans.registry import Inputs, named
@@ -303,8 +301,8 @@ def _(i: Inputs):
 # --- backups ---------------------------------------------------------------
 @named(
     "p27_snapshot_names",
-    """select event_id, concat('mdrepo.', strftime(ts, '%d'), '.sql.gz') as slot, concat('mdrepo.', strftime(ts, '%Y-%m-%d'), '.sql.gz') as archive,
-              'mdrepo.latest.sql.gz' as latest from events""",
+    """select event_id, concat('backup.', strftime(ts, '%d'), '.sql.gz') as slot, concat('backup.', strftime(ts, '%Y-%m-%d'), '.sql.gz') as archive,
+              'backup.latest.sql.gz' as latest from events""",
 )
 def _(i: Inputs):
     return i.events.select("event_id", *[c.alias(n) for n, c in snapshots.snapshot_names(F.col("ts")).items()])
@@ -341,14 +339,15 @@ def _(i: Inputs):
 
 @named(
     "a12_needs_archive",
-    """select m.month, not exists (select 1 from v_archives a where a.name like concat('mdrepo.', m.month, '%')) as needed
+    """select m.month, not exists (select 1 from v_archives a where a.name like concat('backup.', m.month, '%')) as needed
        from (select distinct strftime(o_orderdate, '%Y-%m') as month from orders) m""",
-    {"v_archives": "select concat('mdrepo.', strftime(o_orderdate, '%Y-%m-%d'), '.sql.gz') as name from orders where month(o_orderdate) % 3 <> 0"},
+    {"v_archives": "select concat(case when month(o_orderdate) % 3 = 0 then 'other.' else 'backup.' end, strftime(o_orderdate, '%Y-%m-%d'), '.sql.gz') as name from orders"},
 )
 def _(i: Inputs):
     orders = i.orders
-    archives = orders.where(F.month("o_orderdate") % 3 != 0).select(
-        snapshots.snapshot_names(F.col("o_orderdate"))["archive"].alias("name")
+    names = {p: snapshots.snapshot_names(F.col("o_orderdate"), p)["archive"] for p in ("other.", "backup.")}
+    archives = orders.select(
+        F.when(F.month("o_orderdate") % 3 == 0, names["other."]).otherwise(names["backup."]).alias("name")
     )
     months = orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("month")).distinct()
     return snapshots.needs_archive(archives, months)
@@ -356,11 +355,11 @@ def _(i: Inputs):
 
 @named(
     "w9_surviving_snapshots",
-    """select concat('mdrepo.', strftime(ts, '%d'), '.sql.gz') as name, ts, run_id from v_snapshots where ok
+    """select concat('backup.', strftime(ts, '%d'), '.sql.gz') as name, ts, run_id from v_snapshots where ok
          qualify row_number() over (partition by strftime(ts, '%d') order by ts desc, run_id desc) = 1
-       union all select concat('mdrepo.', strftime(ts, '%Y-%m-%d'), '.sql.gz'), ts, run_id from v_snapshots where ok
+       union all select concat('backup.', strftime(ts, '%Y-%m-%d'), '.sql.gz'), ts, run_id from v_snapshots where ok
          qualify row_number() over (partition by strftime(ts, '%Y-%m') order by ts, run_id) = 1
-       union all (select 'mdrepo.latest.sql.gz', ts, run_id from v_snapshots where ok order by ts desc, run_id desc limit 1)""",
+       union all (select 'backup.latest.sql.gz', ts, run_id from v_snapshots where ok order by ts desc, run_id desc limit 1)""",
 )
 def _(i: Inputs):
     return snapshots.surviving_snapshots(i.v_snapshots)
@@ -394,7 +393,7 @@ select p_partkey as ligand_id, p_partkey % 700 as simulation_id, concat('L', p_s
     "v_structures": "select p_partkey as simulation_id, concat('P', p_size) as pdb_id from part where p_partkey < 700",
     "v_smiles": """
 select distinct concat('p', p_size) as pdb_id, concat('l', p_size % 4) as ligand, case when p_size % 6 = 0 then ' ' else concat('N', p_size) end as smiles
-from part where p_size % 9 <> 0
+from part
 union select distinct concat('p', p_size), 'zz', 'ZZ' from part where p_size % 5 = 0""",
 }
 

@@ -37,19 +37,28 @@ def _(i: Inputs):
     return i.v_dir_files.select("page_id", rules.format_by_ext(F.array("path", second)).alias("format"))
 
 
-@named("p15_format_by_content")
-def _(i: Inputs):
-    # Bytes of a text differ between the engines' string functions; the tests
-    # check this one on files.
-    head = (
-        F.when(F.col("doc_id") % 6 == 0, "REMARK x\nATOM      1\n")
-        .when(F.col("doc_id") % 6 == 1, "; c\n [ moleculetype ]\n")
-        .when(F.col("doc_id") % 6 == 2, "title\n  12 \n")
-        .otherwise("")
-    )
-    content = F.concat(head, F.col("text")).cast("binary")
-    path = F.concat(F.lit("/d/"), F.col("doc_id").cast("string"), F.lit(".tpr"))
-    return i.documents.select("doc_id", rules.format_by_content(path, content).alias("format"))
+# File heads of every kind, in ASCII, so that bytes and characters agree.
+HEADS = """
+select p_partkey, concat('/d/', p_partkey, case p_partkey % 3 when 0 then '.tpr' when 1 then '.xyz' else '.PRMTOP' end) as path,
+       case p_partkey % 8 when 0 then concat('REMARK x', chr(10), p_name) when 1 then concat('; ', p_name, chr(10), ' [ moleculetype ]', chr(10), p_brand)
+            when 2 then concat(p_name, chr(10), '  ', p_size, ' ', chr(13), chr(10), p_type) when 3 then concat(repeat(chr(1), 60), p_name) when 4 then ''
+            when 5 then concat(p_name, chr(13), chr(10), 'TITLE ', p_type) when 6 then concat(p_name, chr(10), p_retailprice) else concat(p_name, ' ATOM  ', p_size) end as body
+from part"""
+
+
+@named(
+    "p15_format_by_content",
+    r"""select p_partkey, case when body = '' then null
+              when length(regexp_replace(body, '[^\x09-\x7e]', '', 'g')) / length(body) < 0.85 then case p_partkey % 3 when 0 then 'TPR' when 2 then 'TOP' end
+              when regexp_matches(body, '(^|[\r\n])\s*\[\s*(defaults|atomtypes|moleculetype|system|molecules)\s*\]') then 'ITP'
+              when regexp_matches(body, '(^|[\r\n])(ATOM  |HETATM|HEADER|CRYST1|MODEL |REMARK|TITLE |COMPND)') then 'PDB'
+              when regexp_matches(regexp_extract(body, '^[^\r\n]*(\r\n|\n|\r)([^\r\n]*)', 2), '^\s*[+-]?[0-9]+\s*$') then 'GRO' end as format
+       from v_heads""",
+    {"v_heads": HEADS},
+)
+def _(i: Inputs):
+    heads = query(i.spark, i.sf_dir, HEADS)
+    return heads.select("p_partkey", rules.format_by_content(F.col("path"), F.col("body").cast("binary")).alias("format"))
 
 
 @named("p16_is_background", f"select sim_id, atom_id, {BACKGROUND} as background from v_atoms")

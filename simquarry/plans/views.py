@@ -316,6 +316,9 @@ def oracle(sql: str, extra: dict[str, str] | None = None) -> str:
     """The DuckDB text of a query over the views; ``extra`` adds local ones."""
     known = {**VIEWS, **DUCK, **(extra or {})}
     views = closure(sql, known)
-    ctes = [f"{v} as ({known[v]})" for v in views]
-    head = "with recursive" if any(re.search(rf"\b{v}\b", known[v]) for v in views) else "with"
+    loops = [v for v in views if re.search(rf"\b{v}\b", known[v])]
+    # What a recursion reads is computed once, not once a round.
+    once = " materialized" if loops else ""
+    ctes = [f"{v} as{'' if v in loops else once} ({known[v]})" for v in views]
+    head = "with recursive" if loops else "with"
     return f"{head} {', '.join(ctes)} {sql}" if ctes else sql

@@ -9,8 +9,6 @@ from tests.compare import duck, run
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, TEXTS = entry.queries(), entry.oracle_sql()
-# No plain SQL says the same; other tests check these row by row.
-WITHOUT_SQL = {"m5_upsert_contributors", "p15_format_by_content"}
 
 
 @pytest.fixture(scope="module")
@@ -25,9 +23,8 @@ def test_query(spark, con, name):
     assert "EMPTY" not in message
 
 
-def test_only_known_queries_lack_sql():
-    assert set(QUERIES) - set(TEXTS) == WITHOUT_SQL
-    assert set(TEXTS) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(TEXTS) == set(QUERIES)
 
 
 def test_entry_has_rows(spark):

@@ -122,16 +122,16 @@ def test_surviving_snapshots_by_replay(make):
     for ts, run, ok in runs:
         if not ok:
             continue
-        disk[ts.strftime("mdrepo.%d.sql.gz")] = run
-        disk["mdrepo.latest.sql.gz"] = run
-        if not any(n.startswith(ts.strftime("mdrepo.%Y-%m")) for n in disk):
-            disk[ts.strftime("mdrepo.%Y-%m-%d.sql.gz")] = run
+        disk[ts.strftime("backup.%d.sql.gz")] = run
+        disk["backup.latest.sql.gz"] = run
+        if not any(n.startswith(ts.strftime("backup.%Y-%m")) for n in disk):
+            disk[ts.strftime("backup.%Y-%m-%d.sql.gz")] = run
     df = make("ts timestamp_ntz, run_id string, ok boolean", *runs)
     assert rows(snapshots.surviving_snapshots(df), "name", "run_id") == sorted(disk.items())
 
 
 def test_needs_archive(make):
-    names = make("name string", ("mdrepo.2024-01-05.sql.gz",), ("mdrepo.05.sql.gz",))
+    names = make("name string", ("backup.2024-01-05.sql.gz",), ("backup.05.sql.gz",))
     assert rows(snapshots.needs_archive(names, make("month string", ("2024-01",), ("2024-02",)))) == [("2024-01", False), ("2024-02", True)]
 
 
