@@ -117,7 +117,7 @@ def test_contributors(make, seed):
     person = lambda: (
         rnd.choice(["", "n1", "n2"]), rnd.choice(["", "e1", "e2", None]), rnd.choice(["i", None]), rnd.choice(["", "", "o1", "o2"]), rnd.choice([None, None, 40]),
     )
-    held = [(k + 1, k % 3, *(v or "" for v in person()[:4]), 1) for k in range(7)]
+    held = [(k, k % 3, *(v or "" for v in person()[:4]), 1) for k in range(7)]
     docs = [(f"d{k}", k % 4, [person() for _ in range(rnd.randrange(6))]) for k in range(6)]
     table, actions, rejects, deferred = ingest.upsert_contributors(
         make("doc string, simulation_id long, contributors array<struct<name:string,email:string,institution:string,orcid:string,rank:int>>", *docs),
