@@ -19,12 +19,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simquarry.llm.bpe import slices
 from simquarry.llm.components import components
-from simquarry.session import freeze
+from simquarry.session import broadcast_if_small, freeze
 
 WORDS = 5
 PERCENT = 80
@@ -84,34 +85,52 @@ def _bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def _wide_bitmap(s: np.ndarray) -> bytes:
+    """A bitmap with a power of two of bits, at least one for each shingle."""
+    width = max(512, 1 << (len(s) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[s & np.uint64(width - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _differing(x: bytes, y: bytes) -> int:
+    """Bits in which two wide bitmaps differ at least; the wider is folded to the width of the other."""
+    x, y = sorted((x, y), key=len)
+    narrow = np.frombuffer(x, np.uint64)
+    folded = np.bitwise_or.reduce(np.frombuffer(y, np.uint64).reshape(-1, len(narrow)), axis=0)
+    return int(np.bitwise_count(narrow ^ folded).sum())
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """For each row: doc_id, node, n and bitmap; and in rows of their own the shingles frequent in a batch (token, seen)."""
-    schema = "doc_id long, node long, n long, " + ", ".join(f"{b} long" for b in BITS) + ", token long, seen long"
-    arrow = pa.schema([(x.split()[0], pa.int64()) for x in schema.split(", ")])
+    """For each row: doc_id, node, n and bitmaps; and in rows of their own the shingles frequent in a batch (token, seen)."""
+    longs = ["doc_id", "node", "n", *BITS, "token", "seen"]
+    schema = ", ".join(f"{c} long" for c in longs) + ", wide binary"
+    arrow = pa.schema([*((c, pa.int64()) for c in longs), ("wide", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in slices(batches, "text", 16 << 20):
             ids = batch.column("doc_id").to_pylist()
-            node, n, bits, once = [], [], np.zeros((len(ids), LONGS), np.int64), {}
+            node, n, bits, wide, once = [], [], np.zeros((len(ids), LONGS), np.int64), [], {}
             for i, text in enumerate(batch.column("text").to_pylist()):
                 s = shingles(text, hashes, size)
                 n.append(len(s))
                 node.append(_key(s) if len(s) else None)
+                wide.append(_wide_bitmap(s) if len(s) else None)
                 if len(s):
                     bits[i] = _bitmap(s)
                     once[node[-1]] = s
             none = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int64()), *(pa.array(bits[:, k]) for k in range(LONGS)), none, none], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int64()), *(pa.array(bits[:, k]) for k in range(LONGS)), none, none, pa.array(wide, pa.binary())], schema=arrow)
             if once:
                 token, seen = np.unique(np.concatenate(list(once.values())), return_counts=True)
                 often = seen >= max(2, len(once) // FREQUENT)
                 none = pa.nulls(int(often.sum()), pa.int64())
-                yield pa.RecordBatch.from_arrays([*[none] * (3 + LONGS), pa.array(_signed(token[often])), pa.array(seen[often])], schema=arrow)
+                yield pa.RecordBatch.from_arrays([*[none] * (3 + LONGS), pa.array(_signed(token[often])), pa.array(seen[often]), pa.nulls(len(none), pa.binary())], schema=arrow)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
@@ -380,33 +399,82 @@ def _links(members: DataFrame, keys: list[str], percent: int, labelled: bool, si
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough.  Sets are made anew for the nodes in question only."""
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = asked.join(nodes.select("node", "doc"), "node").select("doc").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("doc"), "left_semi")
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that bitmaps as wide as the sets allow; the tree's are narrow for long texts."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nx, ny, x, y = (batch.column(c).to_pylist() for c in ("nx", "ny", "x", "y"))
+            ok = [(100 + percent) * (i + j - _differing(p, q)) >= 2 * percent * (i + j) for i, j, p, q in zip(nx, ny, x, y, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    side = lambda end, n, bits: nodes.select(F.col("node").alias(end), F.col("n").alias(n), F.col("wide").alias(bits))
+    return pairs.join(side("a", "nx", "x"), "a").join(side("b", "ny", "y"), "b").select("a", "b", "nx", "ny", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _texts(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """(node, packed): the compressed text of a document of each node of ``asked``."""
+    wanted = nodes.join(asked, "node", "left_semi").select("node", F.col("doc").alias("doc_id"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in slices(batches, "text"):
-            found = [s for t in batch.column("text").to_pylist() if len(s := shingles(t, hashes, size))]
-            yield pa.RecordBatch.from_arrays([pa.array(map(_key, found), pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([squeeze((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())], names=["doc_id", "packed"])
+
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(pack, "doc_id long, packed binary")
+    return freeze(packed.join(broadcast_if_small(wanted), "doc_id").select("node", "packed"))
+
 
-    full = freeze(texts.select("text").mapInArrow(sets, "node long, shingles binary"))
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b, linked): whether the full sets of each pair are similar enough.
+
+    The text of b travels to that of a.  A text that is not of its node (rows
+    with one id may differ) verifies nothing.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, unpack = _Hashes(), zstandard.ZstdDecompressor().decompress
+        made: tuple[bytes, np.ndarray] = (b"", np.empty(0, np.uint64))
+
+        def full(packed: bytes) -> np.ndarray:
+            return shingles(unpack(packed).decode(), hashes, size)
+
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(s) + len(t) - len(np.union1d(s, t))
-                ok.append(100 * both >= percent * (len(s) + len(t) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
-
-    joined = pairs.join(full.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(full.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+            a, b, ok = [], [], []
+            for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y")), strict=True):
+                if made[0] != x:
+                    made = (x, full(x))
+                s, t = made[1], full(y)
+                if _key(s) == i and _key(t) == j:
+                    both = len(s) + len(t) - len(np.union1d(s, t))
+                    a.append(i)
+                    b.append(j)
+                    ok.append(100 * both >= percent * (len(s) + len(t) - both))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
+
+    sent = texts.select(F.col("node").alias("b"), F.col("packed").alias("y")).join(broadcast_if_small(pairs), "b")
+    near = texts.select(F.col("node").alias("a"), F.col("packed").alias("x")).join(broadcast_if_small(pairs.select("a").distinct()), "a", "left_semi")
+    joined = sent.join(near, "a")
     return joined.select("a", "b", "x", "y").mapInArrow(check, "a long, b long, linked boolean").distinct()
 
 
+def _ends(edges: DataFrame, label: DataFrame) -> DataFrame:
+    """``edges`` with la and lb, the labels of their ends (the node itself if it has none)."""
+    one, two = label.select(F.col("node").alias("a"), F.col("label").alias("la")), label.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    return edges.join(one, "a", "left").join(two, "b", "left").withColumns({"la": F.coalesce("la", "a"), "lb": F.coalesce("lb", "b")})
+
+
+def _relabelled(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (node, label) after the groups at both ends of ``links`` have become one."""
+    groups = components(_ends(links, label).select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    old = label.select("node", "label").unionByName(_nodes_of(links).join(label, "node", "left_anti").withColumn("label", F.col("node")))
+    return freeze(old.join(groups.select(F.col("node").alias("label"), "component"), "label", "left").select("node", F.coalesce("component", "label").alias("label")))
+
+
 def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """For every row of ``docs`` (doc_id, text): doc_id, n_shingles and component_id.
 
@@ -418,8 +486,8 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -
     link further.  Other columns are not looked at.
     """
     sets = freeze(_sets(docs, size))
-    rows = sets.where("token is null").select("doc_id", "node", "n", *BITS)
-    nodes = freeze(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), *(F.first(b).alias(b) for b in BITS)))
+    rows = sets.where("token is null")
+    nodes = freeze(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("wide").alias("wide"), *(F.first(b).alias(b) for b in BITS)))
     n_nodes = nodes.count()
     common = (
         sets.where("token is not null")
@@ -434,15 +502,21 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -
     order = np.argsort(tokens)
     blocks = freeze(_blocks(_prefixes(docs, size, percent, (tokens[order], common["seen"].to_numpy(np.int64)[order]))))
 
-    asked = nodes.where("doc is not null")
-    first = freeze(_links(blocks.join(asked, "node"), ["block", "chunk"], percent, False, False))
-    checked = freeze(_verified(first, nodes, docs, size, percent))
-    linked = checked.where("linked").select("a", "b")
-    label = components(linked)
+    asked = nodes.where("doc is not null").drop("wide")
+    first = freeze(_plausible(_links(blocks.join(asked, "node"), ["block", "chunk"], percent, False, False), nodes, percent))
+    texts = _texts(docs, nodes, _nodes_of(first))
+
+    # Each node is held against one other first; most groups are whole then.
+    lead = freeze(first.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    lead = freeze(_verified(lead, texts, size, percent))
+    label = _relabelled(rows.sparkSession.createDataFrame([], "node long, label long"), lead.where("linked").select("a", "b"))
+    rest = freeze(_ends(first.join(lead, ["a", "b"], "left_anti"), label).where("la <> lb").select("a", "b"))
+    rest = freeze(_verified(rest, texts, size, percent))
+    label = _relabelled(label, rest.where("linked").select("a", "b"))
+    checked = lead.unionByName(rest).select("a", "b")
 
     # Blocks whose sets are not all of one group by now, cut into pairs of chunks.
-    labelled = blocks.join(label.withColumnRenamed("component", "label"), "node", "left").select("block", "chunk", "node", F.coalesce("label", "node").alias("label"))
-    labelled = freeze(labelled)
+    labelled = freeze(blocks.join(label, "node", "left").select("block", "chunk", "node", F.coalesce("label", "node").alias("label")))
     open_ = labelled.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("chunk").alias("last"), F.count("*").alias("m")).where("low <> high and m > 2").select("block", "last")
     other = F.explode(F.sequence(F.least(F.col("last"), F.lit(0)), F.col("last"))).alias("other")
     paired = (
@@ -451,22 +525,21 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -
         .select("block", "node", "label", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
     )
     second = _links(paired.join(asked, "node"), ["block", "i", "j"], percent, True, True)
-    second = freeze(second.join(checked.select("a", "b"), ["a", "b"], "left_anti"))
-    more = _verified(second, nodes, docs, size, percent).where("linked").select("a", "b")
+    second = freeze(_plausible(second.join(checked, ["a", "b"], "left_anti"), nodes, percent))
+    texts = texts.unionByName(_texts(docs, nodes, _nodes_of(second).join(texts, "node", "left_anti")))
+    more = _verified(second, texts, size, percent).where("linked").select("a", "b")
+    label = _relabelled(label, freeze(more.unionByName(_same_id(rows))))
 
-    links = linked.unionByName(more)
-    doc = nodes.select("node", "doc")
-    ends = links.join(doc.select(F.col("node").alias("a"), F.col("doc").alias("x")), "a").join(doc.select(F.col("node").alias("b"), F.col("doc").alias("y")), "b")
-    named = components(freeze(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(_same_id(rows, nodes))))
+    groups = label.join(nodes.select("node", "doc"), "node").groupBy("label").agg(F.min("doc").alias("component_id"))
+    named = label.join(groups, "label").select("node", "component_id")
     return (
         rows.select("doc_id", "node", "n")
-        .join(doc, "node", "left")
-        .join(named.withColumnRenamed("node", "doc"), "doc", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc", "doc_id").alias("component_id"))
+        .join(nodes.select("node", "doc").join(named, "node", "left"), "node", "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc", "doc_id").alias("component_id"))
     )
 
 
-def _same_id(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links of nodes that hold rows with one doc_id but other texts."""
-    several = rows.where("doc_id is not null and node is not null").groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("doc_id")
-    return rows.join(several, "doc_id").join(nodes.select("node", "doc"), "node").select(F.col("doc_id").alias("a"), F.col("doc").alias("b")).distinct()
+def _same_id(rows: DataFrame) -> DataFrame:
+    """Links between the nodes of rows with one doc_id but other sets."""
+    several = rows.where("doc_id is not null and node is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a <> high").select("doc_id", "a")
+    return rows.join(several, "doc_id").where("node is not null and node <> a").select("a", F.col("node").alias("b")).distinct()
