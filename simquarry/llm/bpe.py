@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -28,10 +29,11 @@ from tokenizers import Tokenizer
 
 # Fixed value: the split of byte-level encodings, with the white space below U+0250 written out.
 SPACE = r"\t-\r \x85\xa0"
+CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 # Characters on whose classes all versions of Unicode agree; texts with others
 # are split by the tokenizer itself.
-PLAIN = regex.compile(r"[\x00-ɏ]*")
+PLAIN = re.compile(r"[\x00-\u024f]*")
 
 MAX_WORDS = 300_000  # words that a task remembers before it starts anew
 MAX_BYTES = 64 << 20  # and their bytes
@@ -99,7 +101,7 @@ class WordTrie:
 
     def __init__(self, voc: Vocabulary) -> None:
         self.voc = voc
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         self.size = 0
 
     def add(self, words: set[str]) -> None:
@@ -130,16 +132,21 @@ class WordTrie:
                     break
 
     @staticmethod
-    def _read(last: list[int], span: list[int]) -> list[int]:
+    def _read(last: list[int], span: list[int]) -> bytes:
         out, at = [], len(last)
         while at:
             out.append(last[at - 1])
             at -= span[at - 1]
-        return out[::-1]
+        return packed(out[::-1])
 
 
 class Encoder:
-    """Whole texts to ids and back."""
+    """Whole texts to ids and back.
+
+    Ids are bytes, four for each, little-endian.  Texts are taken in chunks (a
+    run without white space with the blank before it, or white space), which
+    the vocabulary's split never joins; the words of a chunk go to the trie.
+    """
 
     def __init__(self, path: str) -> None:
         self.voc = vocabulary(path)
@@ -148,31 +155,55 @@ class Encoder:
         names = sorted(self.voc.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.letters = byte_letters()
-
-    def split(self, text: str) -> list[str]:
-        if PLAIN.fullmatch(text):
-            return self.words(text)
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, chunks: set[str]) -> None:
+        new = chunks - self.known.keys()
+        if len(self.known) + len(new) > MAX_WORDS:
+            self.known, new = {}, chunks
+        split = {c: self.words(c) for c in new}
+        self.trie.add({w for words in split.values() for w in words})
+        for c, words in split.items():
+            self.known[c] = b"".join(map(self.trie.known.__getitem__, words))
+
+    def _whole(self, text: str) -> bytes:
+        """For texts beyond ``PLAIN``: the tokenizer splits, the trie encodes."""
         raw = (bytes(self.letters[c] for c in w) for w, _ in self.voc.tokenizer.pre_tokenizer.pre_tokenize_str(text))
-        return [w.decode() for w in raw]
+        words = [w.decode() for w in raw]
+        self.trie.add(set(words))
+        return b"".join(map(self.trie.known.__getitem__, words))
 
-    def encode_batch(self, texts: list[str]) -> Iterator[list[int]]:
+    def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text.  The words of all texts go through the trie together."""
-        split = [[(p, p in self.voc.special or self.split(p)) for p in (self.special.split(t) if self.special else [t])] for t in texts]
-        known = self.trie.known
-        self.trie.add({w for pieces in split for _, words in pieces if words is not True for w in words})
-        known = self.trie.known
+        split = []
+        for text in texts:
+            pieces = self.special.split(text) if self.special else [text]
+            split.append([(p, CHUNK.findall(p) if p not in self.voc.special and PLAIN.fullmatch(p) else None) for p in pieces])
+        self._learn({c for pieces in split for _, chunks in pieces for c in chunks or ()})
+        find = self.known.__getitem__
         for pieces in split:
-            ids: list[int] = []
-            for piece, words in pieces:
-                if words is True:
-                    ids.append(self.voc.special[piece])
-                else:
-                    for w in words:
-                        ids += known[w]
-            yield ids
+            yield b"".join(
+                b"".join(map(find, chunks)) if chunks is not None else packed([self.voc.special[p]]) if p in self.voc.special else self._whole(p) for p, chunks in pieces
+            )
+
+    def decode(self, ids: bytes) -> str:
+        return b"".join(map(self.voc.text_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", errors="replace")
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The encoder of this process; what it has learned serves the next task too."""
+    return Encoder(path)
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.voc.text_of.__getitem__, ids)).decode("utf-8", errors="replace")
+def id_lists(ids: list[bytes]) -> pa.ListArray:
+    """Packed ids as an Arrow column, without an object for each id."""
+    ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
 
 def slices(batches: Iterator[pa.RecordBatch], texts: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -195,10 +226,9 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFra
     schema = docs.select(*keep, F.lit(None).cast("array<int>").alias("ids")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
         for batch in slices(batches, "__text"):
             texts = [t or "" for t in batch.column("__text").to_pylist()]
-            ids = pa.array(list(encoder.encode_batch(texts)), pa.list_(pa.int32()))
+            ids = id_lists(list(encoder(path).encode_batch(texts)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], names=[*keep, "ids"])
 
     return asked.mapInArrow(run, schema)
@@ -210,9 +240,8 @@ def decode(encoded: DataFrame, path: str, keep: list[str] | None = None) -> Data
     schema = encoded.select(*keep, F.lit(None).cast("string").alias("text")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
         for batch in slices(batches, "ids"):
-            texts = pa.array([encoder.decode(x or []) for x in batch.column("ids").to_pylist()], pa.string())
+            texts = pa.array([encoder(path).decode(packed(x or [])) for x in batch.column("ids").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), texts], names=[*keep, "text"])
 
     return encoded.select(*keep, "ids").mapInArrow(run, schema)
@@ -226,13 +255,13 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     schema = docs.select("doc_id", F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("ids_sha256"), F.lit("").alias("decoded_sha256")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        own = encoder(path)
         for batch in slices(batches, "text"):
             counts, ids_hex, texts_hex = [], [], []
-            for ids in encoder.encode_batch([t or "" for t in batch.column("text").to_pylist()]):
-                counts.append(len(ids))
-                ids_hex.append(hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
-                texts_hex.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
+            for ids in own.encode_batch([t or "" for t in batch.column("text").to_pylist()]):
+                counts.append(len(ids) // 4)
+                ids_hex.append(hashlib.sha256(ids).hexdigest())
+                texts_hex.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(texts_hex, pa.string())], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
