@@ -9,6 +9,8 @@ results are exact.  Items shorter than a window are fingerprinted whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from simquarry.session import broadcast_if_small, freeze
 
 WINDOW = 10
 GRAM = 7
+SIEVE = 1 << 14
 
 
 def _grams(words: Column, size: int) -> Column:
@@ -49,6 +52,23 @@ def _items(benchmark: DataFrame, window: int) -> DataFrame:
     )
 
 
+def _sieve(prints: DataFrame) -> Callable[[Column], Column]:
+    """Whether a fingerprint may be among ``prints``, by one bit of ``SIEVE`` x 64.
+
+    The bitmap has one size whatever the benchmark's; where that is large, more
+    fingerprints pass and are sorted out by the join that follows.
+    """
+    place = lambda p: F.pmod(F.shiftrightunsigned(p, 6), F.lit(SIEVE))
+    bit = lambda p: F.pmod(p, F.lit(64)).cast("int")
+    p = F.col("print")
+    rows = prints.groupBy(place(p).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(print, 64) as int))")).alias("bits")).collect()  # SIEVE rows at most
+    words = [0] * SIEVE
+    for r in rows:
+        words[r["at"]] = r["bits"]
+    bitmap = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+    return lambda x: F.getbit(bitmap[place(x).cast("int")], bit(x)) == 1
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """For every row of ``docs`` (doc_id, text): the words that lie in a window of a benchmark item.
 
@@ -76,13 +96,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         item_prints = item_prints.unionByName(items.where(F.col("span") == k).select(F.explode(_grams(F.col("words"), k)).alias("print")))
     item_prints = freeze(item_prints.distinct())
 
+    # One pass over the texts: a bitmap of fixed size keeps the fingerprints that
+    # an item may have, the join with the items' own then decides.
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    counted = keyed.select("doc_id", "text_hash", F.size(text_words(F.col("text"))).cast("long").alias("n_words"))
-    found = (
-        keyed.select("doc_id", "text_hash", let(text_words(F.col("text")), kinds).alias("prints"))
-        .select("doc_id", "text_hash", F.explode("prints").alias("print"))
-        .join(broadcast_if_small(item_prints), "print")
+    sieve = _sieve(item_prints)
+    seen = freeze(
+        keyed.select(
+            "doc_id",
+            "text_hash",
+            let(text_words(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.filter(kinds(w), sieve).alias("prints"))).alias("x"),
+        ).select("doc_id", "text_hash", "x.*")
     )
+    counted = seen.select("doc_id", "text_hash", "n_words")
+    found = seen.select("doc_id", "text_hash", F.explode("prints").alias("print")).join(broadcast_if_small(item_prints), "print")
     hits = freeze(found.groupBy("doc_id", "text_hash").agg(F.collect_set("print").alias("prints")))
 
     # Where the fingerprints stand, in items and in the documents that have one.
