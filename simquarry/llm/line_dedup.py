@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simquarry.llm.text import BLANK_WORD, let, positions
-from simquarry.session import freeze
+from simquarry.session import broadcast_if_small, freeze
 
 LINES = 2  # lines under the rolling hash
 EVERY = 3  # one line in so many ends a chunk
@@ -70,7 +70,7 @@ def repeated_chunks(docs: DataFrame, lines: int = LINES, every: int = EVERY, min
         .select("h1", "h2", "first")
     )
     often = freeze(often)
-    texts = freeze(cut.select("doc_id", "text_hash", "chunk", "n_lines", "text", *marks).join(often, ["h1", "h2"]))
+    texts = freeze(cut.select("doc_id", "text_hash", "chunk", "n_lines", "text", *marks).join(broadcast_if_small(often), ["h1", "h2"]))
     keeper = texts.where(place.eqNullSafe(F.col("first"))).dropDuplicates(["h1", "h2"]).select("h1", "h2", F.col("text").alias("first_text"))
     return (
         texts.where(~place.eqNullSafe(F.col("first")))
@@ -87,14 +87,14 @@ def dedup_lines(docs: DataFrame, lines: int = LINES, every: int = EVERY, min_wor
     Null texts stay null, with zeros; empty texts have one empty chunk.  Texts
     without repeated chunks stay as they are, byte for byte.
     """
-    gone = (
+    gone = freeze(
         repeated_chunks(docs, lines, every, min_words)
         .distinct()
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("chunk").alias("chunks"), F.sum("n_lines").cast("long").alias("n_lines"), F.sum("n_chars").cast("long").alias("n_chars"))
     )
-    d, g = docs.withColumn("__hash", F.xxhash64("text")).alias("d"), gone.alias("g")
-    joined = d.join(g, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.__hash") == F.col("g.text_hash")), "left")
+    d = docs.withColumn("__hash", F.xxhash64("text")).alias("d")
+    joined = d.join(broadcast_if_small(gone).alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.__hash") == F.col("g.text_hash")), "left")
     left = F.array_join(
         F.transform(F.filter(_chunks(F.col("d.text"), lines, every), lambda c: ~F.array_contains(F.col("g.chunks"), c["chunk"])), lambda c: c["text"]), "\n"
     )
