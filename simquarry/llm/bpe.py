@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -35,7 +37,7 @@ SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N
 # are split by the tokenizer itself.
 PLAIN = re.compile(r"[\x00-\u024f]*")
 
-MAX_WORDS = 300_000  # words that a task remembers before it starts anew
+MAX_WORDS = 500_000  # words that a worker remembers before it starts anew
 MAX_BYTES = 64 << 20  # and their bytes
 
 
@@ -197,7 +199,7 @@ def encoder(path: str) -> Encoder:
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
 
 def id_lists(ids: list[bytes]) -> pa.ListArray:

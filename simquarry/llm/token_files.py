@@ -8,61 +8,68 @@ doc_id: each holds a range of them in order.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from simquarry.llm.bpe import slices
+from simquarry.llm.bpe import id_lists, packed, slices
 from simquarry.session import shared_folder
 
 END_ID = 1
 STRIDE = 1000
-MAX_WORDS = 300_000
+MAX_WORDS = 1_000_000  # runs that a worker remembers before it starts anew
 
 # Below U+0250 composition changes nothing and a letter's lower case does not
-# depend on its neighbours; other texts go through the tokenizer whole.
-PLAIN = regex.compile(r"[\x00-ɏ]*")
-# Fixed value: the split of this vocabulary, after lowering.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t-\r \x85\xa0\p{L}\p{N}]+")
+# depend on its neighbours; other texts go through the tokenizer whole.  So do
+# those with U+001C to U+001F, which only Python takes for white space.
+PLAIN = re.compile(r"[\x00-\x1b\x20-\u024f]*")
 
 
 class WordEncoder:
-    """The tokenizers library, asked once for each distinct word."""
+    """The tokenizers library, asked once for each run of characters without white space.
+
+    White space is dropped by this vocabulary's split and never within a word,
+    so such runs are encoded on their own.  Ids are packed, four bytes for each.
+    """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
         plain = [PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
-        split = [SPLIT.findall(t.lower()) if p else None for t, p in zip(texts, plain, strict=True)]
-        if len(self.known) > MAX_WORDS:
-            self.known = {}
-        new = list({w for words in split if words for w in words} - self.known.keys())
-        for word, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[word] = got.ids
-        known = self.known
+        split = [t.lower().split() if p else None for t, p in zip(texts, plain, strict=True)]
+        runs = {w for words in split if words for w in words}
+        new = list(runs - self.known.keys())
+        if len(self.known) + len(new) > MAX_WORDS:
+            self.known, new = {}, list(runs)
+        for at in range(0, len(new), 2000):
+            self.known.update(zip(new[at : at + 2000], self._ids(new[at : at + 2000]), strict=True))
+        find = self.known.__getitem__
         for text, words in zip(texts, split, strict=True):
-            if words is None:
-                yield self.whole(text)
-            else:
-                ids: list[int] = []
-                for w in words:
-                    ids += known[w]
-                yield ids
+            yield self._ids([text])[0] if words is None else b"".join(map(find, words))
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> WordEncoder:
+    """The encoder of this process; what it has learned serves the next task too."""
+    return WordEncoder(path)
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
@@ -77,13 +84,13 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
     schema = ranged.select("doc_id", F.lit(None).cast("array<int>").alias("ids"), "part", F.lit(0).cast("long").alias("at")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at = WordEncoder(tokenizer), 0
-        for batch in slices(batches, "text"):
-            ids = [[*x, end_id] for x in encoder.encode([t or "" for t in batch.column("text").to_pylist()])]
-            before = np.cumsum([at, *map(len, ids)])
+        at, end = 0, packed([end_id])
+        for batch in slices(batches, "text", 2 << 20):
+            ids = [x + end for x in encoder(tokenizer).encode([t or "" for t in batch.column("text").to_pylist()])]
+            before = np.cumsum([at, *(len(x) // 4 for x in ids)])
             at = int(before[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), batch.column("part"), pa.array(before[:-1], pa.int64())], names=["doc_id", "ids", "part", "at"]
+                [batch.column("doc_id"), id_lists(ids), batch.column("part"), pa.array(before[:-1], pa.int64())], names=["doc_id", "ids", "part", "at"]
             )
 
     (
