@@ -123,7 +123,7 @@ def format_by_content(path: Column, content: Column) -> Column:
     )
     return (
         F.when(F.coalesce(F.length(head), F.lit(0)) == 0, F.lit(None).cast("string"))
-        .when(share < 0.85, reader_format(F.substring(extension(path), 2, 64)))
+        .when(share < 0.85, reader_format(F.substring(extension(path), F.lit(2), F.length(path))))
         .when(F.exists(lines, lambda s: s.rlike(fv.TOPOLOGY_SECTION)), "ITP")
         .when(record, "PDB")
         .when(second.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), "GRO")
@@ -161,7 +161,7 @@ def element_from_name(name: Column) -> Column:
 def atomic_number(symbol: Column) -> Column:
     """Atomic number of a symbol in any case; 0 if there is none."""
     known = F.array(*[F.lit(e) for e in fv.ELEMENTS])
-    text = F.concat(F.upper(F.substring(symbol, 1, 1)), F.lower(F.substring(symbol, 2, 8)))
+    text = F.concat(F.upper(F.substring(symbol, 1, 1)), F.lower(F.substring(symbol, F.lit(2), F.length(symbol))))
     return F.coalesce(F.array_position(known, text), F.lit(0)).cast("int")
 
 

@@ -390,7 +390,7 @@ LIGANDS = {
     "v_ligands": """
 select p_partkey as ligand_id, p_partkey % 700 as simulation_id, concat('L', p_size % 4) as name,
        case when p_partkey % 3 = 0 then '' when p_partkey % 11 = 0 then null else concat('C', p_size) end as smiles from part""",
-    "v_structures": "select p_partkey as simulation_id, concat('P', p_size) as pdb_id from part where p_partkey < 700",
+    "v_structures": "select p_partkey as simulation_id, concat('P', p_size) as pdb_id from part",
     "v_smiles": """
 select distinct concat('p', p_size) as pdb_id, concat('l', p_size % 4) as ligand, case when p_size % 6 = 0 then ' ' else concat('N', p_size) end as smiles
 from part
