@@ -29,12 +29,23 @@ def selected(coords: DataFrame, atoms: DataFrame | None) -> DataFrame:
     return coords.join(broadcast_if_small(atoms.select("sim_id", "atom_id")), ["sim_id", "atom_id"], "left_semi")
 
 
-def first_frame(coords: DataFrame, atoms: DataFrame | None = None, frame: int = 0) -> DataFrame:
+def start_frames(coords: DataFrame) -> DataFrame:
+    """The least frame of each simulation: (sim_id, frame)."""
+    return coords.groupBy("sim_id").agg(F.min("frame").alias("frame"))
+
+
+def first_frame(
+    coords: DataFrame, atoms: DataFrame | None = None, frame: int | None = None, starts: DataFrame | None = None
+) -> DataFrame:
     """One frame as a structure, with the columns of ``atoms`` if given.
 
-    The frame filter reaches the scan.
+    It is the frame of that number, whose filter reaches the scan, or the first
+    one that each simulation has.  ``starts`` gives those if they are known.
     """
-    one = coords.where(F.col("frame") == frame)
+    if frame is not None:
+        one = coords.where(F.col("frame") == frame)
+    else:
+        one = coords.join(broadcast_if_small(start_frames(coords) if starts is None else starts), ["sim_id", "frame"], "left_semi")
     return one if atoms is None else one.join(atoms, ["sim_id", "atom_id"])
 
 
@@ -79,8 +90,9 @@ def _det(m: list[list[Column]]) -> Column:
     )
 
 
-def rmsd(coords: DataFrame, ref_frame: int = 0, atoms: DataFrame | None = None) -> DataFrame:
-    """RMSD of each frame against a frame of its own after the best rigid fit.
+def rmsd(coords: DataFrame, ref_frame: int | None = None, atoms: DataFrame | None = None) -> DataFrame:
+    """RMSD of each frame against one of the same simulation after the best
+    rigid fit: the frame of that number, or the first.
 
     The singular values of the cross-sum matrix R come from the eigenvalues of
     the symmetric matrix R'R in closed (trigonometric) form, so everything
@@ -235,5 +247,6 @@ def minimal(atoms: DataFrame, coords: DataFrame, keep_lipids: bool = False) -> t
     kept = kept_atoms(atoms, keep_lipids)
     mine = selected(coords, kept)
     fit = select_atoms(kept)
-    fitted = superpose(mine, orient_reference(first_frame(mine), fit), fit)
-    return fitted, first_frame(fitted)
+    starts = start_frames(mine)
+    fitted = superpose(mine, orient_reference(first_frame(mine, starts=starts), fit), fit)
+    return fitted, first_frame(fitted, starts=starts)

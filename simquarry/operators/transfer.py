@@ -191,15 +191,17 @@ def push_targets(files: DataFrame, types: Sequence[str] = ("all",), data_dir: st
     return flat.select("simulation_id", F.inline(lists), "src", "size", "expected_md5")
 
 
-def push_plan(local: DataFrame, remote: DataFrame) -> DataFrame:
+def push_plan(local: DataFrame, remote: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Skip or upload per local file, with the reason.
 
-    Checksums decide where both are known, sizes otherwise.
+    Checksums decide where both are known, sizes otherwise.  Of rows with one
+    destination the first by ``order`` counts, or by the other columns.
     """
     r = remote.select(
         F.col("path").alias("dest"), F.col("size").alias("__size"), text.norm_md5(F.col("checksum")).alias("__md5")
     )
-    both = local.dropDuplicates(["dest"]).join(r, "dest", "left")
+    first = dedupe(local, ["dest"], order or [c for c in local.columns if c != "dest"])
+    both = first.join(r, "dest", "left")
     known = ~text.blank(F.col("md5")) & ~text.blank(F.col("__md5"))
     mine = F.lower(text.strip(F.col("md5")))
     skip = F.when(known, mine == F.col("__md5")).otherwise(F.col("size") == F.coalesce("__size", F.lit(0)))

@@ -70,9 +70,9 @@ select p_partkey as id, p_partkey % 400 as simulation_id, concat('sub/f', p_size
     "v_t_software": """
 select c_custkey as id, o.p as name, concat('v', c_custkey % 4) as version
 from customer join (select min(o_orderkey) % 20 as k, o_orderpriority as p from orders group by o_orderpriority) o on o.k = c_custkey % 20""",
-    "v_t_pdb": "select c_custkey as id, concat('p', c_custkey) as pdb_id, 't0' as title, c_mktsegment as classification from customer where c_custkey % 2 = 0 and c_custkey < 97",
+    "v_t_pdb": "select c_custkey as id, concat('p', c_custkey) as pdb_id, 't0' as title, c_mktsegment as classification from customer where c_custkey % 2 = 0",
     "v_t_sims": "select c_custkey as id, case when c_custkey % 3 = 0 then c_custkey end as pdb_id from customer",
-    "v_t_uniprot": "select c_custkey as id, concat('Q', c_custkey) as uniprot_id, 'n1' as name, 1 as amino_length, 'A' as sequence from customer where c_custkey < 40",
+    "v_t_uniprot": "select c_custkey as id, concat(case when c_custkey % 2 = 0 then 'Q' else 'R' end, c_custkey) as uniprot_id, 'n1' as name, 1 as amino_length, 'A' as sequence from customer",
     "v_t_sim_uniprot": "select c_custkey as id, c_custkey % 40 as uniprot_id, c_custkey * 7 % 300 as simulation_id from customer",
     "v_t_ligand": "select p_partkey as id, concat('L', p_size % 5) as name, 'C1' as smiles_string, p_partkey % 300 as simulation_id from part",
     "v_t_link": "select p_partkey as id, concat('u', p_size % 5) as url, case when p_size % 2 = 0 then 'old' end as label, p_partkey % 300 as simulation_id from part",
@@ -80,7 +80,7 @@ from customer join (select min(o_orderkey) % 20 as k, o_orderpriority as p from
     "v_t_replicate": "select p_partkey as id, p_partkey % 300 as simulation_id, concat('r', p_size % 4) as trajectory_file_name from part",
     "v_t_pub": """
 select p_partkey as id, concat('t', p_partkey % 13) as title, 'au' as authors, case when p_size % 2 = 0 then 'A' else 'N' end as journal,
-       concat('v', p_size % 3) as volume, 2020 as year, case when p_partkey % 2 = 0 then concat('d', p_partkey) end as doi from part where p_partkey < 30""",
+       concat('v', p_size % 3) as volume, 2020 as year, case when p_partkey % 2 = 0 then concat('d', p_partkey) end as doi from part""",
     "v_t_sim_pub": "select c_custkey as id, c_custkey % 30 as pub_id, c_custkey * 7 % 300 as simulation_id from customer",
     "v_t_people": """
 select c_custkey as id, c_custkey * 5 as simulation_id, concat('n', c_custkey % 4) as name, concat('e', c_custkey % 3) as email, 'old' as institution,

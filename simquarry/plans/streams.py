@@ -87,15 +87,15 @@ def _(i: Inputs):
 
 PDB_LINES = """
 select label as path, 0 as block, vec_id + 1 as line_no, case when vec_id % 50 = 7 then 'MODEL        2'
-       when vec_id % 50 = 9 then 'REMARK' else concat('ATOM  ', lpad(cast(vec_id as string), 5, ' '), '  CA  ALA A', lpad(cast(vec_id % 1000 as string), 4, ' '), '    ',
-       lpad(cast(vec_id * 3 as string), 8, ' '), lpad('bad', 8, ' '), lpad('1.50', 8, ' '), rpad('', 22, ' '), ' C') end as line
+       when vec_id % 50 = 9 then 'REMARK' else concat('ATOM  ', lpad(cast(vec_id % 100000 as string), 5, ' '), '  CA  ALA A', lpad(cast(vec_id % 1000 as string), 4, ' '), '    ',
+       lpad(cast(vec_id * 3 % 10000000 as string), 8, ' '), lpad('bad', 8, ' '), lpad('1.50', 8, ' '), rpad('', 22, ' '), ' C') end as line
 from embeddings"""
 
 
 @named(
     "s5_pdb_atoms",
-    """select path, line_no, 'ATOM' as record, vec_id as serial, 'CA' as name, 'ALA' as resname, 'A' as chain, cast(vec_id % 1000 as int) as resnum,
-              cast(vec_id * 3 as double) as x, cast(null as double) as y, 1.5::double as z, 'C' as element,
+    """select path, line_no, 'ATOM' as record, vec_id % 100000 as serial, 'CA' as name, 'ALA' as resname, 'A' as chain, cast(vec_id % 1000 as int) as resnum,
+              cast(vec_id * 3 % 10000000 as double) as x, cast(null as double) as y, 1.5::double as z, 'C' as element,
               cast(greatest(1, count(*) filter (vec_id % 50 = 7) over (partition by path order by line_no)) as int) as model
        from (select label as path, vec_id + 1 as line_no, vec_id from embeddings) qualify vec_id % 50 not in (7, 9)""",
 )
@@ -106,11 +106,11 @@ def _(i: Inputs):
 @named(
     "s6_outcome_lines",
     """select concat_ws(chr(9), 't', result, bundle, left(regexp_replace(trim(text, chr(32) || chr(10)), '\\s+', ' ', 'g'), 500)) as line
-       from v_outcomes join documents on doc_id = seq % 200""".replace("\\\\", "\\"),
+       from v_outcomes join documents on doc_id = seq % (select count(*) from documents)""".replace("\\\\", "\\"),
 )
 def _(i: Inputs):
     docs = i.documents.select(F.col("doc_id").alias("k"), F.col("text").alias("detail"))
-    rows = i.v_outcomes.withColumn("k", F.col("seq") % 200).join(docs, "k").withColumn("timestamp", F.lit("t"))
+    rows = i.v_outcomes.withColumn("k", F.col("seq") % F.lit(max(docs.count(), 1))).join(docs, "k").withColumn("timestamp", F.lit("t"))
     return sinks.outcome_lines(rows)
 
 

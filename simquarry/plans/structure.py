@@ -108,14 +108,15 @@ def _(i: Inputs):
 
 @named(
     "p19_has_box",
-    """select vec_id, case when vec_id % 3 = 0 then false when vec_id % 3 = 1 then false
-              else abs(embedding[1]) >= 1e-6 or abs(embedding[2]) >= 1e-6 or abs(embedding[3]) >= 1e-6 end as has_box from embeddings""",
+    """select frame as vec_id, cast(atom_id as bigint) as atom_id, case when frame % 3 = 0 then false when frame % 3 = 1 then false
+              else abs(x) >= 1e-6 or abs(y) >= 1e-6 or abs(z) >= 1e-6 end as has_box from v_coords""",
 )
 def _(i: Inputs):
-    box = F.when(F.col("vec_id") % 3 == 0, F.lit(None)).when(
-        F.col("vec_id") % 3 == 1, F.array(*[F.lit(v) for v in (0.0, 1e-7, -1e-8)])
-    ).otherwise(F.slice("embedding", 1, 3).cast("array<double>"))
-    return i.embeddings.select("vec_id", rules.has_box(box).alias("has_box"))
+    """Every three floats of a vector as a box."""
+    box = F.when(F.col("frame") % 3 == 0, F.lit(None)).when(
+        F.col("frame") % 3 == 1, F.array(*[F.lit(v) for v in (0.0, 1e-7, -1e-8)])
+    ).otherwise(F.array("x", "y", "z"))
+    return i.v_coords.select(F.col("frame").alias("vec_id"), F.col("atom_id").cast("long").alias("atom_id"), rules.has_box(box).alias("has_box"))
 
 
 @named(
@@ -135,16 +136,17 @@ def junk_sql(n: str) -> str:
   or (not contains({n}, ' ') and regexp_matches({n}, '\d') and regexp_matches({n}, '\pL') and (upper({n}) = {n} or lower({n}) = {n})))"""
 
 
-CANDIDATES = {
-    "v_candidates": """
-select doc_id, case doc_id % 8 when 0 then concat(doc_id % 9000 + 10, '-12-3') when 1 then concat(doc_id % 10, 'hvp') when 2 then 'ABCDEFGHIJKLMN-ABCDEFGHIJ-K'
-       when 3 then concat('CHEBI:', doc_id) when 4 then concat('a', doc_id) when 5 then left(text, 25) when 6 then 'ATP' else left(text, 90) end as name from documents"""
-}
+CANDIDATE = """
+case doc_id % 8 when 0 then concat(doc_id % 9000 + 10, '-12-3') when 1 then concat(doc_id % 10, 'hvp') when 2 then 'ABCDEFGHIJKLMN-ABCDEFGHIJ-K'
+       when 3 then concat('CHEBI:', doc_id) when 4 then concat('a', doc_id) when 6 then 'ATP' else line end"""
+CANDIDATES = {"v_candidates": f"select doc_id, {CANDIDATE} as name from (select doc_id, unnest(string_split(text, chr(10))) as line from documents)"}
 
 
 @named("p21_is_junk", f"select doc_id, {junk_sql('n')} as junk from (select doc_id, trim(name, chr(32) || chr(10) || chr(9)) as n from v_candidates)", CANDIDATES)
 def _(i: Inputs):
-    return query(i.spark, i.sf_dir, CANDIDATES["v_candidates"]).select("doc_id", rules.is_junk(F.col("name")).alias("junk"))
+    """Names of every shape, among them the lines of the texts."""
+    lines = i.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    return lines.select("doc_id", rules.is_junk(F.expr(CANDIDATE)).alias("junk"))
 
 
 LAYERS = {
@@ -418,12 +420,15 @@ def _(i: Inputs):
     "a22_gate",
     """select p.sim_id, round(max(v.value), 6) as max_value, case when max(v.value) is null then 'no values' when max(v.value) > 0.45 then 'above the limit' end as reason,
               coalesce(max(v.value) <= 0.45, false) as accepted
-       from (select distinct label as sim_id from embeddings) p left join
-            (select label as sim_id, case when label % 5 <> 0 then cast(embedding[1] as double) end as value from embeddings) v on v.sim_id = p.sim_id group by p.sim_id""",
+       from (select distinct vec_id as sim_id from embeddings) p left join
+            (select vec_id as sim_id, case when label % 5 <> 0 then cast(v as double) end as value
+             from (select vec_id, label, unnest(embedding) as v from embeddings)) v on v.sim_id = p.sim_id group by p.sim_id""",
 )
 def _(i: Inputs):
-    value = F.when(F.col("label") % 5 != 0, F.col("embedding")[0].cast("double"))
-    series = i.embeddings.select(F.col("label").alias("sim_id"), value.alias("value"))
+    """The floats of a vector as a series; some series have no values."""
+    value = F.when(F.col("label") % 5 != 0, F.col("v").cast("double"))
+    every = i.embeddings.select("vec_id", "label", F.explode("embedding").alias("v"))
+    series = every.select(F.col("vec_id").alias("sim_id"), value.alias("value"))
     out = tr.gate(series, series, 0.45)
     return out.withColumn("max_value", F.round("max_value", 6))
 

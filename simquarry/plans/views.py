@@ -55,11 +55,7 @@ select o.o_orderkey as id, o.o_custkey as created_by_id, o.o_orderdate as create
        o.o_orderstatus = 'P' as processing_complete,
        p.irods_tickets
 from orders o left join (
-  select ticket_id, concat_ws(';',
-           max(case when part = 1 then entry end), max(case when part = 2 then entry end),
-           max(case when part = 3 then entry end), max(case when part = 4 then entry end),
-           max(case when part = 5 then entry end), max(case when part = 6 then entry end),
-           max(case when part = 7 then entry end)) as irods_tickets
+  select ticket_id, string_agg(entry, ';' order by part) as irods_tickets
   from v_entry group by ticket_id) p on p.ticket_id = o.o_orderkey"""
 
 VIEWS["v_objects"] = """
@@ -189,16 +185,16 @@ select p_partkey as mol_id,
        concat('C', p_size % 11) as canonical, p_name as label
 from part"""
 
-# 21 atoms a frame out of the 64 floats of an embedding.  The second text per
-# engine differs only in list indexing.
+# An atom for every three floats of an embedding; the last one's missing floats
+# are 0.  The second text per engine differs only in list functions.
 VIEWS["v_coords"] = """
-select 0 as sim_id, vec_id as frame, a as atom_id, cast(embedding[3 * a] as double) as x,
-       cast(embedding[3 * a + 1] as double) as y, cast(embedding[3 * a + 2] as double) as z
-from embeddings lateral view explode(sequence(0, 20)) t as a"""
+select 0 as sim_id, vec_id as frame, a as atom_id, coalesce(cast(get(embedding, 3 * a) as double), 0D) as x,
+       coalesce(cast(get(embedding, 3 * a + 1) as double), 0D) as y, coalesce(cast(get(embedding, 3 * a + 2) as double), 0D) as z
+from (select * from embeddings where size(embedding) > 0) lateral view explode(sequence(0, cast(ceil(size(embedding) / 3) as int) - 1)) t as a"""
 DUCK["v_coords"] = """
-select 0 as sim_id, vec_id as frame, a.id as atom_id, cast(embedding[3 * a.id + 1] as double) as x,
-       cast(embedding[3 * a.id + 2] as double) as y, cast(embedding[3 * a.id + 3] as double) as z
-from embeddings cross join (select unnest(range(21)) as id) a"""
+select 0 as sim_id, vec_id as frame, id as atom_id, coalesce(cast(embedding[3 * id + 1] as double), 0) as x,
+       coalesce(cast(embedding[3 * id + 2] as double), 0) as y, coalesce(cast(embedding[3 * id + 3] as double), 0) as z
+from (select vec_id, embedding, unnest(range(cast(ceil(len(embedding) / 3.0) as bigint))) as id from embeddings)"""
 
 # The same frames as three trajectories.
 VIEWS["v_traj"] = """
@@ -259,11 +255,11 @@ select o.o_orderkey as id, o.o_custkey as created_by_id, o.o_orderdate as create
        case when o.o_orderpriority = '5-LOW' then 'd' else 'u' end as ticket_type,
        o.o_orderstatus = 'F' as upload_notification_sent,
        o.o_orderstatus = 'P' as processing_complete,
-       case when parts is not null then array_join(transform(filter(sequence(1, 7), n -> parts & shiftleft(1, n) <> 0), n ->
+       case when parts is not null then array_join(transform(parts, n ->
          case when (o_orderkey + n) % 17 = 0 then concat('bad-L', o_orderkey, '-', n)
               else concat('MDRSubmit_L', o_orderkey, '-', n, ':/z/landing/L', o_orderkey, '-', n) end), ';') end as irods_tickets
 from orders o left join (
-  select l_orderkey, bit_or(shiftleft(1, l_linenumber)) as parts from lineitem group by l_orderkey) p
+  select l_orderkey, array_sort(collect_set(l_linenumber)) as parts from lineitem group by l_orderkey) p
 on p.l_orderkey = o.o_orderkey"""
 
 VIEWS["v_objects"] = """
