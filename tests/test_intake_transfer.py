@@ -171,6 +171,8 @@ def test_push_plan_and_verify(make):
     local = make("dest string, size int, md5 string", ("a", 5, " AB "), ("a", 5, " AB "), ("b", 5, "ab"), ("c", 5, ""), ("d", 5, None), ("e", 5, "ab"), ("f", 0, None))
     remote = make("path string, size int, checksum string", ("a", 9, "md5:ab"), ("b", 5, "cd"), ("c", 5, "cd"), ("d", 6, "cd"))
     assert rows(transfer.push_plan(local, remote), "dest", "skip") == [("a", True), ("b", False), ("c", True), ("d", False), ("e", False), ("f", True)]
+    twice = make("dest string, size int, md5 string, pos int", ("b", 5, "ab", 2), ("b", 5, "cd", 1))
+    assert rows(transfer.push_plan(twice, remote, ["pos"]), "dest", "skip", "pos") == [("b", True, 1)]
     targets = make("simulation_id long, dest string, size int, expected_md5 string", *[(1, n, 5, "AB") for n in "pqrst"], (2, "u", 5, None))
     remote = make("path string, size int, checksum string", ("p", 5, "md5: AB "), ("q", 4, "ab"), ("r", 5, None), ("s", 5, "cd"), ("u", 5, None))
     out = transfer.push_verify(targets, remote)

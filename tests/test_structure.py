@@ -143,6 +143,17 @@ def test_rmsd(coords, frames):
             assert got[sim, f] == pytest.approx(dist(kabsch(frame, track[0]), track[0]), abs=1e-5)
 
 
+def test_series_that_start_later(coords, frames):
+    """The reference is the first frame that each simulation has."""
+    late = coords.where("frame >= 5 + sim_id")
+    got = {(r["sim_id"], r["frame"]): r["rmsd"] for r in trajectory.rmsd(late).collect()}
+    for sim, track in frames.items():
+        for f in range(5 + sim, len(track)):
+            assert got.pop((sim, f)) == pytest.approx(dist(kabsch(track[f], track[5 + sim]), track[5 + sim]), abs=1e-5)
+    assert not got
+    assert rows(trajectory.first_frame(late).select("sim_id", "frame").distinct()) == [(s, 5 + s) for s in sorted(frames) if len(frames[s]) > 5 + s]
+
+
 def test_rmsd_degenerate(make):
     """One atom, and atoms on a line."""
     one = make("sim_id long, frame long, atom_id long, x double, y double, z double", (1, 0, 0, 1.0, 2.0, 3.0), (1, 1, 0, 9.0, 9.0, 9.0),
