@@ -2,8 +2,9 @@
 
 A text is cut where a rolling hash over its last lines says so.  Such cuts
 depend on the lines near them only, so a passage is cut alike wherever it
-stands.  Chunks of two lines or more that occur elsewhere too are removed but
-for their first occurrence, after their bytes have been compared.
+stands.  A line of more than fifty words is a passage already and a chunk of its
+own.  Chunks of two lines or more, and such long lines, that occur elsewhere too
+are removed but for their first occurrence, after their bytes have been compared.
 """
 
 from __future__ import annotations
@@ -17,22 +18,31 @@ from simquarry.session import broadcast_if_small, freeze
 LINES = 2  # lines under the rolling hash
 EVERY = 3  # one line in so many ends a chunk
 MIN_WORDS = 20  # shorter chunks are boilerplate of layout and stay
+LONG = 51  # words of a line that is a chunk of its own
 
 
-def _chunks(text: Column, lines: int, every: int) -> Column:
+def _n_words(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(BLANK_WORD))
+
+
+def _chunks(text: Column, lines: int, every: int, long: int) -> Column:
     """Chunks of a text in order: their first line, number of lines and text.
 
     A line ends a chunk if the hash over it and the ``lines - 1`` before it is
-    divisible by ``every``; the first lines of a text use those that exist.
+    divisible by ``every``; the first lines of a text use those that exist.  A
+    line of ``long`` words or more starts and ends a chunk.
     """
 
     def cut(ls: Column) -> Column:
         n = F.size(ls)
-        hashed = F.transform(ls, lambda x: F.xxhash64(x))
+        # So many words need as many characters, and blanks between them.
+        is_long = lambda x: (F.char_length(x) >= 2 * long - 1) & (_n_words(x) >= long)
+        seen = F.transform(ls, lambda x: F.struct(F.xxhash64(x).alias("hash"), is_long(x).alias("long")))
 
-        def ends(h: Column) -> Column:
-            roll = lambda i: F.xxhash64(F.slice(h, F.greatest(F.lit(1), i - lines + 2), F.least(F.lit(lines), i + 1)))
-            return F.filter(positions(0, n), lambda i: (i == n - 1) | (F.pmod(roll(i), F.lit(every)) == 0))
+        def ends(s: Column) -> Column:
+            roll = lambda i: F.xxhash64(F.slice(s["hash"], F.greatest(F.lit(1), i - lines + 2), F.least(F.lit(lines), i + 1)))
+            apart = lambda i: s[i]["long"] | s[F.least(i + 1, n - 1)]["long"]
+            return F.filter(positions(0, n), lambda i: (i == n - 1) | apart(i) | (F.pmod(roll(i), F.lit(every)) == 0))
 
         def parts(e: Column) -> Column:
             first = lambda k: F.when(k == 0, 0).otherwise(e[F.greatest(k - 1, F.lit(0))] + 1)
@@ -41,23 +51,24 @@ def _chunks(text: Column, lines: int, every: int) -> Column:
                 lambda end, k: F.struct(k.alias("chunk"), (end - first(k) + 1).alias("n_lines"), F.array_join(F.slice(ls, first(k) + 1, end - first(k) + 1), "\n").alias("text")),
             )
 
-        return let(let(hashed, ends), parts)
+        return let(let(seen, ends), parts)
 
     return let(F.split(text, "\n", -1), cut)
 
 
-def repeated_chunks(docs: DataFrame, lines: int = LINES, every: int = EVERY, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_chunks(docs: DataFrame, lines: int = LINES, every: int = EVERY, min_words: int = MIN_WORDS, long: int = LONG) -> DataFrame:
     """Chunks that occur earlier too: doc_id, text_hash, chunk, n_lines, n_chars, first_doc_id.
 
     Earlier means by (doc_id, text_hash, chunk), null ids first.  Only chunks of
-    two lines and ``min_words`` words or more count.  Of rows that are equal in
+    two lines and ``min_words`` words or more count, and lines of ``long`` words
+    or more.  Of rows that are equal in
     id and text, the chunks are one occurrence.
     """
     cut = (
         docs.where("text is not null")
-        .select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(_chunks(F.col("text"), lines, every)).alias("c"))
+        .select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(_chunks(F.col("text"), lines, every, long)).alias("c"))
         .select("doc_id", "text_hash", "c.*")
-        .where((F.col("n_lines") >= 2) & (F.regexp_count(F.col("text"), F.lit(BLANK_WORD)) >= min_words))
+        .where(_n_words(F.col("text")) >= F.when(F.col("n_lines") >= 2, min_words).otherwise(long))
     )
     place = F.struct(F.col("doc_id"), F.col("text_hash"), F.col("chunk"))
     marks = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), F.col("text")).alias("h2")]
@@ -80,7 +91,7 @@ def repeated_chunks(docs: DataFrame, lines: int = LINES, every: int = EVERY, min
     )
 
 
-def dedup_lines(docs: DataFrame, lines: int = LINES, every: int = EVERY, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, lines: int = LINES, every: int = EVERY, min_words: int = MIN_WORDS, long: int = LONG) -> DataFrame:
     """``docs`` with ``text`` without its repeated chunks, and the column ``removed``.
 
     ``removed`` holds n_chunks, n_removed, n_lines and n_chars of what went.
@@ -88,7 +99,7 @@ def dedup_lines(docs: DataFrame, lines: int = LINES, every: int = EVERY, min_wor
     without repeated chunks stay as they are, byte for byte.
     """
     gone = freeze(
-        repeated_chunks(docs, lines, every, min_words)
+        repeated_chunks(docs, lines, every, min_words, long)
         .distinct()
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("chunk").alias("chunks"), F.sum("n_lines").cast("long").alias("n_lines"), F.sum("n_chars").cast("long").alias("n_chars"))
@@ -96,7 +107,7 @@ def dedup_lines(docs: DataFrame, lines: int = LINES, every: int = EVERY, min_wor
     d = docs.withColumn("__hash", F.xxhash64("text")).alias("d")
     joined = d.join(broadcast_if_small(gone).alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.__hash") == F.col("g.text_hash")), "left")
     left = F.array_join(
-        F.transform(F.filter(_chunks(F.col("d.text"), lines, every), lambda c: ~F.array_contains(F.col("g.chunks"), c["chunk"])), lambda c: c["text"]), "\n"
+        F.transform(F.filter(_chunks(F.col("d.text"), lines, every, long), lambda c: ~F.array_contains(F.col("g.chunks"), c["chunk"])), lambda c: c["text"]), "\n"
     )
     zero = F.lit(0).cast("long")
     removed = F.struct(

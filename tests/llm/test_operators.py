@@ -114,6 +114,33 @@ def test_line_dedup_keeps_the_first(spark):
     assert got[2]["removed"]["n_removed"] > 0 and got[2]["text"].startswith("own start") and got[2]["text"].endswith("own end")
 
 
+def test_line_dedup_of_long_lines(spark):
+    long, short = (" ".join(f"{p}{k}" for k in range(n)) for p, n in (("w", 51), ("v", 50)))
+    rows = [(k, f"before {k}\n{long}\nafter {k}") for k in range(6)] + [(9, long), (10, f"one {short}\n{long}\n{long}"), (11, f"a\n{short}\nb"), (12, f"c\n{short}\nd")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
+    assert got[0] == rows[0][1] and got[9] == ""
+    assert all(got[k] == f"before {k}\nafter {k}" for k in range(1, 6))
+    assert got[10] == f"one {short}"
+    assert got[11] == rows[8][1] and got[12] == rows[9][1]
+
+
+@pytest.mark.parametrize("long", [4, 1000])
+def test_line_chunks_are_whole_and_shift_resistant(spark, long):
+    rng = random.Random(long)
+    lines = [" ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(7))) for _ in range(60)]
+    texts = ["\n".join(lines), "\n".join(["other", *lines[5:]]), "", "\n", "one"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, text string")
+    got = {r["k"]: r["c"] for r in df.select("k", line_dedup._chunks(F.col("text"), 2, 3, long).alias("c")).collect()}
+    for k, text in enumerate(texts):
+        assert "\n".join(c["text"] for c in got[k]) == text
+        assert all(c["n_lines"] == c["text"].count("\n") + 1 for c in got[k])
+        assert [c["chunk"] for c in got[k]] == list(range(len(got[k])))
+        assert all(c["n_lines"] == 1 for c in got[k] if any(len(x.split()) >= long for x in c["text"].split("\n")))
+    first, second = ([c["text"] for c in got[k]] for k in (0, 1))
+    assert len(first) > 5 and first[-3:] == second[-3:]
+
+
 def test_quality_ledger(spark, docs):
     rows = quality.measure(docs.withColumn("quality", F.lit(1))).select("text", "quality.*").collect()
     assert {r["n_words"] for r in rows if not (r["text"] or "").strip()} == {0}
