@@ -125,6 +125,50 @@ def test_line_dedup_of_long_lines(spark):
     assert got[11] == rows[8][1] and got[12] == rows[9][1]
 
 
+@pytest.mark.parametrize(("n_lines", "n_words"), [(2, 40), (3, 20), (3, 40), (4, 13), (6, 10)])
+def test_line_dedup_of_short_lines(spark, n_lines, n_words):
+    rows = []
+    for k in range(20):
+        passage = "\n".join(" ".join(f"p{k}l{i}w{j}" for j in range(n_words)) for i in range(n_lines))
+        rows += [(100 * d + k, f"{d} before {k}\n{passage}\n{d} after {k}") for d in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
+    assert all(got[i]["text"] == text for i, text in rows if i < 100)
+    for i, text in rows:
+        if i >= 100:
+            parts = text.split("\n")
+            assert got[i]["text"] == f"{parts[0]}\n{parts[-1]}"
+            assert tuple(got[i]["removed"]) == (1, n_lines, len("\n".join(parts[1:-1])))
+
+
+def brute_lines(texts: list[str], long: int) -> list[str]:
+    """Texts without every run of lines of ``long`` words that stands earlier."""
+    split, out = [t.split("\n") for t in texts], []
+    for d, ls in enumerate(split):
+        gone = set()
+        for a in range(len(ls)):
+            for b in range(a + 1, len(ls) + 1):
+                run = ls[a:b]
+                if sum(len(x.split()) for x in run) >= long and any(e[c : c + b - a] == run for k, e in enumerate(split[: d + 1]) for c in range(len(e) if k < d else a - (b - a) + 1)):
+                    gone |= {*range(a, b)}
+        out.append("\n".join(x for i, x in enumerate(ls) if i not in gone))
+    return out
+
+
+def test_line_dedup_removes_whole_runs(spark):
+    rng = random.Random(6)
+    texts = []
+    for k in range(60):
+        own = lambda: [" ".join(f"w{rng.randrange(3)}" for _ in range(rng.choice([0, 1, 1, 2, 3]))) for _ in range(rng.randrange(1, 9))]
+        shared = rng.choice(texts).split("\n") if texts else []
+        a = rng.randrange(len(shared) + 1)
+        texts.append("\n".join([*own(), *shared[a : a + rng.randrange(9)], *own()]))
+    texts.append("\n".join(["x y"] * 20))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, min_words=10**6, long=6).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_lines(texts, 6)
+
+
 @pytest.mark.parametrize("long", [4, 1000])
 def test_line_chunks_are_whole_and_shift_resistant(spark, long):
     rng = random.Random(long)
