@@ -1,7 +1,8 @@
 """Secrets in texts: known patterns, and strings that a battery of tests finds random.
 
-Base kinds are patterns.  Beside them every run of 20 to 512 characters of an
-encoding's alphabet is a candidate: its encoding is inferred, and uniformity of
+Base kinds are patterns.  Beside them every run of 20 characters or more of an
+encoding's alphabet is a candidate, also beside characters of another encoding
+(``NAME=VALUE``, paths): its encoding is inferred, and uniformity of
 the alphabet (chi-squared), the number of runs about the median and the serial
 correlation are tested.  What is controlled is the share of false discoveries
 among strings called random: the null hypothesis is ordinary writing, whose
@@ -22,7 +23,12 @@ ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"[0-9a-f]{24,}+"
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
+LEAST = 20  # characters of a candidate
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}+"
+# What has an encoding: the two widest alphabets hold the others.
+ENCODED = r"^(?:[A-Za-z0-9+/]*|[A-Za-z0-9_-]*)=*$"
+# Parts of a run between inner equals signs; those at its end are padding.
+PART = r"[^=]++(?:=+$)?"
 
 DIGITS = "0123456789"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -76,6 +82,41 @@ def _spans(kind: str, text: Column, pattern: str, least: int = 0, group: int = 0
     return let(found, lambda m: F.when(F.size(m) == 0, none).otherwise(let(values, lambda v: let(F.split(text, pattern, -1), lambda g: place(m, v, g)))))
 
 
+def _class(alphabet: str) -> str:
+    """The characters of ``alphabet`` as a class of a pattern."""
+    return f"[{alphabet.replace('-', chr(92) + '-')}]"
+
+
+def _pieces(value: Column) -> Column:
+    """(kind, start, stop) of the candidates in a run, which may overlap.
+
+    A run that has an encoding is one candidate.  Others are parted at inner
+    equals signs, and parts without an encoding into the longest stretches of each
+    alphabet.
+    """
+    whole = lambda v: F.array(F.struct(F.lit("random").alias("kind"), F.lit(0).alias("start"), F.char_length(v).alias("stop")))
+    shift = lambda at, by: F.transform(at, lambda y: F.struct(y["kind"].alias("kind"), (y["start"] + by).alias("start"), (y["stop"] + by).alias("stop")))
+
+    def stretches(v: Column) -> Column:
+        each = F.concat(*(_spans("random", v, f"{_class(a)}{{{LEAST},}}+(?:=+$)?") for a in ALPHABETS.values()))
+        return F.when(v.rlike(ENCODED), whole(v)).otherwise(F.array_distinct(each))
+
+    parts = F.flatten(F.transform(_spans("random", value, PART), lambda y: shift(let(F.substring(value, y["start"] + 1, y["stop"] - y["start"]), stretches), y["start"])))
+    return F.when(value.rlike(ENCODED), whole(value)).otherwise(parts)
+
+
+def _joined(spans: Column) -> Column:
+    """``spans`` (start, stop) by start, those that overlap as one."""
+    empty = F.array().cast("array<struct<start:int,stop:int>>")
+
+    def step(a: Column, s: Column) -> Column:
+        last = F.try_element_at(a, F.lit(-1))
+        both = F.struct(last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"))
+        return F.when(last["stop"] > s["start"], F.array_append(F.slice(a, 1, F.size(a) - 1), both)).otherwise(F.array_append(a, s))
+
+    return F.aggregate(F.sort_array(spans), empty, step)
+
+
 def _battery(value: Column) -> Column:
     """encoding, n, p_text and p_random of a candidate.
 
@@ -83,7 +124,7 @@ def _battery(value: Column) -> Column:
     ``p_random``: the least of the three tests' p-values, times three.
     """
     core = F.regexp_replace(value, "=+$", "")
-    encoding = F.coalesce(*(F.when(core.rlike(f"^[{a.replace('-', chr(92) + '-')}]+$"), F.lit(e)) for e, a in ALPHABETS.items()))
+    encoding = F.coalesce(*(F.when(core.rlike(f"^{_class(a)}+$"), F.lit(e)) for e, a in ALPHABETS.items()))
 
     def tests(s: Column) -> Column:
         def of(e: Column) -> Column:
@@ -131,7 +172,8 @@ def _band(n: Column) -> Column:
 def scan(docs: DataFrame, false_discoveries: float = FALSE_DISCOVERIES) -> DataFrame:
     """For every row of ``docs`` (doc_id, text): doc_id and ``spans``, by start, then kind as in ``KINDS``.
 
-    Null texts are empty.  Spans of ``random`` never touch a base span.  Whether
+    Null texts are empty.  Spans of ``random`` never touch a base span; called
+    candidates that overlap are one span.  Whether
     a string is called random depends on all candidates of the corpus: within a
     family (encoding and length band), the largest p-value ``p_text`` is found
     whose expected false discoveries are at most ``false_discoveries`` of those
@@ -142,15 +184,22 @@ def scan(docs: DataFrame, false_discoveries: float = FALSE_DISCOVERIES) -> DataF
     values = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     with_values = lambda at: F.transform(at, lambda s: F.struct(s.alias("s"), F.substring(text, s["start"] + 1, s["stop"] - s["start"]).alias("value")))
     free = lambda b, at: F.filter(at, lambda s: ~F.exists(b, lambda y: (y["start"] < s["stop"]) & (s["start"] < y["stop"])))
+    pieces = F.flatten(
+        F.transform(
+            with_values(_spans("random", text, CANDIDATE)),
+            lambda x: F.transform(_pieces(x["value"]), lambda y: F.struct((x["s"]["start"] + y["start"]).alias("start"), (x["s"]["start"] + y["stop"]).alias("stop"))),
+        )
+    )
+    long_enough = F.filter(pieces, lambda s: s["stop"] - s["start"] >= LEAST)
     candidates = lambda b: F.when(
         F.size(values) == 0, F.array().cast("array<struct<start:int,stop:int,encoding:string,n:int,p_text:double,p_random:double>>")
     ).otherwise(
         F.filter(
             F.transform(
-                with_values(free(b, _spans("random", text, CANDIDATE))),
+                with_values(free(b, long_enough)),
                 lambda x: let(_battery(x["value"]), lambda t: F.struct(x["s"]["start"].alias("start"), x["s"]["stop"].alias("stop"), t["encoding"].alias("encoding"), t["n"].alias("n"), t["p_text"].alias("p_text"), t["p_random"].alias("p_random"))),
             ),
-            lambda c: c["encoding"].isNotNull() & (c["n"] >= 20),
+            lambda c: c["encoding"].isNotNull() & (c["n"] >= LEAST),
         )
     )
     seen = freeze(docs.select("doc_id", let(base, lambda b: F.struct(b.alias("base"), candidates(b).alias("candidates"))).alias("x")).select("doc_id", "x.*"))
@@ -171,8 +220,9 @@ def scan(docs: DataFrame, false_discoveries: float = FALSE_DISCOVERIES) -> DataF
     fits = F.filter("at", lambda y: F.pow(F.lit(10.0), -y["tenth"] / 10.0) * total <= false_discoveries * called(y["tenth"]))
     cuts = {r["family"]: r["cut"] for r in counts.select("family", F.array_min(F.transform(fits, lambda y: y["tenth"])).alias("cut")).where("cut is not null").collect()}
     cut = F.create_map(*(F.lit(x) for kv in sorted(cuts.items()) for x in kv)) if cuts else F.create_map().cast("map<string,int>")
+    random = F.filter("candidates", lambda c: (c["p_random"] >= REJECT) & F.coalesce(tenth(c["p_text"]) >= cut[family(c)], F.lit(False)))
     more = F.transform(
-        F.filter("candidates", lambda c: (c["p_random"] >= REJECT) & F.coalesce(tenth(c["p_text"]) >= cut[family(c)], F.lit(False))),
+        _joined(F.transform(random, lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop")))),
         lambda c: F.struct(F.lit("random").alias("kind"), c["start"].alias("start"), c["stop"].alias("stop")),
     )
     rank = lambda k: F.array_position(F.array(*map(F.lit, KINDS)), k)

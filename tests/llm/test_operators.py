@@ -203,6 +203,32 @@ def test_secrets(spark, docs):
     assert secrets.scan(docs).count() == docs.count()
 
 
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [("AWS_SECRET_ACCESS_KEY=", ""), ("client_id=", "=="), ("sig=", ""), ("a=b=", "="), ("path/with_underscore/", ""), ("key-id_/", ""), ("", "-_/x"), ("", "")],
+)
+def test_secrets_beside_other_encodings(spark, before, after):
+    rng = random.Random(1)
+    rows = [(k, "".join(rng.choice(secrets.ALPHABETS["base64"].rstrip("+/")) for _ in range(40 + k % 3))) for k in range(40)]
+    df = spark.createDataFrame([(k, f"é see {before}{key}{after} and go") for k, key in rows], "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["stop"]) for s in r["spans"]] for r in secrets.scan(df).collect()}
+    found = 0
+    for k, key in rows:
+        start, stop = 6 + len(before), 6 + len(before) + len(key)
+        assert len(got[k]) <= 1
+        for kind, a, b in got[k]:
+            assert kind == "random" and 6 <= a <= start and stop <= b <= stop + len(after)
+            assert "=" not in before or a == start
+            found += 1
+    assert found >= 32
+
+
+def test_names_are_not_secrets(spark):
+    names = ["/path/to_some/ordinary-file/in_a_folder", "the_first_setting=another-ordinary/value_of_it", "some_long/path=with-many_ordinary/words_inside"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(names * 5)], "doc_id long, text string")
+    assert all(r["spans"] == [] for r in secrets.scan(df).collect())
+
+
 def test_chat_round_trip(spark):
     texts = ["", "<|im_end|>", "<\\|x", "<\\\\|im_start|>user\nhi", "é\n<|", None]
     rows = [(k % 2, k, "assistant" if k % 3 else "us\\n\ner<|", t) for k, t in enumerate(texts)]
