@@ -2,9 +2,10 @@
 
 A record longer than ``SEGMENT`` characters is cut into a first segment and
 continuation records, which name the first by ``WARC-Segment-Origin-ID``.  The
-HTTP body is in chunked transfer framing.  Chunks also end inside every
-occurrence of the version line in a payload, so that this line never stands in
-an archive but at the head of a record, and archives can be read in splits.
+HTTP body is in chunked transfer framing.  The version line never stands in an
+archive but at the head of a record, so archives can be read in splits: chunks end
+inside every ``WARC/1.1`` of a payload, whatever follows it, as line ends also come
+from the framing and from the writer.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 from simquarry.session import shared_folder
 
-VERSION = "WARC/1.1\r\n"
+NAME = "WARC/1.1"
+VERSION = f"{NAME}\r\n"
 END = "\r\n\r\n"
 SEGMENT = 16_384  # characters of a block in one record
 CHUNK = 4_096  # characters in one chunk
@@ -31,8 +33,8 @@ PAYLOAD = "page_id long, record_type string, refers_to long, digest string, stat
 
 
 def chunked(payload: str) -> str:
-    """``payload`` in chunked framing; no chunk holds the version line."""
-    cuts = {*range(0, len(payload), CHUNK), len(payload), *(m.start() + 5 for m in re.finditer(VERSION, payload))}
+    """``payload`` in chunked framing; no chunk holds the name of the version line."""
+    cuts = {*range(0, len(payload), CHUNK), len(payload), *(m.start() + 5 for m in re.finditer(re.escape(NAME), payload))}
     ends = sorted(cuts)
     body = "".join(f"{len(piece.encode()):x}\r\n{piece}\r\n" for a, b in zip(ends, ends[1:], strict=False) if (piece := payload[a:b]))
     return f"{body}0\r\n\r\n"
@@ -70,6 +72,8 @@ def _record(fields: list[tuple[str, object]], block: str) -> str:
 def records(row: dict, record_id: str, date: str, segment: int) -> Iterator[str]:
     """The records of one page, without the line ends after them."""
     uri = None if row["url"] is None else re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", row["url"])
+    if uri is not None and uri.endswith(NAME):
+        uri = f"{uri[:-1]}%31"
     common = [("WARC-Record-ID", f"<{record_id}>"), ("WARC-Date", date), ("WARC-Target-URI", uri), ("X-Page-ID", row["page_id"]), ("WARC-Payload-Digest", f"sha256:{row['digest']}"), ("Content-Type", "application/http; msgtype=response")]
     if row["refers_to"] is not None:
         yield _record([("WARC-Type", "revisit"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Refers-To-Page-ID", row["refers_to"]), *common], "HTTP/1.1 200 OK\r\n\r\n")
@@ -78,7 +82,7 @@ def records(row: dict, record_id: str, date: str, segment: int) -> Iterator[str]
     if len(block) <= segment:
         yield _record([("WARC-Type", "response"), *common], block)
         return
-    # A cut inside a version line can't rejoin: chunks have parted all of them.
+    # No part ends with the name of the version line: chunks have parted all of them.
     parts = [block[a : a + segment] for a in range(0, len(block), segment)]
     yield _record([("WARC-Type", "response"), *common, ("WARC-Segment-Number", 1)], parts[0])
     for k, part in enumerate(parts[1:], 2):

@@ -261,6 +261,28 @@ def test_warc_round_trip(spark):
         assert got[i]["payload"] == (None if i in (3, 7) else (html or "").encode())
 
 
+@pytest.mark.parametrize("segment", [10**6, 600, *range(240, 280)])
+def test_version_line_heads_records_only(segment):
+    name = "WARC/1.1"
+    end = "x" * (warc.CHUNK - len(name)) + name
+    for html in (name, f"a {name}\n", f"{name}\r{name}\r\n\r\n", end, f"{end}{end} more", "y" * 97 + name + "z" * 400):
+        row = {"page_id": 1, "url": f"u/{name}", "html": html, "digest": "d", "refers_to": None}
+        kept = [r.encode() for r in warc.records(row, "id", "2024-01-01T00:00:00Z", segment)]
+        raw = warc.END.encode().join([*kept, b""])
+        found = [warc._parse(r) for r in raw.split(warc.VERSION.encode())[1:]]
+        assert len(found) == len(kept) and all(r["intact"] for r in found)
+        assert warc.unchunked(b"".join(r["block"] for r in found)) == html.encode()
+
+
+def test_warc_round_trip_of_pages_on_warc(spark):
+    rows = [(1, "u/WARC/1.1", "on WARC/1.1"), (2, "v", "x" * (warc.CHUNK - 8) + "WARC/1.1" + "y" * 50), (3, "WARC/1.1", "z" * (warc.SEGMENT // 8) + "WARC/1.1" * 4000), (4, "w", "on WARC/1.1")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = warc.new_folder(pages)
+    warc.write(pages, folder)
+    got = warc.read(spark, folder).collect()
+    assert sorted((r["page_id"], r["status"], r["payload"].decode()) for r in got) == [(i, "ok", html) for i, _, html in rows]
+
+
 def test_broken_archives():
     assert warc.unchunked(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5\r\nabc") is None
     assert warc.unchunked(b"HTTP/1.1 200 OK\r\n\r\nabc") == b"abc"
