@@ -147,8 +147,9 @@ def _parse(raw: bytes) -> dict:
         "origin": name("warc-segment-origin-id") or name("warc-record-id"),
         "segment": number("warc-segment-number"),
         "total": number("warc-segment-total-length"),
-        # What follows a block is the two line ends before the next record.
-        "intact": size is not None and rest[size:] in (b"\r\n\r\n", b""),
+        # What follows a block is the two line ends before the next record; where nothing
+        # follows, line ends at the end may stand in for what was cut off.
+        "intact": size is not None and 0 <= size <= len(rest) and (rest[size:] == b"\r\n\r\n" or (len(rest) == size and not rest.endswith(b"\r\n\r\n"))),
         "block": rest[:size] if size is not None else rest,
     }
 

@@ -288,6 +288,17 @@ def test_broken_archives():
     assert warc.unchunked(b"HTTP/1.1 200 OK\r\n\r\nabc") == b"abc"
 
 
+@pytest.mark.parametrize(("lost", "status"), [(0, "ok"), (1, "cut"), (4, "cut"), (50, "cut")])
+def test_truncated_records_are_cut(spark, tmp_path, lost, status):
+    block = "HTTP/1.1 200 OK\r\n\r\n" + "p" * 100
+    records = [warc._record([("WARC-Type", "response"), ("WARC-Record-ID", f"<r{k}>"), ("X-Page-ID", k)], block) for k in range(2)]
+    for end in (warc.END, ""):
+        path = tmp_path / f"{len(end)}.warc"
+        path.write_bytes((records[0] + warc.END + records[1][: len(records[1]) - lost] + end).encode())
+        got = {r["page_id"]: (r["status"], r["payload"]) for r in warc.read(spark, str(path)).collect()}
+        assert got == {0: ("ok", b"p" * 100), 1: (status, b"p" * 100 if lost == 0 else None)}
+
+
 def test_language(spark):
     rows = [(k, ("the thing is here " if k % 2 else "das ding ist hier ") * (k % 5 + 1), "en" if k % 2 else "de") for k in range(60)]
     df = spark.createDataFrame([*rows, (99, None, "en"), (100, "123", "de")], "doc_id long, text string, lang string")
