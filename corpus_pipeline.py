@@ -37,14 +37,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each group of similar ones.
 
-    Of rows with one doc_id that with the least hash of its text stays; rows
-    without doc_id stay as they are.
+    Rows are told apart by doc_id and text, so rows that share an id only are no
+    group.  Those without doc_id come last, and of one id that with the least hash
+    of its text comes first; of equal rows one stays.
     """
-    groups = jaccard.similar_groups(docs)
-    stays = groups.where("doc_id = component_id").select("doc_id").distinct()
-    row = F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.xxhash64("text")).alias("row")
-    named = docs.join(stays, "doc_id", "left_semi").groupBy("doc_id").agg(row).select(*(F.col("row")[c].alias(c) for c in docs.columns))
-    return named.unionByName(docs.where("doc_id is null"))
+    key = F.xxhash64("doc_id", "text")
+    groups = jaccard.similar_groups(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "component_id")
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
+    named = docs.select(key.alias("key"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    stays = groups.join(named, "key").groupBy("component_id").agg(F.min_by("key", place).alias("__key")).select("__key")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")
+    left = docs.withColumn("__key", key).join(stays, "__key", "left_semi").groupBy("__key").agg(row)
+    return left.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

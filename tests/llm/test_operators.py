@@ -322,3 +322,13 @@ def test_pipeline_stages_keep_columns(spark):
         docs = stage(spark, docs, "")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert [r["doc_id"] for r in docs.collect()] == [1]
+
+
+def test_near_duplicates_with_repeated_and_missing_ids(spark):
+    a, b, c, d = (" ".join(f"{p}{k}" for k in range(60)) for p in "abcd")
+    rows = [(1, a), (1, b), (1, b), (2, f"{a} more"), (3, c), (None, c), (None, d), (None, d), (None, f"{d} more"), (4, b), (None, "x"), (None, None), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    kept = [x for x in got if x[1] not in (d, f"{d} more")]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (3, c), (None, "x"), (None, None), (5, None), (6, "")], key=str)
+    assert len(got) == len(kept) + 1
