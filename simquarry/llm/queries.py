@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from simquarry.llm import bpe, chat, decontam, jaccard, language, line_dedup, quality, secrets, token_files, warc
+from simquarry.llm import bpe, chat, collocations, decontam, jaccard, language, line_dedup, quality, runs, secrets, segment_bpe, token_files, warc
 from simquarry.llm.text import hex_sha256
 from simquarry.session import freeze
 
@@ -132,6 +132,61 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+UPPER_AND_TAB = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9)"
+
+
+@query(
+    "op11_phrase_collocations",
+    f"""
+    with texts as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), {UPPER_AND_TAB}, 'abcdefghijklmnopqrstuvwxyz ') as t from documents),
+    pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from texts),
+    words as (select lang, list_filter(string_split(p, ' '), lambda x: x <> '') as w from pieces),
+    sizes as (select lang, w, unnest(range(1, 6)) as k from words),
+    places as (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from sizes),
+    grams as materialized (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*) as f from places group by all),
+    totals as (select lang, sum(f)::bigint as n from grams where k = 1 group by lang),
+    often as materialized (select * from grams where f >= 100),
+    cuts as (select lang, phrase, k, f as a, string_split(phrase, ' ') as w, unnest(range(1, k)) as c from often where k > 1),
+    scored as (
+        select x.lang, x.phrase, x.a, x.c, l.f as l, r.f as r, n, ((1000::hugeint * x.a * n) // (l.f::hugeint * r.f))::bigint as score
+        from cuts x join often l on l.lang = x.lang and l.phrase = array_to_string(w[1:c], ' ')
+        join often r on r.lang = x.lang and r.phrase = array_to_string(w[c + 1:], ' ')
+        join totals t on t.lang = x.lang),
+    weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+    longer as (
+        select lang, f, array_to_string(w[i:i + j - 1], ' ') as phrase
+        from (select *, unnest(range(1, k - j + 2)) as i from (select lang, f, k, string_split(phrase, ' ') as w, unnest(range(2, k)) as j from often where k > 2))),
+    kept as (select * from weakest x where not exists (select 1 from longer y where y.lang = x.lang and y.phrase = x.phrase and 100 * y.f >= 100 * x.a))
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+    from kept qualify rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_segment_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        hex_sha256(listed).alias("runs_sha256"),
+        hex_sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
