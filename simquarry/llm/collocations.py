@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simquarry.llm.text import UPPER, let, positions
+from simquarry.llm.text import UPPER
 from simquarry.session import freeze
 
 LONGEST = 5  # words of a phrase
@@ -46,9 +46,9 @@ def sieve(hashes: DataFrame) -> Callable[[Column], Column]:
     """
     n = hashes.count()
     size = min(max(SIEVE_MIN, 1 << (32 * n).bit_length()), SIEVE_MAX) // 64
-    word = lambda h: F.pmod(F.shiftrightunsigned(h, 6), F.lit(size)).cast("int")
-    bit = lambda h: F.pmod(h, F.lit(64)).cast("int")
-    set_bit = F.expr("shiftleft(1L, cast(pmod(hash, 64L) as int))")
+    word = lambda h: F.shiftrightunsigned(h, 6).bitwiseAND(size - 1).cast("int")
+    bit = lambda h: h.bitwiseAND(63).cast("int")
+    set_bit = F.expr("shiftleft(1L, cast(hash & 63 as int))")
     rows = hashes.groupBy(word(F.col("hash")).alias("at")).agg(F.bit_or(set_bit).alias("bits")).collect()  # as many as words of the bitmap, at most
     bits = [0] * size
     for r in rows:
@@ -64,30 +64,37 @@ def word_counts(cut: DataFrame, min_count: int) -> DataFrame:
     return summed.where((F.col("level") == 1) | (F.col("level") == 0) & (F.col("n") >= min_count)).select("lang", "word", "n")
 
 
-def _frequent(may: Callable[[Column], Column]) -> Column:
-    """Hash of each word of ``words`` with its language, null where the word is rare."""
-    hashed = F.transform("words", lambda w: F.xxhash64("lang", w))
-    return F.transform(hashed, lambda h: F.when(may(h), h))
+def _at(k: int) -> Column:
+    """The word ``k`` places after ``i``, null beyond the piece."""
+    return F.get("words", F.col("i") + k)
 
 
-def _pairs(hashes: Column) -> Column:
-    """Hash of each pair of neighbours, null where either word is rare."""
-    return F.transform(positions(0, F.size(hashes) - 1), lambda i: F.when(hashes[i].isNotNull() & hashes[i + 1].isNotNull(), F.xxhash64(hashes[i], hashes[i + 1])))
+def _hash(k: int) -> Column:
+    return F.xxhash64("lang", _at(k))
+
+
+def _pair(k: int) -> Column:
+    return F.xxhash64(_hash(k), _hash(k + 1))
+
+
+def frequent_pairs(cut: DataFrame, may_word: Callable[[Column], Column], min_count: int) -> DataFrame:
+    """``hash`` of neighbours, each of which may be frequent, that stand ``min_count`` times; hashes may meet, which adds to a count."""
+    both = cut.select("lang", "words", F.posexplode("words").alias("i", "w")).where(_at(1).isNotNull() & may_word(_hash(0)) & may_word(_hash(1)))
+    return both.groupBy(_pair(0).alias("hash")).agg(F.count("*").alias("n")).where(F.col("n") >= min_count).select("hash")
 
 
 def windows(cut: DataFrame, may_word: Callable[[Column], Column], may_pair: Callable[[Column], Column], longest: int) -> DataFrame:
     """lang and w1 .. w``longest`` from each position whose first pair may be frequent; null from the first pair on that is not."""
 
-    def at(words: Column, good: Column, i: Column) -> Column:
-        columns, goes_on = [words[i].alias("w1"), words[i + 1].alias("w2")], F.lit(True)
-        for k in range(2, longest):
-            goes_on = goes_on & F.coalesce(F.get(good, i + (k - 1)), F.lit(False))
-            columns.append(F.when(goes_on, F.get(words, i + k)).alias(f"w{k + 1}"))
-        return F.struct(*columns)
+    def good(k: int) -> Column:
+        return _at(k + 1).isNotNull() & may_word(_hash(k + 1)) & may_pair(_pair(k))
 
-    good = let(_frequent(may_word), lambda h: F.transform(_pairs(h), lambda p: F.coalesce(may_pair(p), F.lit(False))))
-    rows = let(F.struct(F.col("words").alias("w"), good.alias("good")), lambda s: F.transform(F.filter(positions(0, F.size(s["good"])), lambda i: s["good"][i]), lambda i: at(s["w"], s["good"], i)))
-    return cut.where(F.size("words") > 1).select("lang", F.inline(rows))
+    first = cut.select("lang", "words", F.posexplode("words").alias("i", "w1")).where(_at(1).isNotNull() & may_word(_hash(0)) & good(0))
+    columns, goes_on = ["lang", "w1", _at(1).alias("w2")], F.lit(True)
+    for k in range(1, longest - 1):
+        goes_on = goes_on & good(k)
+        columns.append(F.when(goes_on, _at(k + 1)).alias(f"w{k + 2}"))
+    return first.select(*columns)
 
 
 def phrase_counts(found: DataFrame, longest: int, min_count: int) -> DataFrame:
@@ -117,8 +124,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_C
     cut = pieces(docs)
     words = freeze(word_counts(cut, min_count))
     may_word = sieve(words.where("word is not null").select(F.xxhash64("lang", "word").alias("hash")))
-    pairs = cut.where(F.size("words") > 1).select(F.explode(F.array_compact(let(_frequent(may_word), _pairs))).alias("hash"))
-    may_pair = sieve(freeze(pairs.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_count).select("hash")))
+    may_pair = sieve(freeze(frequent_pairs(cut, may_word, min_count)))
     phrases = freeze(phrase_counts(windows(cut, may_word, may_pair, longest), longest, min_count))
 
     joined = lambda part: F.array_join(part, " ")
