@@ -12,12 +12,12 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -31,14 +31,20 @@ MAX_WORDS = 1_000_000  # runs that a worker remembers before it starts anew
 # Below U+0250 composition changes nothing and a letter's lower case does not
 # depend on its neighbours; other texts go through the tokenizer whole.  So do
 # those with U+001C to U+001F, which only Python takes for white space.
-PLAIN = re.compile(r"[\x00-\x1b\x20-\u024f]*")
+PLAIN = re.compile(r"[\x00-\x1b\x20-ɏ]*")
+# Letters and the rest of a run; they are never in one word of the split, but
+# for endings after an apostrophe.
+PIECES = re.compile(r"[a-z]+|[^a-z]+")
 
 
 class WordEncoder:
     """The tokenizers library, asked once for each run of characters without white space.
 
     White space is dropped by this vocabulary's split and never within a word,
-    so such runs are encoded on their own.  Ids are packed, four bytes for each.
+    so such runs are encoded on their own, and their letters apart from what
+    stands beside them.  Words of letters are put to the library in one text:
+    the last id of each is one that ends a word.  Ids are packed, four bytes
+    for each.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,20 +53,41 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters a to z."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(ends) != len(words):
+            return self._ids(words)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+    def _learn(self, runs: set[str]) -> None:
+        new = [r for r in runs if r not in self.known]
+        if len(self.known) + len(new) > MAX_WORDS:
+            self.known, new = {}, list(runs)
+        split = {r: PIECES.findall(r) if r.isascii() and "'" not in r else [r] for r in new}
+        asked = {p for pieces in split.values() for p in pieces if p not in self.known}
+        letters = [p for p in asked if p.isascii() and p.isalpha()]
+        for ask, pieces in ((self._letters, letters), (self._ids, list(asked.difference(letters)))):
+            for at in range(0, len(pieces), 2000):
+                self.known.update(zip(pieces[at : at + 2000], ask(pieces[at : at + 2000]), strict=True))
+        for run, pieces in split.items():
+            if len(pieces) > 1:
+                self.known[run] = b"".join([self.known[p] for p in pieces])
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         plain = [PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
         split = [t.lower().split() if p else None for t, p in zip(texts, plain, strict=True)]
-        runs = {w for words in split if words for w in words}
-        new = list(runs - self.known.keys())
-        if len(self.known) + len(new) > MAX_WORDS:
-            self.known, new = {}, list(runs)
-        for at in range(0, len(new), 2000):
-            self.known.update(zip(new[at : at + 2000], self._ids(new[at : at + 2000]), strict=True))
+        self._learn(set().union(*(words for words in split if words)))
         find = self.known.__getitem__
         for text, words in zip(texts, split, strict=True):
             yield self._ids([text])[0] if words is None else b"".join(map(find, words))
@@ -77,7 +104,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
 
     Rows go by doc_id (null first) and, where ids are equal, by a hash of the
     text, so the order is the same each time.  ``at`` counts the ids before a
-    document within its range ``part``.  A null text has the end id only.
+    document within its range ``part``.  A null text has the end id only;
+    repeated rows are written each, and other columns are not looked at.
     """
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("__tie"))
     ranged = keyed.repartitionByRange("doc_id", "__tie").sortWithinPartitions("doc_id", "__tie").withColumn("part", F.spark_partition_id())
@@ -107,7 +135,7 @@ def new_folder(docs: DataFrame) -> str:
     return f"{shared_folder(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
 
 
-def read(spark, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, ids and ``start``, the number of ids of all documents before, from the files of ``write``.
 
     Each range has one sum, so the shift of a range comes from a table with as
@@ -119,6 +147,15 @@ def read(spark, path: str) -> DataFrame:
     return rows.join(F.broadcast(shift), "part").select("doc_id", "ids", (F.col("at") + F.col("shift")).alias("start"))
 
 
+def lookup(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
+    """doc_id and ids of a few documents.
+
+    The ids are pushed to the scan: files and stripes whose range of doc_id holds
+    none are skipped by their statistics, row groups also by the Bloom filter.
+    """
+    return spark.read.orc(path).where(F.col("doc_id").isin([int(i) for i in doc_ids])).select("doc_id", "ids")
+
+
 def digests(read_back: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of the ids as little-endian 32-bit integers."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"

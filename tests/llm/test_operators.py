@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -45,12 +47,50 @@ def test_word_ids_are_the_library():
         assert ids == bpe.packed(library.encode(text, add_special_tokens=False).ids), text
 
 
+def test_runs_of_letters_and_signs_are_the_library():
+    library = Tokenizer.from_file(WORD)
+    rng = random.Random(7)
+    signs = ["a", "b", "th", "Ing", "é", "ß", "1", "42", "'", "'s", "'T", ".", ",", ")(", "-", "_", "²", "İ", " ", "\t", "\x1d", "§"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(800)]
+    for text, ids in zip(texts, token_files.WordEncoder(WORD).encode(texts), strict=True):
+        assert ids == bpe.packed(library.encode(text, add_special_tokens=False).ids), text
+
+
 def test_token_files(spark, docs):
+    """Everything of the digests from the files, against the library."""
+    library = Tokenizer.from_file(WORD)
+    docs = docs.unionByName(docs.where("doc_id = 6"))
     folder = token_files.new_folder(docs)
     token_files.write(docs, WORD, folder)
     rows = token_files.digests(token_files.read(spark, folder)).orderBy("start").collect()
     assert [r["start"] for r in rows] == [sum(x["n_tokens"] for x in rows[:k]) for k in range(len(rows))]
     assert [r["doc_id"] for r in rows] == sorted((r["doc_id"] for r in rows), key=lambda x: (x is not None, x))
+    want = []
+    for r in docs.collect():
+        ids = [*library.encode(r["text"] or "", add_special_tokens=False).ids, token_files.END_ID]
+        want.append((r["doc_id"], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows), key=str) == sorted(want, key=str)
+
+
+def test_token_files_are_pruned(spark):
+    """A lookup reads the row groups that may hold the ids, not the files."""
+    n = 40 * token_files.STRIDE
+    docs = spark.range(0, 2 * n, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    folder = token_files.new_folder(docs)
+    token_files.write(docs, WORD, folder)
+
+    def scanned(found):
+        rows = found.collect()
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return sorted(r["doc_id"] for r in rows), scan.metrics().apply("numOutputRows").value()
+
+    ids, read = scanned(token_files.lookup(spark, folder, [10, n]))
+    assert ids == [10, n] and read <= 2 * token_files.STRIDE + 4096
+    ids, read = scanned(token_files.lookup(spark, folder, [2 * n + 1, -5]))
+    assert ids == [] and read == 0
+    # An odd id lies within the range of a file; only the Bloom filter knows that it is not there.
+    ids, read = scanned(token_files.lookup(spark, folder, [n + 1]))
+    assert ids == [] and read <= token_files.STRIDE
 
 
 def brute_groups(texts: dict[int, str | None]) -> dict[int, int]:
