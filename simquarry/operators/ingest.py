@@ -13,10 +13,13 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from simquarry.functions import fixed_values as fv
 from simquarry.functions import rules, text
 from simquarry.functions.text import blank
+from simquarry.operators.folding import Bearers, fold
+from simquarry.operators.groups import connected
 from simquarry.operators.intake import as_time
 from simquarry.operators.ranking import number_rows
 from simquarry.session import freeze
@@ -165,77 +168,90 @@ def resolve_owner(imports: DataFrame, account: DataFrame, user: DataFrame) -> tu
     return out.where(known), out.where(~known).drop("owner_id")
 
 
+class _Simulations:
+    """Which simulation bears which alias and hash, as the documents of a component change it.
+
+    A simulation is (0, id) if it was there and (1, document) if a document makes
+    it, so that older ones come first.
+    """
+
+    def __init__(self, _component: str) -> None:
+        self.alias: dict[tuple, str | None] = {}
+        self.hash: dict[tuple, str | None] = {}
+        self.by_alias = Bearers(lambda sim, value: self.alias[sim] == value)
+        self.by_hash = Bearers(lambda sim, value: self.hash[sim] == value)
+
+    def _write(self, sim: tuple, alias: str | None, hash_: str | None) -> None:
+        self.alias[sim], self.hash[sim] = alias, hash_
+        if alias is not None:
+            self.by_alias.add(sim, alias)
+        if hash_ is not None:
+            self.by_hash.add(sim, hash_)
+
+    def step(self, row: dict) -> list[dict]:
+        doc, given, alias, hash_ = row["doc"], row["__sim"], row["__alias"], row["__hash"]
+        if doc is None:
+            self._write((0, given), alias, hash_)
+            return []
+        step, found = "id", None if given is None else (0, given)
+        if found is None and alias is not None:
+            step, found = "alias", self.by_alias.first(alias)
+        if found is None and hash_ is not None:
+            step, found = "hash", self.by_hash.first(hash_)
+        if found is None:
+            step, found = "new", (1, doc)
+        self._write(found, alias, hash_)
+        return [{"doc": doc, "step": step, "sim_id": None if found[0] else found[1], "made_by": found[1] if found[0] else None}]
+
+    def finish(self) -> list[dict]:
+        return []
+
+
 def resolve_simulations(imports: DataFrame, sim: DataFrame) -> DataFrame:
-    """Which simulation a document is about, and by which step it was found.
+    """Which simulation each document is about, and by which step it was found.
 
     ``imports`` has (doc, simulation_id, alias, owner_id, hash).  Steps: given
-    id (``invalid`` if it does not exist), alias and owner, file hash, new.
-
-    Documents are meant to be applied one after the other.  A document that
-    shares a hash, an alias with owner, or a simulation with an earlier one is
-    marked ``deferred``: the others touch different rows and can be applied
-    together, and the deferred ones go into the next round.
+    id (``invalid`` if the table does not have it), alias and owner, file hash,
+    new.  Of several simulations the oldest is taken.
+
+    The result is that of applying the documents one after the other: each gives
+    its simulation its own alias, owner and hash, which decide what later ones
+    find.  Documents that share no key, directly or through others and through
+    simulations, cannot meet; so they are folded component by component, in
+    order, in as many tasks as there are partitions.  New simulations get ids
+    after the greatest, in the order of the documents that make them.
     """
-    by_id = sim.select(F.col("id").alias("simulation_id"), F.lit(True).alias("__exists"))
-    by_alias = (
-        sim.where("alias is not null and created_by_id is not null")
-        .groupBy("alias", F.col("created_by_id").alias("owner_id"))
-        .agg(F.min("id").alias("__alias_id"))
-    )
-    by_hash = (
-        sim.where("unique_file_hash_string is not null")
-        .groupBy(F.col("unique_file_hash_string").alias("hash"))
-        .agg(F.min("id").alias("__hash_id"))
-    )
+    text_of = lambda kind, c: F.concat(F.lit(f"{kind}:"), c.cast("string"))
+    named_alias = lambda owner, alias: F.when(~blank(alias), F.concat(owner.cast("string"), F.lit(":"), alias))
     given = F.coalesce("simulation_id", F.lit(0)) != 0
-    invalid = given & F.col("__exists").isNull()
-    alias_id = F.when(~blank(F.col("alias")), F.col("__alias_id"))
-    step = (
-        F.when(invalid, "invalid").when(given, "id").when(alias_id.isNotNull(), "alias")
-        .when(F.col("__hash_id").isNotNull(), "hash").otherwise("new")
-    )
-    # Most documents give no id and many no alias: stand-ins that match nothing
-    # spread those rows over the partitions of the join.
-    spread = F.concat(F.lit("\0"), F.col("doc").cast("string"))
-    found = (
-        imports.withColumns(
-            {
-                "__id": F.coalesce("simulation_id", -1 - F.pmod(F.xxhash64("doc"), F.lit(1 << 20))),
-                "__alias": F.when(blank(F.col("alias")) | F.col("owner_id").isNull(), spread).otherwise(F.col("alias")),
-            }
-        )
-        .join(by_id.withColumnRenamed("simulation_id", "__id"), "__id", "left")
-        .join(by_alias.withColumnRenamed("alias", "__alias"), ["__alias", "owner_id"], "left")
-        .join(by_hash, "hash", "left")
-        .drop("__id", "__alias")
-        .withColumn("step", step)
-        .withColumn(
-            "sim_id",
-            F.when(F.col("step") == "id", F.col("simulation_id"))
-            .when(F.col("step") == "alias", alias_id)
-            .when(F.col("step") == "hash", F.col("__hash_id")),
-        )
-        .drop("__exists", "__alias_id", "__hash_id")
-    )
-    valid = found.where(F.col("step") != "invalid")
-    # One row per key a document touches; the earliest document per key goes on.
-    touched = valid.select(
-        "doc",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.concat(F.lit("h:"), F.col("hash")),
-                    F.when(~blank(F.col("alias")), F.concat(F.lit("a:"), F.col("owner_id").cast("string"), F.lit(":"), F.col("alias"))),
-                    F.concat(F.lit("s:"), F.col("sim_id").cast("string")),
-                )
-            )
-        ).alias("__key"),
-    )
-    earliest = touched.groupBy("__key").agg(F.min("doc").alias("__min"))
-    late = touched.join(earliest, "__key").where(F.col("doc") > F.col("__min")).select("doc").distinct()
-    return found.join(late.withColumn("deferred", F.lit(True)), "doc", "left").withColumn(
-        "deferred", F.coalesce("deferred", F.lit(False))
-    )
+    known = sim.select(F.col("id").cast("long").alias("__sim"), F.lit(True).alias("__exists"))
+    docs = imports.select(
+        "doc", F.when(given, F.col("simulation_id")).cast("long").alias("__sim"),
+        named_alias(F.col("owner_id"), F.col("alias")).alias("__alias"), F.col("hash").cast("string").alias("__hash"),
+    )
+    # Only documents that give an id go through the join on it.
+    free, bound = docs.where("__sim is null"), docs.where("__sim is not null").join(known, "__sim", "left")
+    valid = freeze(free.unionByName(bound.where("__exists").drop("__exists")).withColumn("member", text_of("d", F.col("doc"))))
+    invalid = bound.where("__exists is null").select("doc")
+    sims = sim.select(
+        F.lit(None).cast(imports.schema["doc"].dataType).alias("doc"), F.col("id").cast("long").alias("__sim"),
+        named_alias(F.col("created_by_id"), F.col("alias")).alias("__alias"),
+        F.col("unique_file_hash_string").cast("string").alias("__hash"), text_of("s", F.col("id")).alias("member"),
+    )
+    keys = F.array_compact(F.array(text_of("s", F.col("__sim")), text_of("a", F.col("__alias")), text_of("h", F.col("__hash"))))
+    of_docs = valid.select("member", F.explode_outer(keys).alias("key"))
+    # A simulation that one document may find ties all its keys together.
+    hit = sims.select("member", F.explode(keys).alias("key")).join(of_docs.select("key").distinct(), "key", "left_semi").select("member").distinct()
+    met = freeze(sims.join(hit, "member", "left_semi"))
+    tied = connected(of_docs.unionByName(met.select("member", F.explode(keys).alias("key"))))
+    doc_type = imports.schema["doc"].dataType
+    told = StructType([StructField("doc", doc_type), StructField("step", StringType()), StructField("sim_id", LongType()), StructField("made_by", doc_type)])
+    decided = freeze(fold(valid.unionByName(met).join(tied, "member"), "component", ["doc"], _Simulations, told))
+    first = _max_id(sim, "id")
+    made = number_rows(decided.where("step = 'new'").select("doc"), ["doc"], "__no").select(F.col("doc").alias("made_by"), (F.col("__no") + first).alias("__new"))
+    ids = decided.join(made, "made_by", "left").select("doc", "step", F.coalesce("sim_id", "__new").alias("sim_id"))
+    every = ids.unionByName(invalid.select("doc", F.lit("invalid").alias("step"), F.lit(None).cast("long").alias("sim_id")))
+    return imports.join(every, "doc")
 
 
 # Column of the simulation table: column of the document, value if absent.
@@ -266,12 +282,13 @@ _SIM_COLUMNS = {
 
 
 def upsert_simulations(resolved: DataFrame, sim: DataFrame, now) -> tuple[DataFrame, DataFrame]:
-    """The simulation table after the documents, and (doc, sim_id, action).
+    """The simulation table after all valid documents, and (doc, sim_id, action).
 
-    Only documents that are neither invalid nor deferred are applied.  An
-    update makes the row a placeholder again and keeps ``is_public``.
+    A document writes every column, so the last one of a simulation is what
+    stays.  An update makes the row a placeholder again and keeps ``is_public``.
     """
-    todo = resolved.where((F.col("step") != "invalid") & ~F.col("deferred"))
+    todo = resolved.where(F.col("step") != "invalid")
+    id_type = sim.schema["id"].dataType
     values = [
         (
             F.lit(default) if src not in resolved.columns else F.coalesce(src, F.lit(default)) if default is not None else F.col(src)
@@ -280,24 +297,20 @@ def upsert_simulations(resolved: DataFrame, sim: DataFrame, now) -> tuple[DataFr
         if c in sim.columns
     ]
     state = [F.lit(True).alias("is_placeholder"), F.lit(False).alias("is_deprecated")]
-    id_type = sim.schema["id"].dataType
-    olds = todo.where("sim_id is not null").select("doc", F.col("sim_id").cast(id_type).alias("id"), *values, *state)
-    news = number_rows(todo.where("sim_id is null"), ["doc"], "__no").select(
-        "doc", (F.col("__no") + _max_id(sim, "id")).cast(id_type).alias("id"), *values, *state,
-        F.lit(False).alias("is_public"), as_time(now).alias("creation_date"),
+    last = freeze(
+        todo.groupBy(F.col("sim_id").cast(id_type).alias("id"))
+        .agg(F.max_by(F.struct(*values, *state), "doc").alias("__new"), F.max(F.col("step") == "new").alias("__made"))
     )
-    written = [c for c in olds.columns if c not in ("doc", "id")]
-    changed = olds.select("id", F.struct(*written).alias("__new"))
-    updated = sim.join(changed, "id", "left").select(
+    written = last.select("__new.*").columns
+    updated = sim.join(last.where(~F.col("__made")).drop("__made"), "id", "left").select(
         *[
             (F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)) if c in written else F.col(c)).alias(c)
             for c in sim.columns
         ]
     )
+    news = last.where("__made").select("id", "__new.*", F.lit(False).alias("is_public"), as_time(now).alias("creation_date"))
     added = news.select(*[c for c in news.columns if c in sim.columns])
-    actions = olds.select("doc", F.col("id").alias("sim_id"), F.lit("update").alias("action")).unionByName(
-        news.select("doc", F.col("id").alias("sim_id"), F.lit("insert").alias("action"))
-    )
+    actions = todo.select("doc", F.col("sim_id").cast(id_type).alias("sim_id"), F.when(F.col("step") == "new", "insert").otherwise("update").alias("action"))
     return updated.unionByName(added, allowMissingColumns=True), actions
 
 
@@ -425,48 +438,47 @@ def upsert_papers(papers: DataFrame, target: DataFrame, links: DataFrame) -> tup
 _PERSON = ["name", "email", "institution", "orcid", "rank"]
 
 
-def _apply_people(existing: Column, incoming: Column) -> Column:
-    """Fold the contributors of a document into the rows of its simulation."""
+class _People:
+    """The contributors of one simulation, as those of its documents come in."""
 
-    def same(held: Column, new: Column) -> Column:
-        return (
-            F.when(new["orcid"] != "", held["orcid"] == new["orcid"])
-            .when(new["email"] != "", held["email"] == new["email"])
-            .otherwise(held["name"] == new["name"])
-        )
+    KEYS = ("orcid", "email", "name")
 
-    def written(id_: Column, pos: Column, new: Column) -> Column:
-        return F.struct(
-            id_.alias("id"), pos.alias("pos"), *[new[f].alias(f) for f in _PERSON], F.lit(True).alias("touched")
-        )
+    def __init__(self, _simulation: int) -> None:
+        self.rows: list[dict] = []
+        self.by = {f: Bearers(lambda at, value, f=f: self.rows[at][f] == value) for f in self.KEYS}
 
-    def step(people: Column, new: Column) -> Column:
-        at = F.array_position(F.transform(people, lambda held: F.coalesce(same(held, new), F.lit(False))), F.lit(True))
-        replaced = F.transform(
-            people, lambda held, i: F.when(i + 1 == at, written(held["id"], held["pos"], new)).otherwise(held)
-        )
-        added = F.concat(people, F.array(written(F.lit(None).cast("long"), new["pos"], new)))
-        return F.when(at > 0, replaced).otherwise(added)
+    def _index(self, at: int) -> None:
+        for f in self.KEYS:
+            if self.rows[at][f]:
+                self.by[f].add(at, self.rows[at][f])
+
+    def step(self, row: dict) -> list[dict]:
+        at = None
+        if row["doc"] is not None:
+            field = next(f for f in self.KEYS if row[f])
+            at = self.by[field].first(row[field])
+        if at is None:
+            at = len(self.rows)
+            self.rows.append({**row, "touched": row["doc"] is not None})
+        else:
+            self.rows[at] |= {f: row[f] for f in _PERSON} | {"touched": True}
+        self._index(at)
+        return []
 
-    return F.aggregate(incoming, existing, step)
+    def finish(self) -> list[dict]:
+        return [row for row in self.rows if row["touched"]]
 
 
-def upsert_contributors(
-    docs: DataFrame, target: DataFrame
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """New table, actions, rejected contributors and deferred documents.
+def upsert_contributors(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """New table, actions and rejected contributors.
 
     ``docs`` has (doc, simulation_id, contributors), the last being the array
     of structs (name, email, institution, orcid, rank) of the document.  The
     key is ORCID, else e-mail, else name, and a contributor may change what a
-    later one finds.  That order matters only inside one array of one document,
-    so it is folded there, in built-in functions.  The rows of a simulation
-    were themselves written from such arrays, which bounds the list they are
-    folded into.  A second document of a simulation is deferred.
+    later one finds, of the same document or of the next one of its simulation.
+    So they are folded in order, simulation by simulation; what a task holds is
+    the people of one simulation.
     """
-    firsts = docs.groupBy("simulation_id").agg(F.min("doc").alias("__first"))
-    marked = docs.join(firsts, "simulation_id")
-    now, deferred = marked.where(F.col("doc") == F.col("__first")), marked.where(F.col("doc") != F.col("__first"))
     text_or_empty = lambda c: F.coalesce(c, F.lit("")).alias
     people = F.transform(
         F.col("contributors"),
@@ -476,25 +488,15 @@ def upsert_contributors(
             F.coalesce(p["rank"], i + 1).cast("int").alias("rank"),
         ),
     )
-    named = lambda p: (p["orcid"] != "") | (p["email"] != "") | (p["name"] != "")
-    rows = now.select("doc", "simulation_id", people.alias("people"))
-    rejects = rows.select("doc", "simulation_id", F.inline(F.filter("people", lambda p: ~named(p))))
-    held = target.join(now.select("simulation_id"), "simulation_id", "left_semi").groupBy("simulation_id").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "id", F.lit(-1).cast("long").alias("pos"), *_PERSON[:-1], F.col("rank").cast("int").alias("rank"),
-                    F.lit(False).alias("touched"),
-                )
-            )
-        ).alias("existing")
+    incoming = docs.select("doc", "simulation_id", F.inline(people)).withColumn("id", F.lit(None).cast("long"))
+    named = (F.col("orcid") != "") | (F.col("email") != "") | (F.col("name") != "")
+    rejects = incoming.where(~named).drop("id")
+    held = target.join(docs.select("simulation_id"), "simulation_id", "left_semi").select(
+        F.lit(None).cast(docs.schema["doc"].dataType).alias("doc"), "simulation_id", F.lit(None).cast("long").alias("pos"),
+        *_PERSON[:-1], F.col("rank").cast("int").alias("rank"), F.col("id").cast("long").alias("id"),
     )
-    none = F.array().cast(held.schema["existing"].dataType)
-    folded = rows.join(held, "simulation_id", "left").select(
-        "doc", "simulation_id",
-        F.inline(_apply_people(F.coalesce("existing", none), F.filter("people", named))),
-    )
-    done = freeze(folded.where("touched").drop("touched"))
+    rows = incoming.where(named).unionByName(held)
+    done = freeze(fold(rows, "simulation_id", ["doc", "pos", "id"], _People, rows.schema))
     updates = done.where("id is not null").select("id", "simulation_id", *_PERSON)
     start = _max_id(target, "id")
     inserts = number_rows(done.where("id is null"), ORDER, "__no").select(
@@ -515,7 +517,7 @@ def upsert_contributors(
         "id", "simulation_id", "__new.*", F.lit("update").alias("action")
     )
     actions = changed.unionByName(inserts.withColumn("action", F.lit("insert")))
-    return table, actions, rejects, deferred.drop("__first")
+    return table, actions, rejects
 
 
 # --- reprocessing ----------------------------------------------------------
@@ -546,20 +548,24 @@ def clear_for_reprocess(
 def ingest_documents(
     docs: DataFrame, tables: dict[str, DataFrame], now
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
-    """One round of import: all tables afterwards, documents left for the next
-    round, and rejects (doc, reason).
-
-    ``docs`` are parsed import documents, ``tables`` the tables by name.  A
-    document is applied with all its parts or not at all; nothing is written
-    here, so the caller replaces the tables once everything has succeeded.
+    """All tables after the import, (doc, sim_id, action) of each document applied, and rejects (doc, reason).
+
+    ``docs`` are parsed import documents, ``tables`` the tables by name.  Every
+    document that is not rejected is applied, with all its parts, as if one came
+    after the other.  One with an unknown lead, an id that does not exist or a
+    contributor without name, address and ORCID is not applied at all.  Nothing
+    is written here, so the caller replaces the tables once everything has
+    succeeded.
     """
     # Documents are read here, not at the top, to keep operators below sources.
     from simquarry.sources.documents import elements
 
     out = dict(tables)
     known, unknown = resolve_owner(docs, tables["account"], tables["user"])
-    resolved = resolve_simulations(known, tables["simulation"])
-    todo = resolved.where((F.col("step") != "invalid") & ~F.col("deferred"))
+    nobody = lambda p: blank(p["orcid"]) & blank(p["email"]) & blank(p["name"])
+    nameless = F.exists(F.coalesce("contributors", F.array().cast(docs.schema["contributors"].dataType)), nobody)
+    resolved = resolve_simulations(known.where(~nameless), tables["simulation"])
+    todo = freeze(resolved.where(F.col("step") != "invalid"))
     software = upsert_software(
         todo.select("doc", F.lit(0).alias("pos"), F.col("software_name").alias("name"), F.col("software_version").alias("version")),
         tables["software"],
@@ -570,19 +576,16 @@ def ingest_documents(
         software, ["name", "version"], "software_id",
     ).drop("pos", "name", "version")
     table, actions = upsert_simulations(with_software, tables["simulation"], now)
-    # New ids are settled before the parts refer to them.
-    ids = freeze(actions.select("doc", "sim_id"))
-    current = freeze(todo.drop("sim_id").join(ids, "doc"))
-    part = lambda field, **k: elements(current, field, **k)
+    part = lambda field, **k: elements(todo, field, **k)
     out["uploaded_file"] = upsert_files(part("original_files"), tables["uploaded_file"], "original").table
     out["processed_file"] = upsert_files(part("processed_files"), tables["processed_file"], "processed").table
     out["replicate"] = upsert_replicates(
         part("replicates").withColumnRenamed("e", "trajectory_file_name"), tables["replicate"]
     ).table
-    people = current.where(F.col("contributors").isNotNull()).select(
+    people = todo.where(F.col("contributors").isNotNull()).select(
         "doc", F.col("sim_id").alias("simulation_id"), "contributors"
     )
-    out["contribution"], _actions, nameless, _later = upsert_contributors(people, tables["contribution"])
+    out["contribution"] = upsert_contributors(people, tables["contribution"])[0]
     out["ligand"] = upsert_ligands(part("ligands"), tables["ligand"]).table
     out["solute"] = upsert_solutes(part("solutes"), tables["solute"]).table
     out["external_link"] = upsert_links(part("external_links"), tables["external_link"]).table
@@ -595,7 +598,6 @@ def ingest_documents(
     rejects = (
         unknown.select("doc", F.lit("unknown lead contributor").alias("reason"))
         .unionByName(resolved.where("step = 'invalid'").select("doc", F.lit("no such simulation").alias("reason")))
-        .unionByName(nameless.select("doc", F.lit("contributor without a name").alias("reason")).distinct())
+        .unionByName(known.where(nameless).select("doc", F.lit("contributor without a name").alias("reason")))
     )
-    later = docs.join(resolved.where("deferred and step <> 'invalid'").select("doc"), "doc", "left_semi")
-    return out, later, rejects
+    return out, actions, rejects

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from simquarry.operators import ingest as op
 from simquarry.plans.registry import Inputs, named
 from simquarry.plans.views import query
+from simquarry.sources.sinks import import_receipts
 
 NOW = "2024-01-20 00:00:00"
 
@@ -44,7 +45,7 @@ select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey % 300 a
        'au' as authors, l_returnflag as journal, case when l_tax = 0 then null else concat('v', l_partkey % 3) end as volume, 2020 as year,
        case when l_linenumber % 3 = 0 then '' when l_linenumber % 3 = 1 then null else concat('d', l_partkey % 40) end as doi from v_line""",
     "v_in_people": """
-select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_orderkey as simulation_id, concat('n', l_partkey % 4) as name,
+select l_orderkey as doc, cast(l_linenumber as bigint) as pos, cast(floor(l_orderkey / 3) as bigint) as simulation_id, concat('n', l_partkey % 4) as name,
        case when l_linenumber % 2 = 0 then concat('e', l_suppkey % 3) end as email, 'i' as institution,
        case when l_linenumber % 3 = 0 then concat('o', l_partkey % 3) else '' end as orcid, cast(null as int) as rank from v_line""",
     # lineitem repeats its key; one row of each.
@@ -53,10 +54,10 @@ select l_orderkey, l_linenumber, min(l_partkey) as l_partkey, min(l_suppkey) as
        min(l_discount) as l_discount, min(l_tax) as l_tax, min(l_returnflag) as l_returnflag, min(l_linestatus) as l_linestatus
 from lineitem group by l_orderkey, l_linenumber""",
     "v_imports": """
-select o_orderkey as doc, case when o_orderkey % 19 = 0 then o_custkey * 3 end as simulation_id,
-       case when o_orderkey % 3 = 0 then concat('a', o_orderkey % 500) when o_orderkey % 3 = 1 then '' end as alias,
+select o_orderkey as doc, case when o_orderkey % 19 = 0 then o_custkey * 3 + o_orderkey % 2 end as simulation_id,
+       case when o_orderkey % 3 = 0 then concat('a', o_orderkey % 4) when o_orderkey % 3 = 1 then '' end as alias,
        case when o_orderkey % 11 = 0 then '0000-0000-0000-0000' else concat('0000-0000-', lpad(cast(o_custkey as string), 8, '0')) end as lead_contributor_orcid,
-       concat('h', o_orderkey % 1200) as hash, o_orderpriority as short_description, o_totalprice as duration from orders""",
+       concat('h', o_custkey, '-', o_orderkey % 5) as hash, o_orderpriority as short_description, o_totalprice as duration from orders""",
 }
 
 # Tables before the import.
@@ -86,9 +87,13 @@ select p_partkey as id, concat('t', p_partkey % 13) as title, 'au' as authors, c
 select c_custkey as id, c_custkey * 5 as simulation_id, concat('n', c_custkey % 4) as name, concat('e', c_custkey % 3) as email, 'old' as institution,
        concat('o', c_custkey % 3) as orcid, 1 as rank from customer""",
     "v_t_simulation": """
-select p_partkey as id, concat('h', p_partkey * 5) as unique_file_hash_string, concat('a', p_partkey * 3) as alias, p_partkey % 150 as created_by_id,
-       p_type as short_description, cast(1 as double) as duration, 'w' as water_type, false as is_placeholder, true as is_deprecated, true as is_public,
-       false as is_embargoed, timestamp '2020-01-01 00:00:00' as creation_date from part""",
+select c_custkey * 3 + 0 as id, concat('h', c_custkey, '-', (c_custkey + 0) % 3) as unique_file_hash_string, concat('a', c_custkey % 2) as alias, c_custkey as created_by_id,
+       c_mktsegment as short_description, cast(1 as double) as duration, 'w' as water_type, false as is_placeholder, true as is_deprecated, true as is_public,
+       false as is_embargoed, timestamp '2020-01-01 00:00:00' as creation_date from customer where c_custkey % 4 <> 0
+union all
+select c_custkey * 3 + 1 as id, concat('h', c_custkey, '-', (c_custkey + 1) % 3) as unique_file_hash_string, concat('a', c_custkey % 2) as alias, c_custkey as created_by_id,
+       c_mktsegment as short_description, cast(1 as double) as duration, 'w' as water_type, false as is_placeholder, true as is_deprecated, true as is_public,
+       false as is_embargoed, timestamp '2020-01-01 00:00:00' as creation_date from customer where c_custkey % 4 <> 0""",
 }
 KNOWN = {**SOURCES, **TARGETS}
 
@@ -313,22 +318,30 @@ RESOLVE = {
 select i.*, case when lead_contributor_orcid <> '0000-0000-0000-0000' then o.owner_id end as owner_id,
        lead_contributor_orcid = '0000-0000-0000-0000' or o.owner_id is not null as known
 from v_imports i left join v_owner o on o.uid = i.lead_contributor_orcid""",
-    "v_step": """
-select i.*, case when i.simulation_id is not null and s.id is null then 'invalid' when i.simulation_id is not null then 'id'
-       when a.id is not null then 'alias' when h.id is not null then 'hash' else 'new' end as step, s.id as sid, a.id as aid, h.id as hid
-from v_owned i left join v_t_simulation s on s.id = i.simulation_id
-left join (select alias, created_by_id, min(id) as id from v_t_simulation group by 1, 2) a on a.alias = i.alias and i.alias <> '' and a.created_by_id = i.owner_id
-left join (select unique_file_hash_string as h, min(id) as id from v_t_simulation group by 1) h on h.h = i.hash
-where i.known""",
-    "v_found": "select *, case step when 'id' then sid when 'alias' then aid when 'hash' then hid end as sim_id from v_step",
-    "v_touch": """
-select doc, concat('h', hash) as k from v_found where step <> 'invalid'
-union all select doc, concat('a', owner_id, ':', alias) from v_found where step <> 'invalid' and alias <> '' and owner_id is not null
-union all select doc, concat('s', sim_id) from v_found where step <> 'invalid' and sim_id is not null""",
-    "v_late": "select distinct t.doc from v_touch t join (select k, min(doc) as m from v_touch group by k) e on e.k = t.k where t.doc > e.m",
-    "v_todo": "select * from v_found where step <> 'invalid' and doc not in (select doc from v_late)",
-    "v_act": """
-select *, coalesce(sim_id, (select max(id) from v_t_simulation) + row_number() over (partition by sim_id is null order by doc)) as new_id from v_todo""",
+    # The documents of a customer share no key with those of another; so each
+    # step replays the next document of every customer.
+    "v_turns": """
+select o.*, c.o_custkey as cust, row_number() over (partition by c.o_custkey order by o.doc) as turn
+from v_owned o join orders c on c.o_orderkey = o.doc where known and (simulation_id is null or simulation_id in (select id from v_t_simulation))""",
+    "v_start": """
+select t.cust, list({'id': s.id, 'alias': s.alias, 'owner': s.created_by_id, 'hash': s.unique_file_hash_string}) filter (s.id is not null) as sims
+from (select distinct cust from v_turns) t left join v_t_simulation s on s.created_by_id = t.cust group by t.cust""",
+    "v_replay": """
+select cust, cast(0 as bigint) as turn, cast(null as bigint) as doc, cast(null as varchar) as step, cast(null as bigint) as sim, coalesce(sims, []) as sims from v_start
+union all
+select cust, turn, doc, step, sim, list_append(list_filter(sims, lambda x: x.id <> sim), {'id': sim, 'alias': alias, 'owner': owner_id, 'hash': hash})
+from (select *, case when simulation_id is not null then 'id' when aid is not null then 'alias' when hid is not null then 'hash' else 'new' end as step,
+             coalesce(simulation_id, aid, hid, 1000000000000 + doc) as sim
+      from (select q.cust, q.turn, q.doc, q.simulation_id, q.alias, q.owner_id, q.hash, r.sims,
+                   case when q.alias <> '' then list_min(list_transform(list_filter(r.sims, lambda x: x.alias = q.alias and x.owner = q.owner_id), lambda x: x.id)) end as aid,
+                   list_min(list_transform(list_filter(r.sims, lambda x: x.hash = q.hash), lambda x: x.id)) as hid
+            from v_replay r join v_turns q on q.cust = r.cust and q.turn = r.turn + 1))""",
+    "v_made": "select doc, (select max(id) from v_t_simulation) + row_number() over (order by doc) as new_id from v_replay where step = 'new'",
+    "v_found": """
+select r.doc, r.step, coalesce(m.new_id, r.sim) as sim_id from v_replay r left join v_made m on m.doc = r.sim - 1000000000000 where r.doc is not null
+union all select doc, 'invalid', null from v_owned where known and simulation_id is not null and simulation_id not in (select id from v_t_simulation)""",
+    "v_last": """
+select distinct on (f.sim_id) f.sim_id, o.* from v_found f join v_owned o on o.doc = f.doc where f.step <> 'invalid' order by f.sim_id, f.doc desc""",
 }
 
 
@@ -347,13 +360,9 @@ def _(i: Inputs):
     return op.resolve_owner(_get(i, "v_imports"), i.v_account, i.v_user)[1].select("doc", "lead_contributor_orcid")
 
 
-@named(
-    "m2_resolve_simulations",
-    "select doc, step, sim_id, doc in (select doc from v_late) as deferred from v_found",
-    RESOLVE,
-)
+@named("m2_resolve_simulations", "select doc, step, sim_id from v_found", RESOLVE)
 def _(i: Inputs):
-    return _resolved(i).select("doc", "step", "sim_id", "deferred")
+    return _resolved(i).select("doc", "step", "sim_id")
 
 
 @named(
@@ -362,8 +371,8 @@ def _(i: Inputs):
                case when a.doc is not null then a.owner_id else t.created_by_id end as created_by_id, coalesce(a.duration, t.duration) as duration,
                case when a.doc is not null then '' else water_type end as water_type,
                a.doc is not null or is_placeholder as is_placeholder, a.doc is null and is_deprecated as is_deprecated, is_public, creation_date
-        from v_t_simulation t left join v_act a on a.sim_id = t.id
-        union all select new_id, hash, alias, owner_id, duration, '', true, false, false, timestamp '{NOW}' from v_act where sim_id is null""",
+        from v_t_simulation t left join v_last a on a.sim_id = t.id
+        union all select sim_id, hash, alias, owner_id, duration, '', true, false, false, timestamp '{NOW}' from v_last where sim_id not in (select id from v_t_simulation)""",
     RESOLVE,
 )
 def _(i: Inputs):
@@ -374,6 +383,16 @@ def _(i: Inputs):
     )
 
 
+@named(
+    "s10_import_receipts",
+    "select 'prod' as server, concat(doc, '.json') as filename, sim_id as simulation_id, '/data' as data_dir from v_found where step <> 'invalid'",
+    RESOLVE,
+)
+def _(i: Inputs):
+    _table, actions = op.upsert_simulations(_resolved(i), _get(i, "v_t_simulation"), NOW)
+    return import_receipts(actions.withColumn("doc", F.concat(F.col("doc").cast("string"), F.lit(".json"))), "prod", "/data")
+
+
 def _people(i: Inputs):
     """Documents with their array of contributors."""
     fields = ["name", "email", "institution", "orcid", "rank"]
@@ -384,13 +403,14 @@ def _people(i: Inputs):
     )
 
 
-# The contributors of a document replayed one by one.  Slot 0 is a stand-in
+# The contributors of a simulation's documents replayed one by one.  Slot 0 is a stand-in
 # that keeps a simulation without people in the recursion.
 PEOPLE = {
     **KNOWN,
     "v_pp": """
-select simulation_id, pos, name, coalesce(email, '') as email, institution, orcid,
-       cast(row_number() over (partition by doc order by pos) as int) as step from v_in_people""",
+select simulation_id, doc * 1000 + pos as pos, name, coalesce(email, '') as email, institution, orcid,
+       cast(row_number() over (partition by doc order by pos) as int) as place,
+       cast(row_number() over (partition by simulation_id order by doc, pos) as int) as step from v_in_people""",
     "v_slot": """
 select p.simulation_id, cast(0 as bigint) as slot, cast(null as bigint) as id, '' as name, '' as email, '' as institution, '' as orcid, cast(0 as int) as rank
 from (select distinct simulation_id from v_pp) p
@@ -401,9 +421,9 @@ select simulation_id, cast(0 as int) as turn, slot, id, name, email, institution
 union all
 select simulation_id, turn + 1, case when k = 1 then top + 1 else slot end, case when k = 0 then id end, case when k = 1 or slot = hit then p_name else name end,
        case when k = 1 or slot = hit then p_email else email end, case when k = 1 or slot = hit then p_institution else institution end,
-       case when k = 1 or slot = hit then p_orcid else orcid end, case when k = 1 or slot = hit then step else rank end, case when k = 1 then p_pos else pos end
+       case when k = 1 or slot = hit then p_orcid else orcid end, case when k = 1 or slot = hit then place else rank end, case when k = 1 then p_pos else pos end
 from (select *, unnest(case when slot = 0 and hit is null then [0, 1] else [0] end) as k from (
-  select r.*, p.step, p.pos as p_pos, p.name as p_name, p.email as p_email, p.institution as p_institution, p.orcid as p_orcid,
+  select r.*, p.place, p.pos as p_pos, p.name as p_name, p.email as p_email, p.institution as p_institution, p.orcid as p_orcid,
          min(case when r.slot > 0 and case when p.orcid <> '' then r.orcid = p.orcid when p.email <> '' then r.email = p.email else r.name = p.name end then r.slot end)
            over (partition by r.simulation_id) as hit, max(r.slot) over (partition by r.simulation_id) as top
   from v_fold r join v_pp p on p.simulation_id = r.simulation_id and p.step = r.turn + 1))""",
@@ -415,7 +435,7 @@ from (select *, unnest(case when slot = 0 and hit is null then [0, 1] else [0] e
     "m5_upsert_contributors",
     """select id, simulation_id, name, email, institution, orcid, rank from v_t_people where simulation_id not in (select simulation_id from v_pp)
        union all select id, simulation_id, name, email, institution, orcid, rank from v_folded where id is not null
-       union all select (select max(id) from v_t_people) + row_number() over (order by simulation_id, pos), simulation_id, name, email, institution, orcid, rank
+       union all select (select max(id) from v_t_people) + row_number() over (order by pos), simulation_id, name, email, institution, orcid, rank
        from v_folded where id is null""",
     PEOPLE,
 )

@@ -119,14 +119,13 @@ def test_contributors(make, seed):
     )
     held = [(k, k % 3, *(v or "" for v in person()[:4]), 1) for k in range(7)]
     docs = [(f"d{k}", k % 4, [person() for _ in range(rnd.randrange(6))]) for k in range(6)]
-    table, actions, rejects, deferred = ingest.upsert_contributors(
+    table, actions, rejects = ingest.upsert_contributors(
         make("doc string, simulation_id long, contributors array<struct<name:string,email:string,institution:string,orcid:string,rank:int>>", *docs),
         make("id long, simulation_id long, name string, email string, institution string, orcid string, rank int", *held),
     )
-    assert rows(deferred, "doc") == [("d4",), ("d5",)]
     names = ["id", "simulation_id", "name", "email", "institution", "orcid", "rank"]
     want, bad = [dict(zip(names, h)) for h in held], 0
-    for _doc, sim, people in docs[:4]:
+    for _doc, sim, people in docs:
         for place, (name, email, inst, orcid, rank) in enumerate(people, 1):
             new = {"name": name or "", "email": email or "", "institution": inst or "", "orcid": orcid or "", "rank": rank or place}
             field = next((f for f in ("orcid", "email", "name") if new[f]), None)
@@ -166,33 +165,42 @@ def replay_simulations(sims, docs):
     return sims
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_rounds_equal_one_document_after_the_other(make, seed):
-    """Applied in rounds until nothing is deferred, the documents leave the
-    table as a run one by one does, up to the order of new ids."""
+SIM = ["id", "unique_file_hash_string", "alias", "created_by_id", "is_placeholder", "is_deprecated", "is_public"]
+SIM_TYPE = "id long, unique_file_hash_string string, alias string, created_by_id long, is_placeholder boolean, is_deprecated boolean, is_public boolean, creation_date timestamp_ntz"
+DOC_TYPE = "doc long, simulation_id long, alias string, owner_id long, hash string"
+
+
+@pytest.mark.parametrize(("seed", "hashes", "n"), [(0, 14, 25), (1, 3, 60), (2, 200, 60), (3, 60, 200)])
+def test_all_at_once_equals_one_document_after_the_other(make, seed, hashes, n):
     rnd = random.Random(seed)
-    names = ["id", "unique_file_hash_string", "alias", "created_by_id", "is_placeholder", "is_deprecated", "is_public"]
-    sims = [dict(zip(names, (k + 1, f"h{k}", f"a{k % 3}", k % 2, False, True, True))) for k in range(6)]
+    sims = [dict(zip(SIM, (k + 1, rnd.choice([f"h{k}", "h1", None]), rnd.choice([f"a{k % 3}", "", None]), rnd.choice([k % 2, None]), False, True, True))) for k in range(6)]
     docs = [
-        {"doc": k, "simulation_id": rnd.choice([None] * 6 + [2, 99]), "alias": rnd.choice([None, "", "a1", "a7", "a8"]), "owner_id": rnd.choice([None, 0, 1]),
-         "hash": f"h{rnd.randrange(14)}"}
-        for k in range(25)
+        {"doc": k, "simulation_id": rnd.choice([None] * 6 + [0, 2, 99]), "alias": rnd.choice([None, "", "a1", "a7", f"a{k}"]), "owner_id": rnd.choice([None, 0, 1]),
+         "hash": f"h{rnd.randrange(hashes)}"}
+        for k in range(n)
     ]
-    table = make("id long, unique_file_hash_string string, alias string, created_by_id long, is_placeholder boolean, is_deprecated boolean, is_public boolean, creation_date timestamp_ntz",
-                 *[(*s.values(), None) for s in sims])
-    left = make("doc long, simulation_id long, alias string, owner_id long, hash string", *[tuple(d.values()) for d in docs])
-    for _round in range(len(docs)):
-        resolved = ingest.resolve_simulations(left, table)
-        table, actions = ingest.upsert_simulations(resolved, table, NOW)
-        assert actions.select("sim_id").distinct().count() == actions.count()
-        table = make(table.schema.simpleString()[7:-1].replace(":", " "), *table.collect())
-        later = resolved.where("deferred and step <> 'invalid'").select(left.columns).collect()
-        if not later:
-            break
-        left = make("doc long, simulation_id long, alias string, owner_id long, hash string", *later)
+    shuffled = rnd.sample(docs, n)
+    table = make(SIM_TYPE, *[(*s.values(), None) for s in sims])
+    resolved = ingest.resolve_simulations(make(DOC_TYPE, *[tuple(d.values()) for d in shuffled]), table)
+    new, actions = ingest.upsert_simulations(resolved, table, NOW)
     want = replay_simulations(sims, docs)
-    assert rows(table, *names[1:]) == sorted((tuple(s[n] for n in names[1:]) for s in want), key=str)
-    assert [r for r in rows(table, *names) if r[0] <= 6] == sorted((tuple(s[n] for n in names) for s in want if s["id"] <= 6), key=str)
+    assert rows(new, *SIM) == sorted((tuple(s[n] for n in SIM) for s in want), key=str)
+    assert actions.count() == sum(d["simulation_id"] != 99 for d in docs) == resolved.where("step <> 'invalid'").count()
+    assert actions.where("action = 'insert'").count() == len(want) - len(sims)
+
+
+def test_many_documents_of_one_hash(make, spark):
+    """A hot component; the first document makes the simulation, the others change it."""
+    docs = spark.range(5000).selectExpr("id as doc", "cast(null as long) as simulation_id", "if(id % 2 = 0, concat('a', id % 7), null) as alias", "id % 3 as owner_id", "'h' as hash")
+    resolved = ingest.resolve_simulations(docs, spark.createDataFrame([], SIM_TYPE))
+    steps = {r["step"]: r["count"] for r in resolved.groupBy("step").count().collect()}
+    assert steps["new"] == 1 and sum(steps.values()) == 5000
+    assert rows(resolved, "sim_id")[0] == (1,) == rows(resolved, "sim_id")[-1]
+
+
+def test_no_documents(make, spark):
+    none = spark.createDataFrame([], DOC_TYPE)
+    assert ingest.resolve_simulations(none, make(SIM_TYPE, (1, "h", "a", 1, False, True, True, None))).count() == 0
 
 
 def test_owner(make):
@@ -214,7 +222,7 @@ def test_clear_for_reprocess(make):
 
 
 def test_whole_documents(spark, tmp_path):
-    """Three documents: a new simulation, one that depends on it, a stranger."""
+    """Four documents: a new simulation, one that depends on it, a stranger, and one with a nameless contributor."""
     import json
 
     from simquarry.sources.documents import read_imports
@@ -223,22 +231,23 @@ def test_whole_documents(spark, tmp_path):
     base = {
         "lead_contributor_orcid": "o1", "software_name": "amber", "software_version": "22", "short_description": "s", "duration": 1, "sampling_frequency": 1,
         "integration_timestep_fs": 2, "rmsd_values": [1], "rmsf_values": [], "fasta_sequence": "A", "num_replicates": 1, "temperature_kelvin": 300,
-        "processed_files": [{"name": "d/minimal.pdb", "file_type": "T", "size": 1, "md5_sum": "m"}], "replicates": ["r"], "contributors": [{"name": "n"}, {"email": ""}],
+        "processed_files": [{"name": "d/minimal.pdb", "file_type": "T", "size": 1, "md5_sum": "m"}], "replicates": ["r"], "contributors": [{"name": "n"}],
         "ligands": [{"name": "L", "smiles": "C"}], "solutes": [{"name": "Na", "concentration_mol_liter": 0.1}], "external_links": [{"url": "u"}],
         "papers": [{"title": "t", "authors": "a", "journal": "j", "volume": "1", "year": 2020, "doi": "d"}], "uniprots": [{"uniprot_id": "P1", "name": "n", "sequence": "AAA"}],
         "pdb": {"pdb_id": "1ABC", "title": "t", "classification": "c"},
     }
-    for name, extra in {"a": {"unique_file_hash_string": "h1"}, "b": {"unique_file_hash_string": "h1", "alias": "x"}, "c": {"unique_file_hash_string": "h2", "lead_contributor_orcid": "zz"}}.items():
+    for name, extra in {"a": {"unique_file_hash_string": "h1"}, "b": {"unique_file_hash_string": "h1", "alias": "x"}, "c": {"unique_file_hash_string": "h2", "lead_contributor_orcid": "zz"}, "d": {"unique_file_hash_string": "h3", "contributors": [{"name": "n"}, {"email": ""}]}}.items():
         (tmp_path / f"{name}.json").write_text(json.dumps({"simulation": {**base, **extra}}))
     docs, bad = read_imports(spark, str(tmp_path))
     assert bad.count() == 0
     tables = {t: spark.createDataFrame([], s) for t, s in SCHEMAS.items()}
     tables["user"] = spark.createDataFrame([(5, "u", None, None, None, None)], SCHEMAS["user"])
     tables["account"] = spark.createDataFrame([(5, "orcid", "o1")], SCHEMAS["account"])
-    out, later, rejects = ingest.ingest_documents(docs, tables, NOW)
+    out, applied, rejects = ingest.ingest_documents(docs, tables, NOW)
     assert rows(out["simulation"], "id", "created_by_id", "software_id", "pdb_id", "is_placeholder", "is_public") == [(1, 5, 1, 1, True, False)]
     assert [out[t].count() for t in ("software", "processed_file", "uploaded_file", "replicate", "contribution", "ligand", "pub", "simulation_pub", "uniprot", "simulation_uniprot", "pdb")] == [1, 1, 0, 1, 1, 1, 1, 1, 1, 1, 1]
     assert rows(out["processed_file"], "simulation_id", "local_file_path") == [(1, "MDR00000001/processed/minimal.pdb")]
     assert rows(out["solute"], "name") == [("Na+",)] and rows(out["uniprot"], "amino_length") == [(3,)]
-    assert [r["doc"].rsplit("/", 1)[1] for r in later.collect()] == ["b.json"]
-    assert sorted((r["doc"].rsplit("/", 1)[1], r["reason"]) for r in rejects.collect()) == [("a.json", "contributor without a name"), ("c.json", "unknown lead contributor")]
+    assert sorted((r["doc"].rsplit("/", 1)[1], r["sim_id"], r["action"]) for r in applied.collect()) == [("a.json", 1, "insert"), ("b.json", 1, "update")]
+    assert rows(out["simulation"], "alias") == [("x",)]
+    assert sorted((r["doc"].rsplit("/", 1)[1], r["reason"]) for r in rejects.collect()) == [("c.json", "unknown lead contributor"), ("d.json", "contributor without a name")]
