@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from simquarry.llm.bpe import id_lists, packed, slices
+from simquarry.llm.bpe import packed, slices
 from simquarry.session import shared_folder
 
 END_ID = 1
@@ -34,7 +34,9 @@ MAX_WORDS = 1_000_000  # runs that a worker remembers before it starts anew
 PLAIN = re.compile(r"[\x00-\x1b\x20-ɏ]*")
 # Letters and the rest of a run; they are never in one word of the split, but
 # for endings after an apostrophe.
-PIECES = re.compile(r"[a-z]+|[^a-z]+")
+LETTER = "a-zªµºß-öø-ɏ"
+PIECES = re.compile(rf"[{LETTER}]+|[^{LETTER}]+")
+LETTERS = re.compile(rf"[{LETTER}]+")
 
 
 class WordEncoder:
@@ -62,21 +64,21 @@ class WordEncoder:
         return [packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters a to z."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        """Ids of words of letters."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
         if len(ends) != len(words):
             return self._ids(words)
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
-    def _learn(self, runs: set[str]) -> None:
+    def _learn(self, runs: list[str]) -> None:
         new = [r for r in runs if r not in self.known]
         if len(self.known) + len(new) > MAX_WORDS:
-            self.known, new = {}, list(runs)
-        split = {r: PIECES.findall(r) if r.isascii() and "'" not in r else [r] for r in new}
+            self.known, new = {}, runs
+        split = {r: PIECES.findall(r) if "'" not in r and PLAIN.fullmatch(r) else [r] for r in new}
         asked = {p for pieces in split.values() for p in pieces if p not in self.known}
-        letters = [p for p in asked if p.isascii() and p.isalpha()]
+        letters = [p for p in asked if LETTERS.fullmatch(p)]
         for ask, pieces in ((self._letters, letters), (self._ids, list(asked.difference(letters)))):
             for at in range(0, len(pieces), 2000):
                 self.known.update(zip(pieces[at : at + 2000], ask(pieces[at : at + 2000]), strict=True))
@@ -84,13 +86,34 @@ class WordEncoder:
             if len(pieces) > 1:
                 self.known[run] = b"".join([self.known[p] for p in pieces])
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        plain = [PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
-        split = [t.lower().split() if p else None for t, p in zip(texts, plain, strict=True)]
-        self._learn(set().union(*(words for words in split if words)))
-        find = self.known.__getitem__
-        for text, words in zip(texts, split, strict=True):
-            yield self._ids([text])[0] if words is None else b"".join(map(find, words))
+    def encode(self, texts: list[str], end: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text ends.  ``end`` is put behind each.
+
+        The runs of a batch become numbers first, so a run is looked up once a
+        batch, and its ids are copied from one pool.
+        """
+        flat: list[str] = []
+        counts = []
+        whole = {"": packed(end or [])}  # what is put as it is: the end, which no run equals, and odd texts
+        for t in texts:
+            if PLAIN.fullmatch(t) and not any(s in t for s in self.special):
+                runs = t.lower().split()
+            else:
+                runs = [t]
+                whole[t] = self._ids([t])[0]
+            flat += runs
+            flat.append("")
+            counts.append(len(runs) + 1)
+        coded = pa.array(flat, pa.string()).dictionary_encode()
+        code, runs = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        self._learn([r for r in runs if r not in whole])
+        pool = [whole[r] if r in whole else self.known[r] for r in runs]
+        size = np.array([len(x) // 4 for x in pool], np.int64)
+        first = np.cumsum(size) - size
+        n = size[code]
+        stop = np.cumsum(n)
+        place = np.arange(stop[-1] if len(stop) else 0) + np.repeat(first[code] - stop + n, n)
+        return np.frombuffer(b"".join(pool), "<u4")[place], stop[np.cumsum(counts, dtype=np.int64) - 1]
 
 
 @lru_cache(maxsize=2)
@@ -112,14 +135,13 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
     schema = ranged.select("doc_id", F.lit(None).cast("array<int>").alias("ids"), "part", F.lit(0).cast("long").alias("at")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, end = 0, packed([end_id])
-        for batch in slices(batches, "text", 2 << 20):
-            ids = [x + end for x in encoder(tokenizer).encode([t or "" for t in batch.column("text").to_pylist()])]
-            before = np.cumsum([at, *(len(x) // 4 for x in ids)])
-            at = int(before[-1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), id_lists(ids), batch.column("part"), pa.array(before[:-1], pa.int64())], names=["doc_id", "ids", "part", "at"]
-            )
+        at = 0
+        for batch in slices(batches, "text", 6 << 20):
+            ids, ends = encoder(tokenizer).encode([t or "" for t in batch.column("text").to_pylist()], [end_id])
+            offsets = np.concatenate(([0], ends))
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, batch.column("part"), pa.array(at + offsets[:-1], pa.int64())], names=["doc_id", "ids", "part", "at"])
+            at += int(offsets[-1])
 
     (
         ranged.mapInArrow(run, schema)
