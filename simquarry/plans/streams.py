@@ -18,7 +18,11 @@ from simquarry.session import shared_folder
 from simquarry.sources import documents, files, sinks, tables
 from simquarry.streaming.alerts import alert_stream
 from simquarry.streaming.intake import completion_stream, current_jobs, job_stream, outcome_stream
-from simquarry.streaming.run import drain
+from simquarry.streaming.run import closing, drain
+
+# A stored table has no order of arrival: its files may come in any order of the
+# time they span, so that span is the lateness declared for it.
+SPAN = "31 days"
 
 
 def table_stream(i: Inputs, table: str):
@@ -259,7 +263,8 @@ def _(i: Inputs):
         "concat('job-', user_id) as label", "ts", "event_id as seq",
         "case when event_type in ('error', 'click', 'view') then 1 else 0 end as exit_code", "event_id % 7 <> 0 as delivered",
     )
-    return drain(alert_stream(runs))
+    runs, close = closing(runs)
+    return drain(alert_stream(runs, lateness=SPAN), close=close)
 
 
 @named(
@@ -326,4 +331,5 @@ def _(i: Inputs):
         "case when event_type = 'purchase' then case when event_id % 40 = 0 then 0 else 2 end when event_type = 'error' then 1 end as exit_code",
         "event_type = 'error' or event_id % 3 <> 0 as retryable",
     )
-    return current_jobs(drain(job_stream(events)))
+    events, close = closing(events)
+    return current_jobs(drain(job_stream(events, lateness=SPAN), close=close))

@@ -7,36 +7,34 @@ state moves on delivered messages only, so an undelivered one is tried again.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
-OUTPUT = "label string, ts timestamp, seq long, kind string, failures long, since timestamp, delivered boolean"
-_STATE = (
-    "failures long, first_failure timestamp, alerted_at timestamp, parked long, last_ts timestamp, last_seq long"
-)
-_EMPTY = (0, None, None, None, None, None)
+from simquarry.streaming.ordered import in_order, to_micros, to_time
 
+_OUTPUT = "label string, micros long, seq long, kind string, failures long, since long, delivered boolean"
+_STATE = "failures long, first_failure long, alerted_at long, parked long"
+_EMPTY = (0, None, None, None)
 
-def advance(state: tuple, ts, seq, exit_code, delivered, threshold: int, repeat_hours: float):
+
+def advance(state: tuple, ts: datetime, exit_code: int, delivered: bool, threshold: int, repeat_hours: float):
     """State after one run, and the message it gave rise to, if any.
 
     A message is (kind, failures, since).  ``parked`` is set after a recovery
     message that was not delivered; a failure then starts a new episode.
     """
-    failures, first, alerted, parked, _ts, _seq = state
-    at = ts.floor("s")
+    failures, first, alerted, parked = state
+    at = ts.replace(microsecond=0)
     if exit_code == 0:
         if alerted is None:
-            return (0, None, None, None, ts, seq), None
+            return (0, None, None, None), None
         count = parked or failures
         message = ("recovered", count, first)
         if delivered:
-            return (0, None, None, None, ts, seq), message
-        return (0, first, alerted, count, ts, seq), message
+            return (0, None, None, None), message
+        return (0, first, alerted, count), message
     if parked is not None:
         failures, first, alerted = 0, None, None
     failures, first = failures + 1, first if first is not None else at
@@ -47,47 +45,28 @@ def advance(state: tuple, ts, seq, exit_code, delivered, threshold: int, repeat_
         message = ("failed", failures, first)
         if delivered:
             alerted = at
-    return (failures, first, alerted, None, ts, seq), message
-
-
-def _none(v):
-    return None if v is None or v is pd.NaT else v
-
+    return (failures, first, alerted, None), message
 
-def _stepper(threshold: int, repeat_hours: float):
-    def step(key: tuple, batches: Iterable[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        state = tuple(_none(v) for v in held.get) if held.exists else _EMPTY
-        state = tuple(pd.Timestamp(v) if k in (1, 2, 4) and v is not None else v for k, v in enumerate(state))
-        # The runs of one label within one micro-batch, in time order; the
-        # trigger bounds their number.
-        runs = pd.concat(list(batches)).sort_values(["ts", "seq"])
-        out = []
-        for ts, seq, code, delivered in zip(runs["ts"], runs["seq"], runs["exit_code"], runs["delivered"]):
-            if state[4] is not None and (ts, seq) <= (state[4], state[5]):
-                out.append((key[0], ts, seq, "late", None, None, delivered))
-                continue
-            state, message = advance(state, ts, seq, code, delivered, threshold, repeat_hours)
-            if message:
-                out.append((key[0], ts, seq, *message, delivered))
-        held.update(tuple(v.to_pydatetime() if isinstance(v, pd.Timestamp) else None if v is None else int(v) for v in state))
-        frame = pd.DataFrame(out, columns=["label", "ts", "seq", "kind", "failures", "since", "delivered"])
-        frame["failures"] = frame["failures"].astype("Int64")
-        frame["since"] = pd.to_datetime(frame["since"])
-        yield frame
 
-    return step
-
-
-def alert_stream(runs: DataFrame, threshold: int = 3, repeat_hours: float = 24) -> DataFrame:
+def alert_stream(runs: DataFrame, threshold: int = 3, repeat_hours: float = 24, lateness: str = "1 day") -> DataFrame:
     """Messages of a stream of runs (label, ts, seq, exit_code, delivered).
 
     ``delivered`` is the sender's receipt for a message about this run, so the
-    stream can be replayed.  Runs that are older than the state of their label
-    come out with kind ``late``.
+    stream can be replayed.  Runs of a label are taken in the order of (ts, seq)
+    once the watermark has passed them, so their messages are those of
+    ``operators.alerts.alerts`` however the input is cut, as long as no run is
+    more than ``lateness`` behind.
     """
-    typed = runs.selectExpr(
-        "label", "cast(ts as timestamp) as ts", "cast(seq as long) as seq", "cast(exit_code as int) as exit_code", "delivered"
-    )
-    return typed.groupBy("label").applyInPandasWithState(
-        _stepper(threshold, repeat_hours), OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
+
+    def step(state: tuple | None, run: Row) -> tuple[tuple, list[Row]]:
+        failures, first, alerted, parked = state or _EMPTY
+        now, message = advance((failures, to_time(first), to_time(alerted), parked), to_time(run.micros), run.exit_code, bool(run.delivered), threshold, repeat_hours)
+        after = (now[0], to_micros(now[1]), to_micros(now[2]), now[3])
+        if message is None:
+            return after, []
+        kind, count, since = message
+        return after, [Row(label=run.label, micros=run.micros, seq=run.seq, kind=kind, failures=count, since=to_micros(since), delivered=run.delivered)]
+
+    typed = runs.selectExpr("label", "ts", "cast(seq as long) as seq", "cast(exit_code as int) as exit_code", "delivered")
+    told = in_order(typed, "label", step, _STATE, _OUTPUT, lateness)
+    return told.select("label", F.timestamp_micros("micros").alias("ts"), "seq", "kind", "failures", F.timestamp_micros("since").alias("since"), "delivered")

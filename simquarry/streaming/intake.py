@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from datetime import timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from simquarry.functions import fixed_values as fv
+from simquarry.streaming.ordered import to_micros, to_time, in_order
 
 
 def completion_stream(parts: DataFrame, markers: DataFrame) -> DataFrame:
@@ -51,14 +49,10 @@ def outcome_stream(log: DataFrame) -> DataFrame:
     )
 
 
-JOB_OUTPUT = (
-    "job_id long, ts timestamp, seq long, applied boolean, status string, num_attempts int, exit_code int, "
-    "started_at timestamp, finished_at timestamp"
-)
-_JOB_STATE = (
-    "status string, num_attempts int, exit_code int, started_at timestamp, finished_at timestamp, "
-    "last_ts timestamp, last_seq long"
+_JOB_OUTPUT = (
+    "job_id long, micros long, seq long, applied boolean, status string, num_attempts int, exit_code int, started_at long, finished_at long"
 )
+_JOB_STATE = "status string, num_attempts int, exit_code int, started_at long, finished_at long"
 
 
 def job_step(state: tuple | None, ts, kind: str, exit_code, retryable: bool, max_attempts: int = fv.MAX_ATTEMPTS):
@@ -83,57 +77,36 @@ def job_step(state: tuple | None, ts, kind: str, exit_code, retryable: bool, max
     return state
 
 
-def _null(v):
-    return None if v is None or v is pd.NaT or v != v else v
-
-
-def _job_batches(key: tuple, batches: Iterable[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-    state, last = None, None
-    if held.exists:
-        values = [_null(v) for v in held.get]
-        times = [pd.Timestamp(v) if v is not None else None for v in (values[3], values[4], values[5])]
-        state = (values[0], values[1], values[2], times[0], times[1]) if values[0] else None
-        last = (times[2], values[6])
-    events = pd.concat(list(batches)).sort_values(["ts", "seq"])
-    out = []
-    for ts, seq, kind, code, retryable in zip(
-        events["ts"], events["seq"], events["kind"], events["exit_code"], events["retryable"]
-    ):
-        if last is not None and (ts, seq) <= last:
-            out.append((key[0], ts, seq, None, *(state or (None,) * 5)))
-            continue
-        code = None if pd.isna(code) else int(code)
-        after = job_step(state, ts, kind, code, bool(retryable))
-        applied, state, last = after != state, after, (ts, seq)
-        out.append((key[0], ts, seq, applied, *(state or (None,) * 5)))
-    plain = lambda v: v.to_pydatetime() if isinstance(v, pd.Timestamp) else v
-    held.update(tuple(plain(v) for v in (*(state or (None,) * 5), last[0], int(last[1]))))
-    names = ["job_id", "ts", "seq", "applied", "status", "num_attempts", "exit_code", "started_at", "finished_at"]
-    frame = pd.DataFrame(out, columns=names)
-    frame = frame.astype({"num_attempts": "Int32", "exit_code": "Int32", "applied": "boolean"})
-    for c in ("started_at", "finished_at"):
-        frame[c] = pd.to_datetime(frame[c])
-    yield frame
-
-
-def job_stream(events: DataFrame) -> DataFrame:
-    """Row of the job after each event (job_id, ts, seq, kind, exit_code,
-    retryable); ``applied`` is NULL for an event older than the state."""
+def _job_event(state: tuple | None, event: Row) -> tuple[tuple, list[Row]]:
+    held = None
+    if state is not None and state[0] is not None:
+        held = (*state[:3], to_time(state[3]), to_time(state[4]))
+    after = job_step(held, to_time(event.micros), event.kind, event.exit_code, bool(event.retryable))
+    status, attempts, code, started, finished = after or (None,) * 5
+    row = (status, attempts, code, to_micros(started), to_micros(finished))
+    names = ("status", "num_attempts", "exit_code", "started_at", "finished_at")
+    return row, [Row(job_id=event.job_id, micros=event.micros, seq=event.seq, applied=after != held, **dict(zip(names, row, strict=True)))]
+
+
+def job_stream(events: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """Row of the job after each event (job_id, ts, seq, kind, exit_code, retryable).
+
+    Events of a job are applied in the order of (ts, seq) once the watermark has
+    passed them; ``applied`` tells whether the event fitted.
+    """
     typed = events.selectExpr(
-        "cast(job_id as long) as job_id", "cast(ts as timestamp) as ts", "cast(seq as long) as seq", "kind",
-        "cast(exit_code as int) as exit_code", "retryable",
-    )
-    return typed.groupBy("job_id").applyInPandasWithState(
-        _job_batches, JOB_OUTPUT, _JOB_STATE, "append", GroupStateTimeout.NoTimeout
+        "cast(job_id as long) as job_id", "ts", "cast(seq as long) as seq", "kind", "cast(exit_code as int) as exit_code", "retryable",
     )
+    out = in_order(typed, "job_id", _job_event, _JOB_STATE, _JOB_OUTPUT, lateness)
+    time = lambda c: F.timestamp_micros(c).alias("ts" if c == "micros" else c)
+    return out.select("job_id", time("micros"), "seq", "applied", "status", "num_attempts", "exit_code", time("started_at"), time("finished_at"))
 
 
 def current_jobs(rows: DataFrame) -> DataFrame:
     """The job table: the row after the latest event of each job."""
     rest = ["status", "num_attempts", "exit_code", "started_at", "finished_at"]
     return (
-        rows.where("applied is not null")
-        .groupBy("job_id")
+        rows.groupBy("job_id")
         .agg(F.max(F.struct("ts", "seq", *rest)).alias("r"))
         .select("job_id", *[f"r.{c}" for c in rest])
     )

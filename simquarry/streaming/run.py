@@ -3,17 +3,40 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from simquarry.session import shared_folder
 
+END = "9000-01-01 00:00:00"
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
+
+def closing(stream: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """``stream`` with an end that can be called, for input that is known to be complete.
+
+    The call adds one row of nulls at a time after all others, which moves the
+    watermark past every event that still waits.  The row itself waits for ever.
+    """
+    spark = stream.sparkSession
+    folder = f"{shared_folder(spark)}/closing-{uuid.uuid4().hex}"
+    schema = stream.schema
+    spark.createDataFrame([], schema).write.parquet(folder)
+
+    def close() -> None:
+        last = [F.lit(END).cast(f.dataType).alias(f.name) if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        spark.range(1).select(*last).write.mode("append").parquet(folder)
+
+    return stream.unionByName(spark.readStream.schema(schema).parquet(folder)), close
+
+
+def drain(stream: DataFrame, mode: str = "append", close: Callable[[], None] | None = None) -> DataFrame:
     """Process the available input and return the written rows.
 
     Rows go to a parquet folder in the shared folder; each micro-batch writes a
-    folder of its own, so a batch that is run again replaces its rows.
+    folder of its own, so a batch that is run again replaces its rows.  With
+    ``close`` the stream goes on from its checkpoint after the end was called.
     """
     spark = stream.sparkSession
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -25,12 +48,15 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{base}/rows/batch={batch_id}")
 
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .foreachBatch(write)
-        .start()
-    )
-    query.awaitTermination()
+    for end in (None, close) if close else (None,):
+        if end:
+            end()
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", f"{base}/state")
+            .trigger(availableNow=True)
+            .foreachBatch(write)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.schema(schema).parquet(f"{base}/rows").select(*schema.names)

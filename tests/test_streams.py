@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 
-import pandas as pd
 import pytest
 
 from simquarry.operators.alerts import alerts, failure_episodes
@@ -11,7 +10,7 @@ from simquarry.operators.bundles import latest_outcomes
 from simquarry.operators.intake import parse_tickets
 from simquarry.streaming.alerts import _EMPTY, advance, alert_stream
 from simquarry.streaming.intake import completion_stream, current_jobs, job_step, job_stream, outcome_stream
-from simquarry.streaming.run import drain
+from simquarry.streaming.run import closing, drain
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -57,10 +56,10 @@ def make_runs(seed, labels=4, n=260):
 def replay(runs, threshold, hours):
     state, out = {}, []
     for label, ts, seq, code, delivered in sorted(runs, key=lambda r: (r[1], r[2])):
-        state[label], message = advance(state.get(label, _EMPTY), pd.Timestamp(ts), seq, code, delivered, threshold, hours)
+        state[label], message = advance(state.get(label, _EMPTY), ts, code, delivered, threshold, hours)
         if message:
             kind, failures, since = message
-            out.append((label, ts, seq, kind, failures, since.to_pydatetime(), delivered))
+            out.append((label, ts, seq, kind, failures, since, delivered))
     return sorted(out, key=str)
 
 
@@ -80,33 +79,43 @@ def plain(records):
     return sorted(((r[0], r[1].replace(tzinfo=None), *r[2:5], r[5].replace(tzinfo=None) if r[5] else None, r[6]) for r in records), key=str)
 
 
-@pytest.mark.parametrize("parts", [1, 7])
-def test_alerts_as_a_stream(spark, tmp_path, parts):
+@pytest.mark.parametrize(("parts", "mixed"), [(1, False), (7, False), (8, True)])
+def test_alerts_as_a_stream(spark, make, tmp_path, parts, mixed):
+    """One file a trigger, also in no order of time, gives the messages of the batch form."""
     runs = make_runs(9, n=140)
-    out = drain(alert_stream(stream_of(spark, tmp_path, RUNS, cut(runs, parts)), 2, 12))
-    assert plain(tuple(r) for r in out.select(COLS).collect()) == replay(runs, 2, 12)
-
-
-def test_late_runs_change_nothing(spark, tmp_path):
+    cuts = cut(runs, parts)
+    if mixed:
+        random.Random(2).shuffle(cuts)
+        cuts = [random.Random(k).sample(c, len(c)) for k, c in enumerate(cuts)]
+    stream, close = closing(stream_of(spark, tmp_path, RUNS, cuts))
+    out = drain(alert_stream(stream, 2, 12, lateness="100 days"), close=close)
+    got = plain(tuple(r) for r in out.select(COLS).collect())
+    assert got == replay(runs, 2, 12) == plain(tuple(r) for r in alerts(make(RUNS, *runs), 2, 12).select(COLS).collect())
+
+
+def test_messages_follow_the_watermark(spark, tmp_path):
+    """Without an end, runs wait as long as an earlier one may come; later than that, a run is dropped."""
     hour = lambda h: T0 + dt.timedelta(hours=h)
-    first = [("a", hour(5), 5, 1, True), ("a", hour(6), 6, 1, True)]
-    late = [("a", hour(1), 1, 0, True), ("a", hour(7), 7, 1, True)]
-    out = drain(alert_stream(stream_of(spark, tmp_path, RUNS, [first, late]), 3, 24))
-    assert rows(out, "seq", "kind", "failures") == [(1, "late", None), (7, "failed", 3)]
+    slices = [[("a", hour(5), 5, 1, True), ("a", hour(6), 6, 1, True)], [("a", hour(4), 4, 1, True)], [("a", hour(10), 10, 1, True)], [("a", hour(1), 1, 0, True), ("a", hour(11), 11, 1, True)]]
+    told = rows(drain(alert_stream(stream_of(spark, tmp_path, RUNS, slices), 3, 1, lateness="3 hours")), "seq", "kind", "failures")
+    assert told == [(6, "failed", 3)]
+    stream, close = closing(stream_of(spark, tmp_path, RUNS, slices))
+    told = rows(drain(alert_stream(stream, 3, 1, lateness="3 hours"), close=close), "seq", "kind", "failures")
+    assert told == [(10, "failed", 4), (11, "failed", 5), (6, "failed", 3)]
 
 
 def test_alert_rules():
     """The cases of the rules, one by one."""
-    t = lambda h: pd.Timestamp(T0) + pd.Timedelta(hours=h)
+    t = lambda h: T0 + dt.timedelta(hours=h)
     state, said = _EMPTY, []
     for h, code, ok in [(0, 1, True), (1, 1, True), (2, 0, True), (3, 1, True), (4, 1, True), (5, 1, False), (6, 1, True), (7, 1, True), (31, 1, True), (32, 0, False), (33, 0, True), (34, 0, True)]:
-        state, message = advance(state, t(h), h, code, ok, 3, 24)
+        state, message = advance(state, t(h), code, ok, 3, 24)
         if message:
             said.append((h, message[0], message[1]))
     assert said == [(5, "failed", 3), (6, "failed", 4), (31, "failed", 6), (32, "recovered", 6), (33, "recovered", 6)]
     # A failure after an undelivered recovery opens a new episode.
-    state, _ = advance((0, t(0), t(0), 4, t(1), 1), t(2), 2, 1, True, 3, 24)
-    assert state[:4] == (1, t(2), None, None)
+    state, _ = advance((0, t(0), t(0), 4), t(2), 1, True, 3, 24)
+    assert state == (1, t(2), None, None)
 
 
 def test_episodes(make):
@@ -135,8 +144,8 @@ def test_outcomes(spark, tmp_path):
 EVENTS = "job_id long, ts timestamp_ntz, seq long, kind string, exit_code int, retryable boolean"
 
 
-@pytest.mark.parametrize("parts", [1, 6])
-def test_jobs(spark, tmp_path, parts):
+@pytest.mark.parametrize(("parts", "mixed"), [(1, False), (6, False), (8, True)])
+def test_jobs(spark, tmp_path, parts, mixed):
     rnd = random.Random(4)
     events, at = [], T0
     for seq in range(150):
@@ -146,7 +155,11 @@ def test_jobs(spark, tmp_path, parts):
     state = {}
     for job, ts, _seq, kind, code, retry in events:
         state[job] = job_step(state.get(job), ts, kind, code, retry)
-    out = current_jobs(drain(job_stream(stream_of(spark, tmp_path, EVENTS, cut(events, parts)))))
+    cuts = cut(events, parts)
+    if mixed:
+        random.Random(3).shuffle(cuts)
+    stream, close = closing(stream_of(spark, tmp_path, EVENTS, cuts))
+    out = current_jobs(drain(job_stream(stream, lateness="100 days"), close=close))
     got = {r[0]: tuple(v.replace(tzinfo=None) if isinstance(v, dt.datetime) else v for v in r[1:]) for r in rows(out)}
     assert got == {j: s if s is not None else (None,) * 5 for j, s in state.items()}
 
