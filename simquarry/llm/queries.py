@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from simquarry.llm import bpe, chat, collocations, decontam, jaccard, language, line_dedup, quality, runs, secrets, segment_bpe, token_files, warc
+from simquarry.llm import bpe, chat, collocations, decontam, jaccard, language, line_dedup, oracle, quality, runs, secrets, segment_bpe, token_files, warc
 from simquarry.llm.text import hex_sha256
 from simquarry.session import freeze
 
@@ -42,7 +42,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_quality_rules")
+@query("op3_quality_rules", oracle.QUALITY)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("quality")
     return quality.measure(table(spark, sf_dir, "documents")).select(
@@ -54,7 +54,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op5_benchmark_decontamination")
+@query("op5_benchmark_decontamination", oracle.DECONTAMINATION)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -73,7 +73,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("removed.n_removed").alias("n_removed"), F.col("removed.n_lines").alias("n_lines"), F.col("removed.n_chars").alias("n_chars"), hex_sha256(F.col("text")).alias("text_sha256"))
 
 
-@query("op10_chat_formatting")
+@query("op10_chat_formatting", oracle.CHAT)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = f"{chat.END}{chat.START}assistant ok"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
@@ -105,7 +105,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read(spark, folder))
 
 
-@query("op4_warc")
+@query("op4_warc", oracle.WARC)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     folder = warc.new_folder(pages)
@@ -127,7 +127,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs.where("not held_out")), ["doc_id", "held_out"])
 
 
-@query("op9_jaccard_join")
+@query("op9_jaccard_join", oracle.JACCARD)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
