@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simquarry.llm.text import let, positions
+from simquarry.llm.text import let
 from simquarry.session import freeze
 
 # Kinds in their order, pattern, and what is measured and how long it must be.
@@ -126,40 +126,49 @@ def _battery(value: Column) -> Column:
     core = F.regexp_replace(value, "=+$", "")
     encoding = F.coalesce(*(F.when(core.rlike(f"^{_class(a)}+$"), F.lit(e)) for e, a in ALPHABETS.items()))
 
+    # What the tests use again and again is bound first: a lambda evaluates
+    # what it captures at each element.
     def tests(s: Column) -> Column:
-        def of(e: Column) -> Column:
-            alphabet = F.create_map(*(F.lit(x) for kv in ALPHABETS.items() for x in kv))[e]
-            n, k = F.char_length(s).cast("double"), F.char_length(alphabet).cast("double")
-            counts = F.transform(F.split(alphabet, ""), lambda c: n - F.char_length(F.replace(s, c, F.lit(""))))
-            squares = F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c)
-            x = F.transform(F.split(s, ""), lambda c: F.instr(alphabet, c).cast("double"))
-
-            def numbers(q: Column, v: Column) -> Column:
-                chi, df = k / n * q - n, k - 1
-                z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-                pairs = n * (n - 1)
-                mean = k * (1 + (n - 1) * COINCIDENCE) - n
-                sd = k / n * F.sqrt(2 * pairs * COINCIDENCE * (1 - COINCIDENCE) + 4 * pairs * (n - 2) * (COINCIDENCE3 - COINCIDENCE**2))
-                middle = (k + 1) / 2
-                above = F.transform(v, lambda y: (y > middle).cast("int"))
-                m = F.aggregate(v, F.lit(0.0), lambda a, y: a + y) / n
-
-                def series(up: Column) -> Column:
-                    n1 = F.aggregate(up, F.lit(0.0), lambda a, y: a + y)
-                    n0 = n - n1
-                    runs = 1 + F.size(F.filter(positions(1, F.size(up)), lambda i: up[i] != up[i - 1]))
-                    mu = 1 + 2 * n1 * n0 / n
-                    var = F.greatest((mu - 1) * (mu - 2) / (n - 1), F.lit(1e-9))
-                    between = F.aggregate(positions(1, F.size(v)), F.lit(0.0), lambda a, i: a + (v[i] - m) * (v[i - 1] - m))
-                    within = F.aggregate(v, F.lit(0.0), lambda a, y: a + (y - m) * (y - m))
-                    serial = F.when(within > 0, between / within).otherwise(1.0)
-                    return F.least(F.lit(1.0), 3 * F.least(1 - _phi(z_chi), _two_sided((runs - mu) / F.sqrt(var)), _two_sided(serial * F.sqrt(n))))
-
-                return F.struct(e.alias("encoding"), n.cast("int").alias("n"), _phi((chi - mean) / sd).alias("p_text"), let(above, series).alias("p_random"))
-
-            return let(squares, lambda q: let(x, lambda v: numbers(q, v)))
-
-        return let(encoding, of)
+        alphabet = lambda e: F.create_map(*(F.lit(x) for kv in ALPHABETS.items() for x in kv))[e]
+        return let(encoding, lambda e: let(alphabet(e), lambda a: let(F.char_length(s).cast("double"), lambda n: measured(s, e, a, n))))
+
+    def measured(s: Column, e: Column, alphabet: Column, n: Column) -> Column:
+        k = F.char_length(alphabet).cast("double")
+        counts = F.transform(F.split(alphabet, ""), lambda c: n - F.char_length(F.replace(s, c, F.lit(""))))
+        squares = F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c)
+        x = F.transform(F.split(s, ""), lambda c: F.instr(alphabet, c).cast("double"))
+        mean_of = lambda v: F.aggregate(v, F.lit(0.0), lambda a, y: a + y) / n
+        return let(squares, lambda q: let(x, lambda v: let(mean_of(v), lambda m: let((k + 1) / 2, lambda middle: numbers(e, n, k, q, v, m, middle)))))
+
+    def numbers(e: Column, n: Column, k: Column, q: Column, v: Column, m: Column, middle: Column) -> Column:
+        chi, df = k / n * q - n, k - 1
+        z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+        pairs = n * (n - 1)
+        mean = k * (1 + (n - 1) * COINCIDENCE) - n
+        sd = k / n * F.sqrt(2 * pairs * COINCIDENCE * (1 - COINCIDENCE) + 4 * pairs * (n - 2) * (COINCIDENCE3 - COINCIDENCE**2))
+
+        # Neighbours are met in one fold that remembers the one before.
+        start = F.struct(*(F.lit(0.0).alias(c) for c in ("n1", "changes", "between", "within")), F.lit(None).cast("double").alias("last"))
+
+        def step(a: Column, y: Column) -> Column:
+            changed = F.coalesce((y > middle) != (a["last"] > middle), F.lit(False))
+            return F.struct(
+                (a["n1"] + F.when(y > middle, 1.0).otherwise(0.0)).alias("n1"),
+                (a["changes"] + F.when(changed, 1.0).otherwise(0.0)).alias("changes"),
+                (a["between"] + F.coalesce((y - m) * (a["last"] - m), F.lit(0.0))).alias("between"),
+                (a["within"] + (y - m) * (y - m)).alias("within"),
+                y.alias("last"),
+            )
+
+        def series(r: Column) -> Column:
+            n1, n0 = r["n1"], n - r["n1"]
+            runs = 1 + r["changes"]
+            mu = 1 + 2 * n1 * n0 / n
+            var = F.greatest((mu - 1) * (mu - 2) / (n - 1), F.lit(1e-9))
+            serial = F.when(r["within"] > 0, r["between"] / r["within"]).otherwise(1.0)
+            return F.least(F.lit(1.0), 3 * F.least(1 - _phi(z_chi), _two_sided((runs - mu) / F.sqrt(var)), _two_sided(serial * F.sqrt(n))))
+
+        return F.struct(e.alias("encoding"), n.cast("int").alias("n"), _phi((chi - mean) / sd).alias("p_text"), let(F.aggregate(v, start, step), series).alias("p_random"))
 
     return let(core, tests)
 
