@@ -22,13 +22,16 @@ def _landing(entry: Column) -> Column:
     return text.landing_name(text.second_field(entry))
 
 
-def number_parts(ticket: DataFrame, wanted: Sequence[str] | None = None, col: str = "irods_tickets") -> DataFrame:
-    """Parts with their number in the full list, then filtered by name."""
+def number_parts(ticket: DataFrame, wanted: Sequence[str] | DataFrame | None = None, col: str = "irods_tickets") -> DataFrame:
+    """Parts with their number in the full list, then filtered by name: a few
+    given names, or a table of them (column ``landing``)."""
     parts = (
         ticket.where(~text.blank(F.col(col)))
         .select(F.col("id").alias("ticket_id"), F.posexplode(F.split(col, ";")).alias("pos", "entry"))
         .select("ticket_id", (F.col("pos") + 1).alias("part_num"), "entry", _landing(F.col("entry")).alias("landing"))
     )
+    if isinstance(wanted, DataFrame):
+        return parts.join(wanted.select("landing"), "landing", "left_semi").select(parts.columns)
     return parts if not wanted else parts.where(F.col("landing").isin(*wanted))
 
 

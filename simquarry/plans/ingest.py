@@ -16,7 +16,7 @@ NOW = "2024-01-20 00:00:00"
 # Incoming rows: one document per order, one element per line; keys repeat.
 SOURCES = {
     "v_in_files": """
-select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey % 400 as simulation_id, concat('sub/f', l_suppkey % 9, '.xtc') as name,
+select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey as simulation_id, concat('sub/f', l_suppkey % 9, '.xtc') as name,
        l_returnflag as file_type, case when l_tax > 0.04 then l_linestatus end as description,
        cast(l_quantity * 10 as bigint) as size, md5(concat('n', l_orderkey, l_linenumber)) as md5_sum, l_discount > 0.05 as is_primary
 from v_line""",
@@ -24,26 +24,26 @@ from v_line""",
 select o_orderkey as doc, cast(0 as bigint) as pos, o_orderpriority as name,
        case when o_orderkey % 50 = 0 then null else concat('v', o_custkey % 6) end as version from orders""",
     "v_in_pdb": """
-select o_orderkey as doc, cast(0 as bigint) as pos, o_custkey % 211 as simulation_id, concat('P', o_custkey % 97) as pdb_id,
+select o_orderkey as doc, cast(0 as bigint) as pos, o_custkey as simulation_id, concat('P', cast(floor(o_custkey / 3) as bigint)) as pdb_id,
        concat('t', o_orderkey % 7) as title, o_orderpriority as classification from orders""",
     "v_in_uniprot": """
-select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey % 300 as simulation_id, concat('Q', l_suppkey % 90) as uniprot_id,
+select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey as simulation_id, concat('Q', l_suppkey) as uniprot_id,
        concat('n', l_linenumber) as name, repeat('A', cast(l_quantity as int)) as sequence from v_line""",
     "v_in_ligands": """
-select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey % 300 as simulation_id, concat('L', l_suppkey % 5) as name,
+select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey as simulation_id, concat('L', l_suppkey % 5) as name,
        concat('C', cast(l_quantity as int)) as smiles from v_line""",
     "v_in_links": """
-select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey % 300 as simulation_id, concat('u', l_suppkey % 5) as url,
+select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey as simulation_id, concat('u', l_suppkey % 5) as url,
        case when l_quantity > 40 then concat('l', cast(l_quantity as int)) when l_quantity > 20 then '' end as label from v_line""",
     "v_in_solutes": """
-select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey % 300 as simulation_id,
+select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey as simulation_id,
        case l_suppkey % 4 when 0 then 'Na' when 1 then 'Cl' when 2 then 'K' else 'MG' end as name, l_discount as concentration_mol_liter from v_line""",
     "v_in_replicates": """
-select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey % 300 as simulation_id, concat('r', l_suppkey % 4) as trajectory_file_name from v_line""",
+select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey as simulation_id, concat('r', l_suppkey % 4) as trajectory_file_name from v_line""",
     "v_in_papers": """
-select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey % 300 as simulation_id, concat('t', l_suppkey % 13) as title,
+select l_orderkey as doc, cast(l_linenumber as bigint) as pos, l_partkey as simulation_id, concat('t', l_suppkey % 13) as title,
        'au' as authors, l_returnflag as journal, case when l_tax = 0 then null else concat('v', l_partkey % 3) end as volume, 2020 as year,
-       case when l_linenumber % 3 = 0 then '' when l_linenumber % 3 = 1 then null else concat('d', l_partkey % 40) end as doi from v_line""",
+       case when l_linenumber % 3 = 0 then '' when l_linenumber % 3 = 1 then null else concat('d', l_partkey) end as doi from v_line""",
     "v_in_people": """
 select l_orderkey as doc, cast(l_linenumber as bigint) as pos, cast(floor(l_orderkey / 3) as bigint) as simulation_id, concat('n', l_partkey % 4) as name,
        case when l_linenumber % 2 = 0 then concat('e', l_suppkey % 3) end as email, 'i' as institution,
@@ -63,10 +63,10 @@ select o_orderkey as doc, case when o_orderkey % 19 = 0 then o_custkey * 3 + o_o
 # Tables before the import.
 TARGETS = {
     "v_t_processed": """
-select p_partkey as id, p_partkey % 400 as simulation_id, concat('f', p_size % 9, '.xtc') as filename, 'X' as file_type, cast(null as string) as description,
+select p_partkey as id, p_partkey as simulation_id, concat('f', p_size % 9, '.xtc') as filename, 'X' as file_type, cast(null as string) as description,
        'old' as local_file_path, cast(p_size as bigint) as file_size_bytes, 'm' as md5_hash from part""",
     "v_t_uploaded": """
-select p_partkey as id, p_partkey % 400 as simulation_id, concat('sub/f', p_size % 9, '.xtc') as filename, 'X' as file_type, cast(null as string) as description,
+select p_partkey as id, p_partkey as simulation_id, concat('sub/f', p_size % 9, '.xtc') as filename, 'X' as file_type, cast(null as string) as description,
        'old' as local_file_path, cast(p_size as bigint) as file_size_bytes, 'm' as md5_hash, p_size > 3 as is_primary from part""",
     "v_t_software": """
 select c_custkey as id, o.p as name, concat('v', c_custkey % 4) as version
@@ -74,15 +74,15 @@ from customer join (select min(o_orderkey) % 20 as k, o_orderpriority as p from
     "v_t_pdb": "select c_custkey as id, concat('p', c_custkey) as pdb_id, 't0' as title, c_mktsegment as classification from customer where c_custkey % 2 = 0",
     "v_t_sims": "select c_custkey as id, case when c_custkey % 3 = 0 then c_custkey end as pdb_id from customer",
     "v_t_uniprot": "select c_custkey as id, concat(case when c_custkey % 2 = 0 then 'Q' else 'R' end, c_custkey) as uniprot_id, 'n1' as name, 1 as amino_length, 'A' as sequence from customer",
-    "v_t_sim_uniprot": "select c_custkey as id, c_custkey % 40 as uniprot_id, c_custkey * 7 % 300 as simulation_id from customer",
-    "v_t_ligand": "select p_partkey as id, concat('L', p_size % 5) as name, 'C1' as smiles_string, p_partkey % 300 as simulation_id from part",
-    "v_t_link": "select p_partkey as id, concat('u', p_size % 5) as url, case when p_size % 2 = 0 then 'old' end as label, p_partkey % 300 as simulation_id from part",
-    "v_t_solute": "select p_partkey as id, case p_size % 3 when 0 then 'Na+' when 1 then 'Cl' else 'MG' end as name, 0.5 as concentration, p_partkey % 300 as simulation_id from part",
-    "v_t_replicate": "select p_partkey as id, p_partkey % 300 as simulation_id, concat('r', p_size % 4) as trajectory_file_name from part",
+    "v_t_sim_uniprot": "select c_custkey as id, cast(floor(c_custkey / 2) as bigint) as uniprot_id, c_custkey * 7 as simulation_id from customer",
+    "v_t_ligand": "select p_partkey as id, concat('L', p_size % 5) as name, 'C1' as smiles_string, p_partkey as simulation_id from part",
+    "v_t_link": "select p_partkey as id, concat('u', p_size % 5) as url, case when p_size % 2 = 0 then 'old' end as label, p_partkey as simulation_id from part",
+    "v_t_solute": "select p_partkey as id, case p_size % 3 when 0 then 'Na+' when 1 then 'Cl' else 'MG' end as name, 0.5 as concentration, p_partkey as simulation_id from part",
+    "v_t_replicate": "select p_partkey as id, p_partkey as simulation_id, concat('r', p_size % 4) as trajectory_file_name from part",
     "v_t_pub": """
 select p_partkey as id, concat('t', p_partkey % 13) as title, 'au' as authors, case when p_size % 2 = 0 then 'A' else 'N' end as journal,
        concat('v', p_size % 3) as volume, 2020 as year, case when p_partkey % 2 = 0 then concat('d', p_partkey) end as doi from part""",
-    "v_t_sim_pub": "select c_custkey as id, c_custkey % 30 as pub_id, c_custkey * 7 % 300 as simulation_id from customer",
+    "v_t_sim_pub": "select c_custkey as id, cast(floor(c_custkey / 2) as bigint) as pub_id, c_custkey * 7 as simulation_id from customer",
     "v_t_people": """
 select c_custkey as id, c_custkey * 5 as simulation_id, concat('n', c_custkey % 4) as name, concat('e', c_custkey % 3) as email, 'old' as institution,
        concat('o', c_custkey % 3) as orcid, 1 as rank from customer""",
@@ -221,6 +221,13 @@ def _(i: Inputs):
     return op.upsert_uniprot(_get(i, "v_in_uniprot"), _get(i, "v_t_uniprot"), _get(i, "v_t_sim_uniprot"))[0].table
 
 
+@named("a24_uniprot_length", "select uniprot_id, amino_length from v_x_new where amino_length <> 1", UNIPROT)
+def _(i: Inputs):
+    """Amino acids of each entry that an import wrote."""
+    done = op.upsert_uniprot(_get(i, "v_in_uniprot"), _get(i, "v_t_uniprot"), _get(i, "v_t_sim_uniprot"))[0]
+    return done.table.where("amino_length <> 1").select("uniprot_id", "amino_length")
+
+
 @named("m9_simulation_uniprot", "select * from v_y_new", UNIPROT)
 def _(i: Inputs):
     return op.upsert_uniprot(_get(i, "v_in_uniprot"), _get(i, "v_t_uniprot"), _get(i, "v_t_sim_uniprot"))[1].table
@@ -228,8 +235,7 @@ def _(i: Inputs):
 
 @named(
     "m10_upsert_ligands",
-    """select case when m.id is null then 'insert' else 'update' end as action, count(*) as n from v_x_match m
-       left join v_t_ligand t on t.id = m.id where m.id is null or m.smiles_string is distinct from t.smiles_string group by 1""",
+    "select id, simulation_id, name, smiles_string from v_x_new",
     {
         **KNOWN,
         "v_in_ligands2": "select doc, pos, simulation_id, name, smiles as smiles_string from v_in_ligands",
@@ -238,7 +244,7 @@ def _(i: Inputs):
 )
 def _(i: Inputs):
     done = op.upsert_ligands(_get(i, "v_in_ligands"), _get(i, "v_t_ligand"))
-    return done.actions.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+    return done.table.select("id", "simulation_id", "name", "smiles_string")
 
 
 @named(

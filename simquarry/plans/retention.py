@@ -388,7 +388,7 @@ def _(i: Inputs):
 
 LIGANDS = {
     "v_ligands": """
-select p_partkey as ligand_id, p_partkey % 700 as simulation_id, concat('L', p_size % 4) as name,
+select p_partkey as ligand_id, cast(floor(p_partkey / 3) as bigint) as simulation_id, concat('L', p_size % 4) as name,
        case when p_partkey % 3 = 0 then '' when p_partkey % 11 = 0 then null else concat('C', p_size) end as smiles from part""",
     "v_structures": "select p_partkey as simulation_id, concat('P', p_size) as pdb_id from part",
     "v_smiles": """

@@ -290,7 +290,7 @@ def _(i: Inputs):
 @named("x3_outcome_stream", "select bundle, max(seq) as seq, arg_max(result, seq) as result from v_outcomes group by bundle")
 def _(i: Inputs):
     log = table_stream(i, "events").where("event_id % 5 in (1, 2)").selectExpr(
-        "event_id as seq", "concat('b', event_id % 800) as bundle", "case when event_type = 'error' then 'failed' else 'done' end as result"
+        "event_id as seq", "concat('b', cast(floor(event_id / 20) as bigint)) as bundle", "case when event_type = 'error' then 'failed' else 'done' end as result"
     )
     return bundles.latest_outcomes(drain(outcome_stream(log), "update"))
 

@@ -21,9 +21,9 @@ select *, least(greatest(1, cast(ceil(count(*) over (partition by ticket_id) / 3
 }
 
 
-@named("w1_number_parts", "select ticket_id, part_num, entry, landing from v_numbered where landing in ('L10-2', 'L20-3', 'L7-1', 'L7-2')", NUMBERED)
+@named("w1_number_parts", "select ticket_id, part_num, entry, landing from v_numbered where landing in (select landing_id from v_upload)", NUMBERED)
 def _(i: Inputs):
-    return op.number_parts(i.v_ticket, ["L10-2", "L20-3", "L7-1", "L7-2"])
+    return op.number_parts(i.v_ticket, i.v_upload.select(F.col("landing_id").alias("landing")))
 
 
 @named("w2_make_batches", "select ticket_id, part_num, landing, cast(pos // per_batch as bigint) as batch from v_batched", NUMBERED)
@@ -33,11 +33,11 @@ def _(i: Inputs):
 
 @named(
     "w3_chunk",
-    """select collection, name, cast((row_number() over (partition by substr(collection, 1, 13) order by collection, name) - 1) // 100 as bigint) as chunk
+    """select collection, name, cast((row_number() over (partition by regexp_extract(collection, '^(.*)-', 1) order by collection, name) - 1) // 100 as bigint) as chunk
        from v_objects""",
 )
 def _(i: Inputs):
-    objects = i.v_objects.select("collection", "name", F.substring("collection", 1, 13).alias("part"))
+    objects = i.v_objects.select("collection", "name", F.regexp_extract("collection", "^(.*)-", 1).alias("part"))
     return op.chunk(objects, ["part"], ["collection", "name"]).select("collection", "name", "chunk")
 
 

@@ -144,7 +144,7 @@ select concat('b', doc_id, case when doc_id % 5 = 0 then '.data' else '.md5' end
 from documents"""
 
 VIEWS["v_outcomes"] = """
-select event_id as seq, ts, concat('b', event_id % 800) as bundle,
+select event_id as seq, ts, concat('b', cast(floor(event_id / 20) as bigint)) as bundle,
        case when event_type = 'error' then 'failed' else 'done' end as result
 from events where event_id % 5 in (1, 2)"""
 
