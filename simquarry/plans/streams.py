@@ -17,8 +17,9 @@ from simquarry.plans.views import VIEWS, query, view
 from simquarry.session import shared_folder
 from simquarry.sources import documents, files, sinks, tables
 from simquarry.streaming.alerts import alert_stream
-from simquarry.streaming.intake import completion_stream, current_jobs, job_stream, outcome_stream
+from simquarry.streaming.intake import completion_stream, current_jobs, job_stream
 from simquarry.streaming.run import closing, drain
+from simquarry.streaming.views import maintain, read_view
 
 # A stored table has no order of arrival: its files may come in any order of the
 # time they span, so that span is the lateness declared for it.
@@ -292,7 +293,9 @@ def _(i: Inputs):
     log = table_stream(i, "events").where("event_id % 5 in (1, 2)").selectExpr(
         "event_id as seq", "concat('b', cast(floor(event_id / 20) as bigint)) as bundle", "case when event_type = 'error' then 'failed' else 'done' end as result"
     )
-    return bundles.latest_outcomes(drain(outcome_stream(log), "update"))
+    path = f"{shared_folder(i.spark)}/view-{uuid.uuid4().hex}"
+    maintain(log, path, "bundle", ["seq"]).awaitTermination()
+    return read_view(i.spark, path, log.schema).select("bundle", "seq", "result")
 
 
 JOBS = {

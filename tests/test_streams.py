@@ -10,6 +10,7 @@ from simquarry.operators.bundles import latest_outcomes
 from simquarry.operators.intake import parse_tickets
 from simquarry.streaming.alerts import _EMPTY, advance, alert_stream
 from simquarry.streaming.intake import completion_stream, current_jobs, job_step, job_stream, outcome_stream
+from simquarry.streaming import views
 from simquarry.streaming.run import closing, drain
 
 T0 = dt.datetime(2024, 1, 1)
@@ -141,6 +142,27 @@ def test_outcomes(spark, tmp_path):
     assert rows(view, "bundle", "seq") == sorted((f"b{j}", max(k for k in range(60) if k % 7 == j)) for j in range(7))
 
 
+def test_a_maintained_view(spark, tmp_path):
+    """Only touched buckets get a new version, and a batch that runs again changes nothing."""
+    lines = [(k * 7 % 60, f"b{k % 23}", "done" if k % 3 else "failed") for k in range(60)]
+    slices = [*cut(lines[:50], 4), [(100, "b3", "late")], lines[50:]]
+    log = stream_of(spark, tmp_path, "seq long, bundle string, result string", slices)
+    path = str(tmp_path / "view")
+    views.maintain(log, path, "bundle", ["seq"], buckets=8).awaitTermination()
+    want = sorted({b: max((s, r) for s, c, r in [*lines, (100, "b3", "late")] if c == b) for _, b, _ in lines}.items())
+    seen = lambda: sorted((r["bundle"], (r["seq"], r["result"])) for r in views.read_view(spark, path, log.schema).collect())
+    assert seen() == want
+    written = {p.name: sorted(x.name for x in p.glob("bucket=*")) for p in (tmp_path / "view" / "rows").iterdir()}
+    one = len(slices) - 2
+    assert len(written[f"batch={one}"]) == 1 and len(written["batch=0"]) > 3
+    again = spark.createDataFrame([(100, "b3", "late")], log.schema)
+    views.merge(again, one, path, "bundle", ["seq"], buckets=8)
+    assert seen() == want
+    # Rows written without their version, as by a batch that failed half way, are not seen.
+    spark.createDataFrame([(999, "b3", "x")], log.schema).write.parquet(f"{path}/rows/batch=99/{written[f'batch={one}'][0]}")
+    assert seen() == want
+
+
 EVENTS = "job_id long, ts timestamp_ntz, seq long, kind string, exit_code int, retryable boolean"
 
 
