@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from simquarry.functions import fixed_values as fv
 from simquarry.functions import text
 from simquarry.operators.intake import as_time, ticket_map
+from simquarry.session import freeze
 
 
 def not_in_flight(df: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -210,9 +211,10 @@ def purge_list(
     unreachable: DataFrame | None = None,
 ) -> DataFrame:
     """Landings that may be deleted now, after verification."""
-    cands = classify_landings(upload, ticket, sim, jobs).where(F.col("class") != "held")
+    # Both are read several times below, and take many scans to make.
+    cands = freeze(classify_landings(upload, ticket, sim, jobs).where(F.col("class") != "held"))
     sims = cands.where(F.col("class") == "eligible").select("simulation_id")
-    files = permanent_files(processed, uploaded, sims)
+    files = freeze(permanent_files(processed, uploaded, sims))
     verdicts = verify_files(sample_per_group(files, "simulation_id", verify, seed), inventory, unreachable)
     without, refused = unverifiable(cands, files)
     bad = verdicts.where(F.col("verdict") != "ok").select("simulation_id").unionByName(without.select("simulation_id"))
