@@ -18,7 +18,7 @@ from simquarry.session import shared_folder
 from simquarry.sources import documents, files, sinks, tables
 from simquarry.streaming.alerts import alert_stream
 from simquarry.streaming.intake import completion_stream, current_jobs, job_stream
-from simquarry.streaming.run import closing, drain
+from simquarry.streaming.run import closing, drain, state_partitions
 from simquarry.streaming.views import maintain, read_view
 
 # A stored table has no order of arrival: its files may come in any order of the
@@ -36,6 +36,10 @@ def table_stream(i: Inputs, table: str):
     return i.spark.readStream.schema(schema).option("maxBytesPerTrigger", 256 * 1024 * 1024).parquet(f"{i.sf_dir}/{table}.parque[t]")
 
 
+def _partitions(i: Inputs, table: str) -> int:
+    return state_partitions(i.spark, view(i.spark, i.sf_dir, table).count())
+
+
 # --- sources ---------------------------------------------------------------
 @named("s2_catalog_objects", "select path as collection, resource as name, size, checksum as md5 from v_replicas where replica_no = 0")
 def _(i: Inputs):
@@ -265,7 +269,7 @@ def _(i: Inputs):
         "case when event_type in ('error', 'click', 'view') then 1 else 0 end as exit_code", "event_id % 7 <> 0 as delivered",
     )
     runs, close = closing(runs)
-    return drain(alert_stream(runs, lateness=SPAN), close=close)
+    return drain(alert_stream(runs, lateness=SPAN), close=close, partitions=_partitions(i, "events"))
 
 
 @named(
@@ -285,7 +289,7 @@ def _(i: Inputs):
             key.alias("collection"), F.lit(fv.COMPLETION_MARKER).alias("name"), F.when(total % 11 == 0, 0).otherwise(5039).alias("size")
         )
     )
-    return drain(completion_stream(intake.parse_tickets(i.v_ticket), markers), "update")
+    return drain(completion_stream(intake.parse_tickets(i.v_ticket), markers), "update", partitions=_partitions(i, "lineitem"))
 
 
 @named("x3_outcome_stream", "select bundle, max(seq) as seq, arg_max(result, seq) as result from v_outcomes group by bundle")
@@ -335,4 +339,4 @@ def _(i: Inputs):
         "event_type = 'error' or event_id % 3 <> 0 as retryable",
     )
     events, close = closing(events)
-    return current_jobs(drain(job_stream(events, lateness=SPAN), close=close))
+    return current_jobs(drain(job_stream(events, lateness=SPAN), close=close, partitions=_partitions(i, "events")))
