@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,25 +27,33 @@ from simquarry.session import shared_folder
 
 END_ID = 1
 STRIDE = 1000
-MAX_WORDS = 1_000_000  # runs that a worker remembers before it starts anew
+MAX_WORDS = 1_000_000  # words that a worker remembers before it starts anew
 
 # Below U+0250 composition changes nothing and a letter's lower case does not
 # depend on its neighbours; other texts go through the tokenizer whole.  So do
-# those with U+001C to U+001F, which only Python takes for white space.
-PLAIN = re.compile(r"[\x00-\x1b\x20-ɏ]*")
-# Letters and the rest of a run; they are never in one word of the split, but
-# for endings after an apostrophe.
+# those with U+001C to U+001F, which the tokenizer does not take for white space.
+PLAIN = r"^[\x00-\x1b\x20-\x{24f}]*$"
+# Runs that are split into letters and the rest, which are never in one word of
+# the split but for endings after an apostrophe.
+APART = r"^[\x00-\x26\x28-\x{24f}]*$"
 LETTER = "a-zªµºß-öø-ɏ"
-PIECES = re.compile(rf"[{LETTER}]+|[^{LETTER}]+")
-LETTERS = re.compile(rf"[{LETTER}]+")
+LETTERS = re.compile(f"[{LETTER}]+")
+
+
+def _taken(ids: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the entries ``code`` of a pool in a row, and where each entry ends; ``size`` ids belong to each entry of the pool."""
+    first = np.cumsum(size) - size
+    n = size[code]
+    stop = np.cumsum(n)
+    return ids[np.arange(stop[-1] if len(stop) else 0) + np.repeat(first[code] - stop + n, n)], stop
 
 
 class WordEncoder:
-    """The tokenizers library, asked once for each run of characters without white space.
+    """The tokenizers library, asked once for each word.
 
     White space is dropped by this vocabulary's split and never within a word,
-    so such runs are encoded on their own, and their letters apart from what
-    stands beside them.  Words of letters are put to the library in one text:
+    so runs between it are encoded on their own, and their letters apart from
+    what stands beside them.  Words of letters are put to the library in one text:
     the last id of each is one that ends a word.  Ids are packed, four bytes
     for each.
     """
@@ -72,48 +81,56 @@ class WordEncoder:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
-    def _learn(self, runs: list[str]) -> None:
-        new = [r for r in runs if r not in self.known]
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, of which those not met before are put to the library."""
+        found = list(map(self.known.get, words))
+        new = [w for w, ids in zip(words, found, strict=True) if ids is None]
+        if not new:
+            return found
         if len(self.known) + len(new) > MAX_WORDS:
-            self.known, new = {}, runs
-        split = {r: PIECES.findall(r) if "'" not in r and PLAIN.fullmatch(r) else [r] for r in new}
-        asked = {p for pieces in split.values() for p in pieces if p not in self.known}
-        letters = [p for p in asked if LETTERS.fullmatch(p)]
-        for ask, pieces in ((self._letters, letters), (self._ids, list(asked.difference(letters)))):
-            for at in range(0, len(pieces), 2000):
-                self.known.update(zip(pieces[at : at + 2000], ask(pieces[at : at + 2000]), strict=True))
-        for run, pieces in split.items():
-            if len(pieces) > 1:
-                self.known[run] = b"".join([self.known[p] for p in pieces])
-
-    def encode(self, texts: list[str], end: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text ends.  ``end`` is put behind each.
-
-        The runs of a batch become numbers first, so a run is looked up once a
-        batch, and its ids are copied from one pool.
+            self.known, new = {}, words
+        letters = [w for w in new if LETTERS.fullmatch(w)]
+        for ask, asked in ((self._letters, letters), (self._ids, [w for w in new if not LETTERS.fullmatch(w)])):
+            for at in range(0, len(asked), 2000):
+                self.known.update(zip(asked[at : at + 2000], ask(asked[at : at + 2000]), strict=True))
+        return [self.known[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+
+    def _runs(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all runs in a row, and the number of each run's ids."""
+        marked = pc.replace_substring_regex(runs, f"([{LETTER}])([^{LETTER}])", r"\1 \2")
+        marked = pc.replace_substring_regex(marked, f"([^{LETTER} ])([{LETTER}])", r"\1 \2")
+        pieces = pc.split_pattern(pc.if_else(pc.match_substring_regex(runs, APART), marked, runs), " ")
+        coded = pieces.flatten().dictionary_encode()
+        pool = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, stop = _taken(np.frombuffer(b"".join(pool), "<u4"), np.fromiter(map(len, pool), np.int64, len(pool)) // 4, coded.indices.to_numpy(zero_copy_only=False))
+        return ids, np.diff(np.concatenate(([0], stop))[pieces.offsets.to_numpy()])
+
+    def encode(self, texts: list[str] | pa.Array, end: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text ends.  ``end`` is put behind each; null is empty.
+
+        The runs of a batch become numbers first, and their pieces too, so a word
+        is looked up once a batch, and ids are copied from one pool.
         """
-        flat: list[str] = []
-        counts = []
-        whole = {"": packed(end or [])}  # what is put as it is: the end, which no run equals, and odd texts
-        for t in texts:
-            if PLAIN.fullmatch(t) and not any(s in t for s in self.special):
-                runs = t.lower().split()
-            else:
-                runs = [t]
-                whole[t] = self._ids([t])[0]
-            flat += runs
-            flat.append("")
-            counts.append(len(runs) + 1)
-        coded = pa.array(flat, pa.string()).dictionary_encode()
-        code, runs = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-        self._learn([r for r in runs if r not in whole])
-        pool = [whole[r] if r in whole else self.known[r] for r in runs]
-        size = np.array([len(x) // 4 for x in pool], np.int64)
-        first = np.cumsum(size) - size
-        n = size[code]
-        stop = np.cumsum(n)
-        place = np.arange(stop[-1] if len(stop) else 0) + np.repeat(first[code] - stop + n, n)
-        return np.frombuffer(b"".join(pool), "<u4")[place], stop[np.cumsum(counts, dtype=np.int64) - 1]
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        plain = pc.match_substring_regex(texts, PLAIN)
+        for s in self.special:
+            plain = pc.and_(plain, pc.invert(pc.match_substring(texts, s)))
+        # Only this letter becomes two, for the tokenizer; Arrow's lower case has one.
+        lowered = pc.utf8_lower(pc.replace_substring(pc.if_else(plain, texts, ""), "\u0130", "i\u0307"))
+        split = pc.utf8_split_whitespace(lowered)
+        coded = split.flatten().dictionary_encode()
+        ids, size = self._runs(coded.dictionary)
+        # After the runs of a text come its ids if it went whole, and the end.
+        is_whole = ~plain.to_numpy(zero_copy_only=False)
+        whole = [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)]
+        pool = [ids, np.array(end or [], "<u4"), *whole]
+        size = np.concatenate((size, [len(x) for x in pool[1:]])).astype(np.int64)
+        behind = np.full(len(texts) + len(whole), len(coded.dictionary))
+        behind[np.flatnonzero(is_whole) + np.arange(len(whole))] += 1 + np.arange(len(whole))
+        offsets = split.offsets.to_numpy()
+        code = np.insert(coded.indices.to_numpy(zero_copy_only=False), np.repeat(offsets[1:] - offsets[0], 1 + is_whole), behind)
+        ids, stop = _taken(np.concatenate(pool), size, code)
+        return ids, stop[np.cumsum(np.diff(offsets) + 1 + is_whole) - 1]
 
 
 @lru_cache(maxsize=2)
@@ -137,7 +154,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = 0
         for batch in slices(batches, "text", 6 << 20):
-            ids, ends = encoder(tokenizer).encode([t or "" for t in batch.column("text").to_pylist()], [end_id])
+            ids, ends = encoder(tokenizer).encode(batch.column("text"), [end_id])
             offsets = np.concatenate(([0], ends))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, batch.column("part"), pa.array(at + offsets[:-1], pa.int64())], names=["doc_id", "ids", "part", "at"])

@@ -48,6 +48,14 @@ def test_word_ids_are_the_library():
         assert ids[a:b].tolist() == [*library.encode(text, add_special_tokens=False).ids, 7], text
 
 
+def test_each_character_alone_and_between_letters_is_the_library():
+    library = Tokenizer.from_file(WORD)
+    texts = [f"{a}{chr(c)}{b}" for c in range(0x260) for a, b in (("", ""), ("a", "X"), (" 1", "'t"))]
+    ids, ends = token_files.WordEncoder(WORD).encode(texts)
+    for text, a, b in zip(texts, [0, *ends], ends, strict=False):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_runs_of_letters_and_signs_are_the_library():
     library = Tokenizer.from_file(WORD)
     rng = random.Random(7)
