@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simquarry.llm.text import let, positions
+from simquarry.llm.text import let, running
 
 START, END = "<|im_start|>", "<|im_end|>"
 
 # Tokens that a part takes in the model's input; a document takes one for each page.
 PART_TOKENS = {"image": 256, "audio": 128, "document": 64}
 
+PIECE = 4096  # characters
+
 PARTS = "array<struct<type:string,text:string,ref:string,units:bigint>>"
 
 
@@ -105,16 +107,15 @@ def format_turns(turns: DataFrame, parts: str = "parts") -> DataFrame:
 
     def joined(ts: Column) -> Column:
         sizes = F.transform(ts, lambda t: F.struct(F.char_length(t["head"]).alias("head"), F.char_length(t["content"]).alias("content"), (t["role"] == "assistant").alias("loss")))
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
+        length = lambda z: F.transform(z, lambda s: (s["head"] + s["content"] + len(tail)).cast("long"))
 
-        def step(a: Column, s: Column) -> Column:
-            begin = a["at"] + s["head"]
-            span = F.struct(begin.alias("start"), s["content"].cast("long").alias("length"))
-            return F.struct((begin + s["content"] + len(tail)).alias("at"), F.when(s["loss"], F.array_append(a["spans"], span)).otherwise(a["spans"]).alias("spans"))
+        def spans(z: Column, stop: Column) -> Column:
+            each = F.transform(z, lambda s, i: F.struct(s["loss"].alias("loss"), (stop[i] - len(tail) - s["content"]).alias("start"), s["content"].cast("long").alias("length")))
+            return F.transform(F.filter(each, lambda s: s["loss"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
 
         return F.struct(
             F.array_join(F.transform(ts, lambda t: F.concat(t["head"], t["content"], F.lit(tail))), "").alias("formatted"),
-            let(sizes, lambda z: F.aggregate(z, start, step, lambda a: a["spans"])).alias("loss"),
+            let(sizes, lambda z: let(let(length(z), lambda x: running(x)), lambda stop: spans(z, stop))).alias("loss"),
             F.flatten(F.transform(ts, lambda t, i: F.transform(t["attachments"], lambda x: F.struct(i.alias("turn_number"), x.alias("part"))))).alias("attachments"),
             F.aggregate(ts, F.lit(0).cast("long"), lambda a, t: a + t["n_attached"]).alias("n_attached"),
         )
@@ -136,5 +137,15 @@ def read_turns(formatted: Column) -> Column:
 
 
 def masked_texts(formatted: Column, loss: Column) -> Column:
-    """The texts under the loss mask, in order and unescaped."""
-    return F.transform(loss, lambda s: unescape(F.substring(formatted, s["start"].cast("int") + 1, s["length"].cast("int"))))
+    """The texts under the loss mask, in order and unescaped.
+
+    The text is cut into pieces of ``PIECE`` characters first: a substring of the
+    whole would walk it from its beginning for each span.
+    """
+    piece = lambda at: F.floor(at / PIECE).cast("int")
+
+    def said(ps: Column, s: Column) -> Column:
+        near = F.array_join(F.slice(ps, piece(s["start"]) + 1, piece(s["start"] + s["length"]) - piece(s["start"]) + 1), "")
+        return unescape(F.substring(near, (s["start"] % PIECE).cast("int") + 1, s["length"].cast("int")))
+
+    return let(F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda ps: F.transform(loss, lambda s: said(ps, s)))

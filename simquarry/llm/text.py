@@ -47,6 +47,17 @@ def positions(start: Column | int, stop: Column) -> Column:
     return F.when(stop > first, F.sequence(first, stop - 1)).otherwise(F.expr("array()").cast("array<int>"))
 
 
+def running(values: Column, both: Callable[[Column, Column], Column] = lambda a, b: a + b) -> Column:
+    """``both`` of all elements up to each one, as of 1, 2, 4, ... of them.
+
+    Bind a large array with ``let`` first.  ``both`` is a sum, a largest value or
+    the like; the work is n log n, where a fold that appends copies n times.
+    """
+    step = lambda k: F.call_function("shiftleft", F.lit(1), k)
+    levels = F.sequence(F.lit(0), F.length(F.bin(F.size(values))))
+    return F.aggregate(levels, values, lambda a, k: F.transform(a, lambda x, i: F.when(i >= step(k), both(x, a[i - step(k)])).otherwise(x)))
+
+
 def hex_sha256(text: Column) -> Column:
     """Lower-case hex SHA-256 of a string's UTF-8 bytes."""
     return F.sha2(text.cast("binary"), 256)
