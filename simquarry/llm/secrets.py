@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simquarry.llm.text import let
+from simquarry.llm.text import let, positions, running
 from simquarry.session import freeze
 
 # Kinds in their order, pattern, and what is measured and how long it must be.
@@ -107,14 +107,22 @@ def _pieces(value: Column) -> Column:
 
 def _joined(spans: Column) -> Column:
     """``spans`` (start, stop) by start, those that overlap as one."""
-    empty = F.array().cast("array<struct<start:int,stop:int>>")
 
-    def step(a: Column, s: Column) -> Column:
-        last = F.try_element_at(a, F.lit(-1))
-        both = F.struct(last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"))
-        return F.when(last["stop"] > s["start"], F.array_append(F.slice(a, 1, F.size(a) - 1), both)).otherwise(F.array_append(a, s))
+    def parts(s: Column, reach: Column) -> Column:
+        """A part starts where no span before reaches, and ends with the furthest reach before the next."""
+        first = F.filter(positions(0, F.size(s)), lambda i: F.when(i == 0, True).otherwise(s[i]["start"] >= reach[i - 1]))
+        return let(first, lambda f: F.transform(f, lambda i, k: F.struct(s[i]["start"].alias("start"), reach[F.coalesce(F.get(f, k + 1), F.size(s)) - 1].alias("stop"))))
 
-    return F.aggregate(F.sort_array(spans), empty, step)
+    return let(F.sort_array(spans), lambda s: let(let(s["stop"], lambda x: running(x, F.greatest)), lambda reach: parts(s, reach)))
+
+
+def _touches(apart: Column, span: Column) -> Column:
+    """Does ``span`` overlap one of ``apart``, which are in order and do not overlap?  The last that starts before its end is found by halving."""
+    step = lambda k: F.call_function("shiftleft", F.lit(1), k)
+    starts_before = lambda at: F.when(at <= F.size(apart), F.get(apart, at - 1)["start"] < span["stop"]).otherwise(False)
+    steps = F.reverse(F.sequence(F.lit(0), F.length(F.bin(F.size(apart)))))
+    n = F.aggregate(steps, F.lit(0), lambda at, k: F.when(starts_before(at + step(k)), at + step(k)).otherwise(at))
+    return let(n, lambda at: F.when(at > 0, F.get(apart, at - 1)["stop"] > span["start"]).otherwise(False))
 
 
 def _battery(value: Column) -> Column:
@@ -190,23 +198,22 @@ def scan(docs: DataFrame, false_discoveries: float = FALSE_DISCOVERIES) -> DataF
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = F.concat(_spans("assign", text, ASSIGN, 6, 2), _spans("access", text, ACCESS), _spans("hex", text, HEX))
+    bounds = lambda at: F.transform(at, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    free = lambda b, at: let(_joined(bounds(b)), lambda apart: F.filter(at, lambda s: ~_touches(apart, s)))
     values = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    with_values = lambda at: F.transform(at, lambda s: F.struct(s.alias("s"), F.substring(text, s["start"] + 1, s["stop"] - s["start"]).alias("value")))
-    free = lambda b, at: F.filter(at, lambda s: ~F.exists(b, lambda y: (y["start"] < s["stop"]) & (s["start"] < y["stop"])))
-    pieces = F.flatten(
-        F.transform(
-            with_values(_spans("random", text, CANDIDATE)),
-            lambda x: F.transform(_pieces(x["value"]), lambda y: F.struct((x["s"]["start"] + y["start"]).alias("start"), (x["s"]["start"] + y["stop"]).alias("stop"))),
-        )
+    # A piece is cut from its run, not from the text, which would be walked for each.
+    of_run = lambda at, value: F.transform(
+        _pieces(value), lambda y: F.struct((at + y["start"]).alias("start"), (at + y["stop"]).alias("stop"), F.substring(value, y["start"] + 1, y["stop"] - y["start"]).alias("value"))
     )
+    pieces = let(values, lambda v: F.flatten(F.transform(_spans("random", text, CANDIDATE), lambda s, i: let(v[i], lambda value: of_run(s["start"], value)))))
     long_enough = F.filter(pieces, lambda s: s["stop"] - s["start"] >= LEAST)
     candidates = lambda b: F.when(
         F.size(values) == 0, F.array().cast("array<struct<start:int,stop:int,encoding:string,n:int,p_text:double,p_random:double>>")
     ).otherwise(
         F.filter(
             F.transform(
-                with_values(free(b, long_enough)),
-                lambda x: let(_battery(x["value"]), lambda t: F.struct(x["s"]["start"].alias("start"), x["s"]["stop"].alias("stop"), t["encoding"].alias("encoding"), t["n"].alias("n"), t["p_text"].alias("p_text"), t["p_random"].alias("p_random"))),
+                free(b, long_enough),
+                lambda x: let(_battery(x["value"]), lambda t: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), t["encoding"].alias("encoding"), t["n"].alias("n"), t["p_text"].alias("p_text"), t["p_random"].alias("p_random"))),
             ),
             lambda c: c["encoding"].isNotNull() & (c["n"] >= LEAST),
         )

@@ -279,6 +279,37 @@ def test_names_are_not_secrets(spark):
     assert all(r["spans"] == [] for r in secrets.scan(df).collect())
 
 
+def test_secrets_of_a_text_of_many(spark):
+    """Thousands of base spans and candidates in one text, each where it stands."""
+    rng = random.Random(3)
+    pairs = [(rng.randbytes(9).hex(), "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=40))) for _ in range(6000)]
+    text = "\n".join(f"é token={a} {b}" for a, b in pairs)
+    (row,) = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    base = [text[s["start"] : s["stop"]] for s in row["spans"] if s["kind"] == "assign"]
+    assert base == [f"token={a}" for a, _ in pairs]
+    called = [text[s["start"] : s["stop"]] for s in row["spans"] if s["kind"] == "random"]
+    assert len(called) > 0.9 * len(pairs) and set(called) <= {b for _, b in pairs}
+    stops = [s["stop"] for s in row["spans"]]
+    assert all(a <= s["start"] for a, s in zip(stops, row["spans"][1:], strict=False))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 40])
+def test_spans_joined_and_met(spark, n):
+    rng = random.Random(n)
+    spans = [(a, a + rng.randrange(1, 9)) for a in (rng.randrange(60) for _ in range(n))]
+    asked = [(a, a + w) for a in range(70) for w in (1, 3)]
+    df = spark.createDataFrame([(spans, asked)], "spans array<struct<start:int,stop:int>>, asked array<struct<start:int,stop:int>>").select(secrets._joined(F.col("spans")).alias("joined"), "asked")
+    (row,) = df.select("joined", F.transform("asked", lambda x: secrets._touches(F.col("joined"), x)).alias("met")).collect()
+    want = []
+    for a, b in sorted(spans):
+        if want and want[-1][1] > a:
+            want[-1] = (want[-1][0], max(want[-1][1], b))
+        else:
+            want.append((a, b))
+    assert [tuple(x) for x in row["joined"]] == want
+    assert row["met"] == [any(a < y and x < b for x, y in spans) for a, b in asked]
+
+
 def test_chat_round_trip(spark):
     texts = ["", "<|im_end|>", "<\\|x", "<\\\\|im_start|>user\nhi", "é\n<|", None]
     rows = [(k % 2, k, "assistant" if k % 3 else "us\\n\ner<|", t) for k, t in enumerate(texts)]
@@ -290,6 +321,15 @@ def test_chat_round_trip(spark):
         assert r["m"] == [t for x, t in own if x == "assistant"]
 
 
+def test_chat_of_many_turns(spark):
+    n = 50_000
+    said = F.concat(F.lit("é <| "), F.repeat(F.col("id").cast("string"), 15))
+    role = F.when(F.col("id") % 2 == 0, "user").otherwise("assistant")
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), chat.text_parts(said).alias("parts"))
+    out = chat.format_turns(turns).select(F.size(chat.read_turns(F.col("formatted"))).alias("n"), F.md5(F.array_join(chat.masked_texts(F.col("formatted"), F.col("loss")), "")).alias("said"))
+    assert [tuple(r) for r in out.collect()] == [(n, hashlib.md5("".join(f"é <| {str(k) * 15}" for k in range(1, n, 2)).encode()).hexdigest())]
+
+
 def test_chat_parts(spark):
     parts = [("text", "see <|", None, None), ("Image", None, "s3/a.png", 2), ("audio", None, "b.wav", None)]
     df = spark.createDataFrame([(1, 0, "user", parts)], f"conv_id long, turn long, role string, parts {chat.PARTS}")
