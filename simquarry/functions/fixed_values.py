@@ -84,52 +84,62 @@ PDB_RECORDS = ["ATOM  ", "HETATM", "HEADER", "CRYST1", "MODEL ", "REMARK", "TITL
 TOPOLOGY_SECTION = r"^\s*\[\s*(defaults|atomtypes|moleculetype|system|molecules)\s*\]"
 
 # Residues that are not a ligand.
-AMINO_ACIDS = (
-    "ALA ARG ASN ASP CYS GLN GLU GLY HIS ILE LEU LYS MET PHE PRO SER THR TRP TYR VAL "
-    "HIE HID HIP HSD HSE HSP ASH GLH LYN CYM CYX"
-).split()
-NUCLEOTIDES = "A C G T U DA DC DG DT DU RA RC RG RT RU ADE CYT GUA THY URA".split()
-WATERS = "HOH WAT H2O TIP TIP3 TIP3P TIP4 TIP4P TIP5 SOL T3P T4P SPC SPCE OPC IP3 IP4 IP5".split()
-LIPIDS = (
-    "DPPC POPC DOPC DLPC DMPC DSPC POPE DPPE DOPE DLPE DMPE DSPE POPG DPPG DLPG DMPG DSPG "
-    "DOPS DPPS DOPA CHOL CHL1 CER PSM DHPC PPC OPE LPC MPC OPG PPE PPG HOL HL1 OPS OPA HPC"
-).split()
-IONS = (
-    "NA K MG CA CL ZN FE MN CU BR I IOD LI RB CS F CO NI HG CD BA SR AL SE SOD POT CLA MGY"
-).split()
+AMINO_ACIDS = [
+    "ALA", "ARG", "ASN", "ASP", "CYS", "GLN", "GLU", "GLY", "HIS", "ILE", "LEU", "LYS", "MET", "PHE",
+    "PRO", "SER", "THR", "TRP", "TYR", "VAL", "HIE", "HID", "HIP", "HSD", "HSE", "HSP", "ASH", "GLH",
+    "LYN", "CYM", "CYX",
+]
+NUCLEOTIDES = [
+    "A", "C", "G", "T", "U", "DA", "DC", "DG", "DT", "DU", "RA", "RC", "RG", "RT", "RU", "ADE", "CYT",
+    "GUA", "THY", "URA",
+]
+WATERS = [
+    "HOH", "WAT", "H2O", "TIP", "TIP3", "TIP3P", "TIP4", "TIP4P", "TIP5", "SOL", "T3P", "T4P", "SPC",
+    "SPCE", "OPC", "IP3", "IP4", "IP5",
+]
+LIPIDS = [
+    "DPPC", "POPC", "DOPC", "DLPC", "DMPC", "DSPC", "POPE", "DPPE", "DOPE", "DLPE", "DMPE", "DSPE",
+    "POPG", "DPPG", "DLPG", "DMPG", "DSPG", "DOPS", "DPPS", "DOPA", "CHOL", "CHL1", "CER", "PSM", "DHPC",
+    "PPC", "OPE", "LPC", "MPC", "OPG", "PPE", "PPG", "HOL", "HL1", "OPS", "OPA", "HPC",
+]
+IONS = [
+    "NA", "K", "MG", "CA", "CL", "ZN", "FE", "MN", "CU", "BR", "I", "IOD", "LI", "RB", "CS", "F", "CO",
+    "NI", "HG", "CD", "BA", "SR", "AL", "SE", "SOD", "POT", "CLA", "MGY",
+]
 
 # Residues stripped from the minimal trajectories.
-STRIP_WATER = "WAT HOH TIP3 TIP3P TIP4 TIP4P TIP5 OPC SPC SOL".split()
-STRIP_IONS = "NA CL K SOD CLA NA+ CL- K+ Mg2+ MG Na+ Cl-".split()
-STRIP_LIPIDS = "DPPC POPC POPE DOPC DLPC DMPC DSPC CHOL".split()
+STRIP_WATER = ["WAT", "HOH", "TIP3", "TIP3P", "TIP4", "TIP4P", "TIP5", "OPC", "SPC", "SOL"]
+STRIP_IONS = ["NA", "CL", "K", "SOD", "CLA", "NA+", "CL-", "K+", "Mg2+", "MG", "Na+", "Cl-"]
+STRIP_LIPIDS = ["DPPC", "POPC", "POPE", "DOPC", "DLPC", "DMPC", "DSPC", "CHOL"]
 BACKBONE = ["CA", "C", "N"]
 
 # Residue code to one letter: the standard (extended) alphabet, and variants,
 # which go first.  An empty letter drops the residue.
-CANONICAL_LETTERS = dict(
-    pair.split(":")
-    for pair in (
-        "ALA:A CYS:C ASP:D GLU:E PHE:F GLY:G HIS:H ILE:I LYS:K LEU:L MET:M ASN:N PRO:P "
-        "GLN:Q ARG:R SER:S THR:T VAL:V TRP:W TYR:Y ASX:B XAA:X GLX:Z XLE:J SEC:U PYL:O"
-    ).split()
-)
-VARIANT_LETTERS = dict(
-    pair.split(":")
-    for pair in (
-        "ASH:D GLH:E HID:H HIE:H HIP:H HSD:H HSE:H HSP:H CYX:C CYM:C CYN:C CME:C CSO:C CSS:C "
-        "CSX:C OCS:C SEP:S TPO:T PTR:Y MSE:M FME:M KCX:K MLZ:K MLY:K M3L:K KPI:K CGU:E PCA:E "
-        "HIC:H MHO:M OMT:T SME:M TYI:Y TYS:Y ACE: NME: NH2: FOR: LYR:K SEC:U PYL:O COV:X "
-        "HRG:H AIB:A"
-    ).split()
-)
+CANONICAL_LETTERS = {
+    "ALA": "A", "CYS": "C", "ASP": "D", "GLU": "E", "PHE": "F", "GLY": "G", "HIS": "H", "ILE": "I",
+    "LYS": "K", "LEU": "L", "MET": "M", "ASN": "N", "PRO": "P", "GLN": "Q", "ARG": "R", "SER": "S",
+    "THR": "T", "VAL": "V", "TRP": "W", "TYR": "Y", "ASX": "B", "XAA": "X", "GLX": "Z", "XLE": "J",
+    "SEC": "U", "PYL": "O",
+}
+VARIANT_LETTERS = {
+    "ASH": "D", "GLH": "E", "HID": "H", "HIE": "H", "HIP": "H", "HSD": "H", "HSE": "H", "HSP": "H",
+    "CYX": "C", "CYM": "C", "CYN": "C", "CME": "C", "CSO": "C", "CSS": "C", "CSX": "C", "OCS": "C",
+    "SEP": "S", "TPO": "T", "PTR": "Y", "MSE": "M", "FME": "M", "KCX": "K", "MLZ": "K", "MLY": "K",
+    "M3L": "K", "KPI": "K", "CGU": "E", "PCA": "E", "HIC": "H", "MHO": "M", "OMT": "T", "SME": "M",
+    "TYI": "Y", "TYS": "Y", "ACE": "", "NME": "", "NH2": "", "FOR": "", "LYR": "K", "SEC": "U",
+    "PYL": "O", "COV": "X", "HRG": "H", "AIB": "A",
+}
 
 # Chemical elements; the position is the atomic number.
-ELEMENTS = (
-    "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se "
-    "Br Kr Rb Sr Y Zr Nb Mo Tc Ru Rh Pd Ag Cd In Sn Sb Te I Xe Cs Ba La Ce Pr Nd Pm Sm Eu Gd Tb "
-    "Dy Ho Er Tm Yb Lu Hf Ta W Re Os Ir Pt Au Hg Tl Pb Bi Po At Rn Fr Ra Ac Th Pa U Np Pu Am Cm "
-    "Bk Cf Es Fm Md No Lr Rf Db Sg Bh Hs Mt Ds Rg Cn Nh Fl Mc Lv Ts Og"
-).split()
+ELEMENTS = [
+    "H", "He", "Li", "Be", "B", "C", "N", "O", "F", "Ne", "Na", "Mg", "Al", "Si", "P", "S", "Cl", "Ar",
+    "K", "Ca", "Sc", "Ti", "V", "Cr", "Mn", "Fe", "Co", "Ni", "Cu", "Zn", "Ga", "Ge", "As", "Se", "Br",
+    "Kr", "Rb", "Sr", "Y", "Zr", "Nb", "Mo", "Tc", "Ru", "Rh", "Pd", "Ag", "Cd", "In", "Sn", "Sb", "Te",
+    "I", "Xe", "Cs", "Ba", "La", "Ce", "Pr", "Nd", "Pm", "Sm", "Eu", "Gd", "Tb", "Dy", "Ho", "Er", "Tm",
+    "Yb", "Lu", "Hf", "Ta", "W", "Re", "Os", "Ir", "Pt", "Au", "Hg", "Tl", "Pb", "Bi", "Po", "At", "Rn",
+    "Fr", "Ra", "Ac", "Th", "Pa", "U", "Np", "Pu", "Am", "Cm", "Bk", "Cf", "Es", "Fm", "Md", "No", "Lr",
+    "Rf", "Db", "Sg", "Bh", "Hs", "Mt", "Ds", "Rg", "Cn", "Nh", "Fl", "Mc", "Lv", "Ts", "Og",
+]
 ORGANIC_LETTERS = ["H", "C", "N", "O", "P", "S"]
 
 # Names that are registry codes.
