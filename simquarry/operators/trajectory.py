@@ -18,6 +18,7 @@ from simquarry.operators.structure import kept_atoms, select_atoms
 from simquarry.session import broadcast_if_small
 
 _XYZ = ("x", "y", "z")
+_REF = ("rx", "ry", "rz")
 _PAIRS = [(p, r) for p in _XYZ for r in _XYZ]
 
 
@@ -62,23 +63,18 @@ def cross_sums(coords: DataFrame, ref: DataFrame) -> DataFrame:
 
     ``ref`` has (sim_id, atom_id, x, y, z).  A short reference is broadcast, so
     the coordinates are read once and combined per frame before the shuffle.
+    Spark's covariances are centred as they are summed and merged, so frames far
+    from the origin lose no digits.
     """
     r = ref.select("sim_id", "atom_id", *[F.col(c).alias(f"r{c}") for c in _XYZ])
     both = coords.join(broadcast_if_small(r), ["sim_id", "atom_id"])
-    sums = [F.count(F.lit(1)).cast("double").alias("n")]
-    sums += [F.sum(c).alias(f"s_{c}") for c in (*_XYZ, "rx", "ry", "rz")]
-    sums += [F.sum(F.col(p) * F.col(f"r{q}")).alias(f"s_{p}{q}") for p, q in _PAIRS]
-    sums += [
-        F.sum(F.col("x") ** 2 + F.col("y") ** 2 + F.col("z") ** 2).alias("s_p2"),
-        F.sum(F.col("rx") ** 2 + F.col("ry") ** 2 + F.col("rz") ** 2).alias("s_r2"),
-    ]
-    s = both.groupBy("sim_id", "frame").agg(*sums)
-    mean = {c: (F.col(f"s_{c}") / F.col("n")) for c in (*_XYZ, "rx", "ry", "rz")}
-    centred = [(F.col(f"s_{p}{q}") - F.col("n") * mean[p] * mean[f"r{q}"]).alias(f"r_{p}{q}") for p, q in _PAIRS]
-    norm = lambda total, names: F.col(total) - F.col("n") * sum((mean[c] ** 2 for c in names), F.lit(0.0))
-    return s.select(
-        "sim_id", "frame", "n", *[m.alias(f"m_{c}") for c, m in mean.items()], *centred,
-        norm("s_p2", _XYZ).alias("g_p"), norm("s_r2", ("rx", "ry", "rz")).alias("g_r"),
+    n = F.count(F.lit(1)).cast("double")
+    square = lambda names: sum((n * F.var_pop(c) for c in names[1:]), n * F.var_pop(names[0]))
+    return both.groupBy("sim_id", "frame").agg(
+        n.alias("n"),
+        *[F.avg(c).alias(f"m_{c}") for c in (*_XYZ, *_REF)],
+        *[(n * F.covar_pop(p, f"r{q}")).alias(f"r_{p}{q}") for p, q in _PAIRS],
+        square(_XYZ).alias("g_p"), square(_REF).alias("g_r"),
     )
 
 
@@ -211,7 +207,7 @@ def superpose(coords: DataFrame, ref: DataFrame, fit: DataFrame | None = None) -
     """
     sums = cross_sums(selected(coords, fit), ref)
     matrix = F.array(*[F.col(f"r_{p}{q}") for p, q in _PAIRS])
-    moves = sums.select("sim_id", "frame", _best_rotation(matrix).alias("rot"), *[f"m_{c}" for c in (*_XYZ, "rx", "ry", "rz")])
+    moves = sums.select("sim_id", "frame", _best_rotation(matrix).alias("rot"), *[f"m_{c}" for c in (*_XYZ, *_REF)])
     point = [F.col(c) - F.col(f"m_{c}") for c in _XYZ]
     shift = [F.col(f"m_r{c}") for c in _XYZ]
     return coords.join(moves, ["sim_id", "frame"]).select(
@@ -227,9 +223,7 @@ def orient_reference(structure: DataFrame, fit: DataFrame | None = None) -> Data
     origin.
     """
     points = selected(structure, fit)
-    n = F.count(F.lit(1))
-    mean = {c: F.avg(c) for c in _XYZ}
-    moments = F.array(*[F.sum(F.col(p) * F.col(q)) - n * mean[p] * mean[q] for p, q in _PAIRS])
+    moments = F.array(*[F.count(F.lit(1)) * F.covar_pop(p, q) for p, q in _PAIRS])
     turns = points.groupBy("sim_id").agg(moments.alias("m")).select("sim_id", _principal_rotation(F.col("m")).alias("rot"))
     zero = [F.lit(0.0)] * 3
     turned = structure.join(turns, "sim_id").select(

@@ -143,6 +143,21 @@ def test_rmsd(coords, frames):
             assert got[sim, f] == pytest.approx(dist(kabsch(frame, track[0]), track[0]), abs=1e-5)
 
 
+def test_frames_far_from_the_origin(coords, frames):
+    """A shift of all frames by 30,000 changes neither the fit nor the axes."""
+    far = coords.selectExpr("sim_id", "frame", "atom_id", *[f"{c} + 3e4 as {c}" for c in "xyz"])
+    got = {(r["sim_id"], r["frame"]): r["rmsd"] for r in trajectory.rmsd(far).collect()}
+    moved = trajectory.superpose(far, trajectory.first_frame(far))
+    near, away = (trajectory.orient_reference(trajectory.first_frame(c)) for c in (coords, far))
+    for sim, track in frames.items():
+        want = np.array([kabsch(f, track[0]) for f in track])
+        assert [got[sim, f] for f in range(1, len(track))] == pytest.approx([dist(w, track[0]) for w in want[1:]], abs=1e-6)
+        assert got[sim, 0] == pytest.approx(0, abs=1e-4)
+        assert to_array(moved, sim) - 3e4 == pytest.approx(want, abs=1e-6)
+        a, b = to_array(near, sim)[0], to_array(away, sim)[0]
+        assert a - a.mean(0) == pytest.approx(b - b.mean(0), abs=1e-6)
+
+
 def test_series_that_start_later(coords, frames):
     """The reference is the first frame that each simulation has."""
     late = coords.where("frame >= 5 + sim_id")
