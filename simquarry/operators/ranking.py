@@ -9,14 +9,18 @@ own rows and a table with one row per partition supplies the offsets.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simquarry.session import freeze
+from simquarry.session import broadcast_if_small, freeze
 
 # monotonically_increasing_id() keeps the partition above bit 33.
 _PARTITION_BITS = 33
+# Rows of a key that one task may sort.
+HEAVY = 1_000_000
 
 
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_no") -> DataFrame:
@@ -48,33 +52,53 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_n
     )
 
 
+def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys))
+
+
+def _rank_by_sort(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str, count: str | None) -> DataFrame:
+    """The global number less the first number of the key; first number and size
+    come from one aggregate with map-side combine."""
+    numbered = number_rows(df, [*keys, *order], "__no")
+    firsts = numbered.groupBy(*keys).agg(
+        F.min("__no").alias("__first"), F.count(F.lit(1)).alias("__size")
+    )
+    return numbered.alias("n").join(firsts.alias("f"), _same_keys("n", "f", keys)).select(
+        *[F.col(f"n.{c}") for c in df.columns],
+        (F.col("__no") - F.col("__first") + 1).alias(name),
+        *([F.col("__size").alias(count)] if count else []),
+    )
+
+
+def _rank_by_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str, count: str | None) -> DataFrame:
+    group = Window.partitionBy(*keys)
+    rank = F.row_number().over(group.orderBy(*order)).cast("long").alias(name)
+    return df.select("*", rank, *([F.count(F.lit(1)).over(group).alias(count)] if count else []))
+
+
 def rank_in_group(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
     name: str = "rank",
     count: str | None = None,
+    heavy: int = HEAVY,
 ) -> DataFrame:
     """Rank 1..n within each key and, if asked for, the size of the group.
 
-    The rank is the global number less the first number of the key; first
-    number and size come from one aggregate with map-side combine.
+    Keys of at most ``heavy`` rows go through a plain window, one shuffle on the
+    key.  Keys of more are found by partial counts and numbered by a range sort,
+    which spreads them over many tasks.  Both ways give the same numbers, as long
+    as ``order`` tells the rows of a key apart.
     """
-    numbered = number_rows(df, [*keys, *order], "__no")
-    firsts = numbered.groupBy(*keys).agg(
-        F.min("__no").alias("__first"), F.count(F.lit(1)).alias("__size")
-    )
-    same = None
-    n, f = numbered.alias("n"), firsts.alias("f")
-    for key in keys:
-        cond = F.col(f"n.{key}").eqNullSafe(F.col(f"f.{key}"))
-        same = cond if same is None else same & cond
-    out = n.join(f, same, "inner").select(
-        *[F.col(f"n.{c}") for c in df.columns],
-        (F.col("__no") - F.col("__first") + 1).alias(name),
-        *([F.col("__size").alias(count)] if count else []),
+    big = freeze(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size")).where(F.col("__size") > heavy).drop("__size"))
+    if big.isEmpty():
+        return _rank_by_window(df, keys, order, name, count)
+    rows, heavies = df.alias("n"), broadcast_if_small(big).alias("b")
+    same = _same_keys("n", "b", keys)
+    return _rank_by_window(rows.join(heavies, same, "left_anti"), keys, order, name, count).unionByName(
+        _rank_by_sort(rows.join(heavies, same, "left_semi"), keys, order, name, count)
     )
-    return out
 
 
 def running(

@@ -23,14 +23,22 @@ def test_number_rows(skewed):
     assert got == want
 
 
-def test_rank_in_group(skewed):
+@pytest.mark.parametrize("heavy", [0, 150, 10**6])
+def test_rank_in_group(skewed, heavy):
+    """By range sort, by range sort for the hot key only, and by a window."""
     w = Window.partitionBy("key")
     plain = skewed.withColumn("rank", F.row_number().over(w.orderBy("at", "id"))).withColumn("n", F.count("*").over(w))
-    ours = rank_in_group(skewed, ["key"], ["at", "id"], "rank", "n")
+    ours = rank_in_group(skewed, ["key"], ["at", "id"], "rank", "n", heavy)
     pick = lambda df: sorted(tuple(r) for r in df.select("id", "rank", "n").collect())
     assert pick(ours) == pick(plain)
 
 
+def test_small_keys_need_no_sort_of_all_rows(skewed):
+    plan = lambda heavy: rank_in_group(skewed, ["key"], ["at", "id"], heavy=heavy)._jdf.queryExecution().toString()
+    assert "hashpartitioning(key" in plan(10**6) and "Window" in plan(10**6)
+    assert "Union" in plan(150)
+
+
 def test_running_total(skewed):
     keyed = skewed.where("key is not null").withColumn("bucket", F.floor(F.col("at") / 50000))
     ours = running_total(keyed, ["key"], "bucket", ["at", "id"], F.col("id") % 3, "total")
