@@ -5,13 +5,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simquarry.functions import fixed_values as fv
 from simquarry.functions import rules, text
-from simquarry.session import freeze
+from simquarry.session import broadcast_if_small, freeze
 
 
 def as_time(now: dt.datetime | str | Column) -> Column:
@@ -292,6 +293,68 @@ def apply_outcomes(jobs: DataFrame, outcomes: DataFrame, now, max_attempts: int
     )
 
 
+def _first_after(live: DataFrame, events: DataFrame, fits: Column) -> DataFrame:
+    """Each job of ``live`` with the first event ``e`` that ``fits``, or null if there is none."""
+    key = live.select(F.col("job_id").alias("__job"), "after", "num_attempts", "finished_at")
+    found = (
+        events.join(broadcast_if_small(key), F.col("job_id") == F.col("__job"))
+        .where((F.col("at") > F.col("after")) & fits)
+        .groupBy("job_id")
+        .agg(F.min(F.struct("at", "exit_code", "retryable")).alias("e"))
+    )
+    return live.join(found, "job_id", "left")
+
+
+def settle_jobs(events: DataFrame, max_attempts: int = fv.MAX_ATTEMPTS) -> DataFrame:
+    """The job table after all events (job_id, ts, seq, kind, exit_code, retryable).
+
+    Events of a job count in the order of (ts, seq), and those that do not fit its
+    status change nothing.  So a job goes from its first enqueue to the first claim
+    after it, to the first end after that, and back to pending ``max_attempts``
+    times at most: each round finds the successors of all jobs that are still
+    live by a join and a minimum, whatever the number of events of a job.  Jobs
+    without an enqueue have no status; events without a job, time or number are left out.
+    """
+    at = F.struct("ts", "seq").alias("at")
+    known = events.where("job_id is not null and ts is not null and seq is not null")
+    e = freeze(known.select("job_id", at, "kind", "exit_code", F.coalesce("retryable", F.lit(False)).alias("retryable")))
+    no_code, no_time = F.lit(None).cast("int"), F.lit(None).cast(e.schema["at"].dataType["ts"].dataType)
+    first = F.min(F.when(F.col("kind") == "enqueue", F.col("at")))
+    live = (
+        e.groupBy("job_id").agg(first.alias("after"))
+        .select(
+            "job_id", "after", F.when(F.col("after").isNotNull(), "pending").alias("status"),
+            F.when(F.col("after").isNotNull(), 0).alias("num_attempts"), no_code.alias("exit_code"),
+            no_time.alias("started_at"), no_time.alias("finished_at"),
+        )
+    )
+    row = ["job_id", "after", "status", "num_attempts", "exit_code", "started_at", "finished_at"]
+    rounds, time, code = [], F.col("e.at.ts"), F.col("e.exit_code")
+    for _ in range(max_attempts + 1):
+        step = freeze(live)
+        rounds.append(step.where("status is null or status <> 'pending'"))
+        pending = step.where("status = 'pending'")
+        # Before its first run a job has not finished and may be claimed at once.
+        due = F.col("finished_at").isNull() | (rules.eligible_at(F.col("finished_at"), F.col("num_attempts")) <= F.col("at.ts"))
+        claimed = freeze(_first_after(pending, e.where("kind = 'claim'"), due))
+        rounds.append(claimed.where("e is null").select(row))
+        running = claimed.where("e is not null").withColumns({"after": F.col("e.at"), "status": F.lit("running"), "started_at": time}).drop("e")
+        ended = _first_after(running, e.where("kind = 'end'"), F.lit(True))
+        good = F.coalesce(code == 0, F.lit(False))
+        back = code.isNotNull() & (code != 0) & F.col("e.retryable") & (F.col("num_attempts") < max_attempts)
+        hit = F.col("e").isNotNull()
+        live = ended.select(
+            "job_id", F.when(hit, F.col("e.at")).otherwise(F.col("after")).alias("after"),
+            F.when(hit & good, "succeeded").when(hit & back, "pending").when(hit, "failed").otherwise(F.col("status")).alias("status"),
+            F.when(hit & back, F.col("num_attempts") + 1).otherwise(F.col("num_attempts")).alias("num_attempts"),
+            F.when(hit, code).otherwise(F.col("exit_code")).alias("exit_code"),
+            F.when(hit & back, no_time).otherwise(F.col("started_at")).alias("started_at"),
+            F.when(hit, time).otherwise(F.col("finished_at")).alias("finished_at"),
+        )
+    rounds.append(freeze(live))
+    return reduce(DataFrame.unionByName, rounds).select([c for c in row if c != "after"])
+
+
 def apply_fix(table: DataFrame, ids: DataFrame, col: str, value, id_col: str = "id") -> DataFrame:
     """Set one column to a value in the listed rows."""
     hit = ids.select(F.col(id_col)).distinct().withColumn("__hit", F.lit(True))

@@ -289,7 +289,7 @@ def _(i: Inputs):
             key.alias("collection"), F.lit(fv.COMPLETION_MARKER).alias("name"), F.when(total % 11 == 0, 0).otherwise(5039).alias("size")
         )
     )
-    return drain(completion_stream(intake.parse_tickets(i.v_ticket), markers), "update", partitions=_partitions(i, "lineitem"))
+    return drain(completion_stream(intake.parse_tickets(i.v_ticket), markers), "update", partitions=_partitions(i, "lineitem"), idle=False)
 
 
 @named("x3_outcome_stream", "select bundle, max(seq) as seq, arg_max(result, seq) as result from v_outcomes group by bundle")
@@ -325,18 +325,23 @@ from (select e.job_id, e.rn, e.ts, e.exit_code as code, p.status, p.num_attempts
 }
 
 
-@named(
-    "x4_job_stream",
-    """select job_id, status, cast(case when status is null then null else num_attempts end as int) as num_attempts, exit_code, started_at, finished_at from v_state
-       qualify row_number() over (partition by job_id order by rn desc) = 1""",
-    JOBS,
-)
+JOB_EVENTS = [
+    "user_id as job_id", "ts", "event_id as seq",
+    "case event_type when 'view' then 'enqueue' when 'signup' then 'enqueue' when 'click' then 'claim' else 'end' end as kind",
+    "case when event_type = 'purchase' then case when event_id % 40 = 0 then 0 else 2 end when event_type = 'error' then 1 end as exit_code",
+    "event_type = 'error' or event_id % 3 <> 0 as retryable",
+]
+JOB_SQL = """select job_id, status, cast(case when status is null then null else num_attempts end as int) as num_attempts, exit_code, started_at, finished_at from v_state
+       qualify row_number() over (partition by job_id order by rn desc) = 1"""
+
+
+@named("x4_job_batch", JOB_SQL, JOBS)
 def _(i: Inputs):
-    events = table_stream(i, "events").selectExpr(
-        "user_id as job_id", "ts", "event_id as seq",
-        "case event_type when 'view' then 'enqueue' when 'signup' then 'enqueue' when 'click' then 'claim' else 'end' end as kind",
-        "case when event_type = 'purchase' then case when event_id % 40 = 0 then 0 else 2 end when event_type = 'error' then 1 end as exit_code",
-        "event_type = 'error' or event_id % 3 <> 0 as retryable",
-    )
+    return intake.settle_jobs(i.events.selectExpr(*JOB_EVENTS))
+
+
+@named("x4_job_stream", JOB_SQL, JOBS)
+def _(i: Inputs):
+    events = table_stream(i, "events").selectExpr(*JOB_EVENTS)
     events, close = closing(events)
     return current_jobs(drain(job_stream(events, lateness=SPAN), close=close, partitions=_partitions(i, "events")))

@@ -2,36 +2,71 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from simquarry.functions import fixed_values as fv
-from simquarry.streaming.ordered import to_micros, to_time, in_order
-
-
-def completion_stream(parts: DataFrame, markers: DataFrame) -> DataFrame:
+from simquarry.session import broadcast_if_small, freeze
+from simquarry.streaming.ordered import ROCKSDB, in_order, to_micros, to_time
+
+
+class _Landings(StatefulProcessor):
+    """Landings of a ticket that have a marker; let go when the ticket is complete."""
+
+    def __init__(self, remember: timedelta) -> None:
+        self.remember = remember // timedelta(milliseconds=1)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", "collection string", "times long")
+        self.total = handle.getValueState("total", "times long")
+        self.told = handle.getValueState("told", "n_landings long", self.remember)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        # All rows are read before the state is asked: the landings of a ticket bound them.
+        new = {r.collection: (r.times, r.n_landings) for r in rows}
+        if self.told.exists():
+            return iter(())
+        wanted = next(iter(new.values()))[1]
+        total = (self.total.get() or (0,))[0]
+        for collection, (times, _) in new.items():
+            if not self.seen.containsKey((collection,)):
+                self.seen.updateValue((collection,), (times,))
+                total += times
+        if total < wanted:
+            self.total.update((total,))
+            return iter(())
+        self.seen.clear()
+        self.total.clear()
+        self.told.update((wanted,))
+        return iter([Row(ticket_id=key[0], n_landings=wanted)])
+
+    def close(self) -> None:
+        pass
+
+
+def completion_stream(parts: DataFrame, markers: DataFrame, remember: timedelta = timedelta(days=30)) -> DataFrame:
     """Tickets, once each, as their last non-empty marker arrives.
 
-    ``parts`` is the static table of parsed entries, ``markers`` a stream of
-    catalog objects.  Built-in operators only: repeated markers are dropped, so
-    the count of a ticket grows and meets its number of landings once.  Write
-    the result in update mode.
+    ``parts`` is the static table of parsed entries, written once; ``markers`` is a
+    stream of catalog objects.  The state of an open ticket is the set of its
+    landings that have a marker.  A complete ticket lets go of the set and is known
+    by one row for the time ``remember``, in which its markers may be listed again.
+    Write the result in update mode; a run that ends with its input must not ask for
+    micro-batches without input (``run.IDLE``), as the clock always has one more.
     """
+    markers.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     valid = parts.where("ok").groupBy("collection", "ticket_id").agg(F.count(F.lit(1)).alias("times"))
     wanted = parts.where("ok").groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n_landings"))
-    seen = (
-        markers.where((F.col("name") == fv.COMPLETION_MARKER) & (F.col("size") > 0))
-        .select("collection")
-        .dropDuplicates(["collection"])
-    )
+    landings = freeze(valid.join(wanted, "ticket_id"))
+    found = markers.where((F.col("name") == fv.COMPLETION_MARKER) & (F.col("size") > 0)).select("collection")
     return (
-        seen.join(valid.join(wanted, "ticket_id"), "collection")
-        .groupBy("ticket_id", "n_landings")
-        .agg(F.sum("times").alias("seen"))
-        .where("seen = n_landings")
-        .select("ticket_id", "n_landings")
+        found.join(broadcast_if_small(landings), "collection")
+        .groupBy("ticket_id")
+        .transformWithState(_Landings(remember), "ticket_id long, n_landings long", "Update", "ProcessingTime")
     )
 
 

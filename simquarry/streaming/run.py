@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from simquarry.session import shared_folder
 
 END = "9000-01-01 00:00:00"
 ROWS_A_PARTITION = 50_000
+IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def closing(stream: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
@@ -42,13 +44,28 @@ def state_partitions(spark: SparkSession, rows: int) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, rows // ROWS_A_PARTITION))
 
 
-def drain(stream: DataFrame, mode: str = "append", close: Callable[[], None] | None = None, partitions: int | None = None) -> DataFrame:
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+    """Settings of the queries that start inside; a query takes them from the session as it starts.  Nones stay."""
+    usual = {k: spark.conf.get(k) for k, v in values.items() if v is not None}
+    try:
+        for k in usual:
+            spark.conf.set(k, str(values[k]))
+        yield
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
+
+
+def drain(stream: DataFrame, mode: str = "append", close: Callable[[], None] | None = None, partitions: int | None = None, idle: bool = True) -> DataFrame:
     """Process the available input and return the written rows.
 
     Rows go to a parquet folder in the shared folder; each micro-batch writes a
     folder of its own, so a batch that is run again replaces its rows.  With
     ``close`` the stream goes on from its checkpoint after the end was called.
-    ``partitions`` is the number of partitions of its state.
+    ``partitions`` is the number of partitions of its state.  Without ``idle`` no
+    micro-batch runs without input: state that ends by the clock asks for one again
+    and again.
     """
     spark = stream.sparkSession
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -69,12 +86,7 @@ def drain(stream: DataFrame, mode: str = "append", close: Callable[[], None] | N
             .trigger(availableNow=True)
             .foreachBatch(write)
         )
-        # A query takes its settings from the session as it starts.
-        usual = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", str(partitions or usual))
-        try:
+        with settings(spark, {"spark.sql.shuffle.partitions": partitions, IDLE: None if idle else "false"}):
             query = writer.start()
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", usual)
         query.awaitTermination()
     return spark.read.schema(schema).parquet(f"{base}/rows").select(*schema.names)

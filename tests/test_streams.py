@@ -7,11 +7,11 @@ import pytest
 
 from simquarry.operators.alerts import alerts, failure_episodes
 from simquarry.operators.bundles import latest_outcomes
-from simquarry.operators.intake import parse_tickets
+from simquarry.operators.intake import parse_tickets, settle_jobs
 from simquarry.streaming.alerts import _EMPTY, advance, alert_stream
 from simquarry.streaming.intake import completion_stream, current_jobs, job_step, job_stream, outcome_stream
 from simquarry.streaming import views
-from simquarry.streaming.run import closing, drain
+from simquarry.streaming.run import IDLE, closing, drain, settings
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -132,7 +132,27 @@ def test_completion(spark, make, tmp_path):
     tickets = make("id long, irods_tickets string", (1, "MDRSubmit_a:/a;MDRSubmit_b:/b"), (2, "MDRSubmit_b:/b;MDRSubmit_c:/c"), (3, "MDRSubmit_d:/d;bad"), (4, None), (5, "MDRSubmit_e:/e"), (6, "MDRSubmit_a:/a;MDRSubmit_a:/a"))
     slices = [[("/a", mark, 5)], [("/a", mark, 5), ("/b", mark, 0)], [("/b", mark, 7), ("/d", mark, 1)], [("/b", mark, 7), ("/a", mark, 5), ("/e", "x", 3)]]
     markers = stream_of(spark, tmp_path, "collection string, name string, size int", slices)
-    assert rows(drain(completion_stream(parse_tickets(tickets), markers), "update")) == [(1, 2), (3, 1), (6, 2)]
+    assert rows(drain(completion_stream(parse_tickets(tickets), markers), "update", idle=False)) == [(1, 2), (3, 1), (6, 2)]
+
+
+def test_state_of_completed_tickets_ends(spark, make, tmp_path):
+    """What is left in the end is the landings seen of the open ticket and their sum."""
+    mark = "mdrepo-submission.completed.json"
+    tickets = make("id long, irods_tickets string", *[(t, ";".join(f"MDRSubmit_{t}{c}:/{t}{c}" for c in "abc")) for t in range(20)], (99, "MDRSubmit_x:/x;MDRSubmit_y:/y;MDRSubmit_z:/z"))
+    slices = [[*((f"/{t}{c}", mark, 5) for t in range(20) for c in "ab"), ("/x", mark, 5)], [(f"/{t}c", mark, 5) for t in range(20)], [("/y", mark, 5)], [("/none", mark, 5)]]
+    markers = stream_of(spark, tmp_path, "collection string, name string, size int", slices)
+    out, held = [], []
+
+    def keep(df, _batch):
+        out.extend(r["ticket_id"] for r in df.collect())
+
+    stream = completion_stream(parse_tickets(tickets), markers, remember=dt.timedelta(milliseconds=1))
+    with settings(spark, {IDLE: "false"}):
+        query = stream.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).foreachBatch(keep).start()
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert sorted(out) == list(range(20))
+    assert held[0] >= 61 and held[-1] == 3
 
 
 def test_outcomes(spark, tmp_path):
@@ -186,6 +206,26 @@ def test_jobs(spark, tmp_path, parts, mixed):
     assert got == {j: s if s is not None else (None,) * 5 for j, s in state.items()}
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_jobs_in_batch_form(make, seed):
+    """The rows that a replay of every event leaves, without a step per event."""
+    rnd = random.Random(seed)
+    events, at = [], T0
+    for seq in range(900):
+        at += dt.timedelta(minutes=rnd.choice([0, 1, 4, 30, 200]))
+        job, kind = rnd.randrange(60), rnd.choice(["enqueue", "claim", "claim", "end"])
+        events.append((job if job < 40 else 0, at, seq, kind, rnd.choice([0, 1, 1, 1, 1, 1, None]) if kind == "end" else None, rnd.choice([True] * 12 + [False, None])))
+    events += [(100, T0, 1, "claim", None, None), (101, T0, 2, "enqueue", None, None)]
+    state = {}
+    for job, ts, _seq, kind, code, retry in events:
+        state[job] = job_step(state.get(job), ts, kind, code, bool(retry))
+    shuffled = rnd.sample(events, len(events))
+    out = settle_jobs(make(EVENTS, *shuffled, (None, T0, 1, "enqueue", None, None), (102, None, 1, "enqueue", None, None)).repartition(5))
+    assert {r[0]: tuple(r)[1:] for r in out.collect()} == {j: s if s is not None else (None,) * 5 for j, s in state.items()}
+    assert max(s[1] for s in state.values() if s) >= 2
+    assert settle_jobs(make(EVENTS, *events).where("false")).collect() == []
+
+
 def test_job_rules():
     pending = ("pending", 1, 1, None, T0)
     minutes = lambda m: T0 + dt.timedelta(minutes=m)
