@@ -17,7 +17,7 @@ from simquarry.plans.views import VIEWS, query, view
 from simquarry.session import shared_folder
 from simquarry.sources import documents, files, sinks, tables
 from simquarry.streaming.alerts import alert_stream
-from simquarry.streaming.intake import completion_stream, current_jobs, job_stream
+from simquarry.streaming.intake import complete_tickets, completion_stream, current_jobs, job_stream
 from simquarry.streaming.run import closing, drain, state_partitions
 from simquarry.streaming.views import maintain, read_view
 
@@ -289,7 +289,9 @@ def _(i: Inputs):
             key.alias("collection"), F.lit(fv.COMPLETION_MARKER).alias("name"), F.when(total % 11 == 0, 0).otherwise(5039).alias("size")
         )
     )
-    return drain(completion_stream(intake.parse_tickets(i.v_ticket), markers), "update", partitions=_partitions(i, "lineitem"), idle=False)
+    path = f"{shared_folder(i.spark)}/completion-{uuid.uuid4().hex}"
+    completion_stream(intake.parse_tickets(i.v_ticket), markers, path).awaitTermination()
+    return complete_tickets(i.spark, path)
 
 
 @named("x3_outcome_stream", "select bundle, max(seq) as seq, arg_max(result, seq) as result from v_outcomes group by bundle")

@@ -2,71 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
 
 from simquarry.functions import fixed_values as fv
-from simquarry.session import broadcast_if_small, freeze
-from simquarry.streaming.ordered import ROCKSDB, in_order, to_micros, to_time
-
-
-class _Landings(StatefulProcessor):
-    """Landings of a ticket that have a marker; let go when the ticket is complete."""
-
-    def __init__(self, remember: timedelta) -> None:
-        self.remember = remember // timedelta(milliseconds=1)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "collection string", "times long")
-        self.total = handle.getValueState("total", "times long")
-        self.told = handle.getValueState("told", "n_landings long", self.remember)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
-        # All rows are read before the state is asked: the landings of a ticket bound them.
-        new = {r.collection: (r.times, r.n_landings) for r in rows}
-        if self.told.exists():
-            return iter(())
-        wanted = next(iter(new.values()))[1]
-        total = (self.total.get() or (0,))[0]
-        for collection, (times, _) in new.items():
-            if not self.seen.containsKey((collection,)):
-                self.seen.updateValue((collection,), (times,))
-                total += times
-        if total < wanted:
-            self.total.update((total,))
-            return iter(())
-        self.seen.clear()
-        self.total.clear()
-        self.told.update((wanted,))
-        return iter([Row(ticket_id=key[0], n_landings=wanted)])
-
-    def close(self) -> None:
-        pass
-
-
-def completion_stream(parts: DataFrame, markers: DataFrame, remember: timedelta = timedelta(days=30)) -> DataFrame:
-    """Tickets, once each, as their last non-empty marker arrives.
-
-    ``parts`` is the static table of parsed entries, written once; ``markers`` is a
-    stream of catalog objects.  The state of an open ticket is the set of its
-    landings that have a marker.  A complete ticket lets go of the set and is known
-    by one row for the time ``remember``, in which its markers may be listed again.
-    Write the result in update mode; a run that ends with its input must not ask for
-    micro-batches without input (``run.IDLE``), as the clock always has one more.
+from simquarry.session import freeze
+from simquarry.streaming.ordered import in_order, to_micros, to_time
+
+
+_LANDINGS = "ticket_id long, collection string, times long, n_landings long"
+_TOLD = "ticket_id long, n_landings long"
+
+
+def take_markers(markers: DataFrame, batch: int, path: str) -> None:
+    """Take the markers of micro-batch ``batch`` into the folder at ``path``.
+
+    The marked landings of open tickets are a table with one version a batch, made
+    from the one before; tickets that are complete leave it and are told.  A batch
+    that runs again writes the same.
+    """
+    spark = markers.sparkSession
+    found = markers.where((F.col("name") == fv.COMPLETION_MARKER) & (F.col("size") > 0)).select("collection").distinct()
+    told = complete_tickets(spark, path, batch).select("ticket_id")
+    new = spark.read.schema(_LANDINGS).parquet(f"{path}/landings").join(found, "collection").join(told, "ticket_id", "left_anti")
+    held = spark.read.schema(_LANDINGS).parquet(f"{path}/open/batch={batch - 1}")
+    marked = freeze(held.unionByName(new).distinct())
+    done = freeze(marked.groupBy("ticket_id", "n_landings").agg(F.sum("times").alias("seen")).where("seen = n_landings").drop("seen"))
+    marked.join(done, "ticket_id", "left_anti").write.mode("overwrite").parquet(f"{path}/open/batch={batch}")
+    done.write.mode("overwrite").parquet(f"{path}/told/batch={batch}")
+
+
+def complete_tickets(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """Tickets told by ``completion_stream``, once each: ticket_id, n_landings."""
+    told = spark.read.schema(f"{_TOLD}, batch int").parquet(f"{path}/told")
+    return (told if before is None else told.where(F.col("batch") < before)).select("ticket_id", "n_landings")
+
+
+def completion_stream(parts: DataFrame, markers: DataFrame, path: str) -> StreamingQuery:
+    """Tell tickets as their last non-empty marker arrives; see ``complete_tickets``.
+
+    ``parts`` is the static table of parsed entries, ``markers`` a stream of catalog
+    objects that may come more than once.  What is kept between micro-batches is the
+    marked landings of open tickets, on shared storage: a complete ticket leaves them,
+    and the tickets told are what the stream has written anyway.  A version before
+    the last one may be removed.
     """
-    markers.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    valid = parts.where("ok").groupBy("collection", "ticket_id").agg(F.count(F.lit(1)).alias("times"))
-    wanted = parts.where("ok").groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n_landings"))
-    landings = freeze(valid.join(wanted, "ticket_id"))
-    found = markers.where((F.col("name") == fv.COMPLETION_MARKER) & (F.col("size") > 0)).select("collection")
+    spark, ok = markers.sparkSession, parts.where("ok")
+    valid = ok.groupBy("collection", "ticket_id").agg(F.count(F.lit(1)).alias("times"))
+    wanted = ok.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n_landings"))
+    valid.join(wanted, "ticket_id").select("ticket_id", "collection", "times", "n_landings").write.parquet(f"{path}/landings")
+    spark.createDataFrame([], _LANDINGS).write.parquet(f"{path}/open/batch=-1")
+    spark.createDataFrame([], _TOLD).write.parquet(f"{path}/told/batch=-1")
     return (
-        found.join(broadcast_if_small(landings), "collection")
-        .groupBy("ticket_id")
-        .transformWithState(_Landings(remember), "ticket_id long, n_landings long", "Update", "ProcessingTime")
+        markers.writeStream.option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .foreachBatch(lambda df, batch: take_markers(df, batch, path))
+        .start()
     )
 
 

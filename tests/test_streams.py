@@ -9,9 +9,9 @@ from simquarry.operators.alerts import alerts, failure_episodes
 from simquarry.operators.bundles import latest_outcomes
 from simquarry.operators.intake import parse_tickets, settle_jobs
 from simquarry.streaming.alerts import _EMPTY, advance, alert_stream
-from simquarry.streaming.intake import completion_stream, current_jobs, job_step, job_stream, outcome_stream
+from simquarry.streaming.intake import complete_tickets, completion_stream, current_jobs, job_step, job_stream, outcome_stream, take_markers
 from simquarry.streaming import views
-from simquarry.streaming.run import IDLE, closing, drain, settings
+from simquarry.streaming.run import closing, drain
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -132,27 +132,29 @@ def test_completion(spark, make, tmp_path):
     tickets = make("id long, irods_tickets string", (1, "MDRSubmit_a:/a;MDRSubmit_b:/b"), (2, "MDRSubmit_b:/b;MDRSubmit_c:/c"), (3, "MDRSubmit_d:/d;bad"), (4, None), (5, "MDRSubmit_e:/e"), (6, "MDRSubmit_a:/a;MDRSubmit_a:/a"))
     slices = [[("/a", mark, 5)], [("/a", mark, 5), ("/b", mark, 0)], [("/b", mark, 7), ("/d", mark, 1)], [("/b", mark, 7), ("/a", mark, 5), ("/e", "x", 3)]]
     markers = stream_of(spark, tmp_path, "collection string, name string, size int", slices)
-    assert rows(drain(completion_stream(parse_tickets(tickets), markers), "update", idle=False)) == [(1, 2), (3, 1), (6, 2)]
+    path = str(tmp_path / "told")
+    completion_stream(parse_tickets(tickets), markers, path).awaitTermination()
+    assert rows(complete_tickets(spark, path)) == [(1, 2), (3, 1), (6, 2)]
 
 
 def test_state_of_completed_tickets_ends(spark, make, tmp_path):
-    """What is left in the end is the landings seen of the open ticket and their sum."""
+    """What is left in the end is the landings of the open ticket."""
     mark = "mdrepo-submission.completed.json"
     tickets = make("id long, irods_tickets string", *[(t, ";".join(f"MDRSubmit_{t}{c}:/{t}{c}" for c in "abc")) for t in range(20)], (99, "MDRSubmit_x:/x;MDRSubmit_y:/y;MDRSubmit_z:/z"))
     slices = [[*((f"/{t}{c}", mark, 5) for t in range(20) for c in "ab"), ("/x", mark, 5)], [(f"/{t}c", mark, 5) for t in range(20)], [("/y", mark, 5)], [("/none", mark, 5)]]
     markers = stream_of(spark, tmp_path, "collection string, name string, size int", slices)
-    out, held = [], []
-
-    def keep(df, _batch):
-        out.extend(r["ticket_id"] for r in df.collect())
-
-    stream = completion_stream(parse_tickets(tickets), markers, remember=dt.timedelta(milliseconds=1))
-    with settings(spark, {IDLE: "false"}):
-        query = stream.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).foreachBatch(keep).start()
-    query.awaitTermination()
-    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
-    assert sorted(out) == list(range(20))
-    assert held[0] >= 61 and held[-1] == 3
+    path = str(tmp_path / "told")
+    completion_stream(parse_tickets(tickets), markers, path).awaitTermination()
+    held = [spark.read.parquet(f"{path}/open/batch={k}").count() for k in range(4)]
+    assert held == [41, 1, 2, 2]
+    want = [(t, 3) for t in range(20)]
+    assert rows(complete_tickets(spark, path)) == sorted(want, key=str)
+    # A batch that runs again, and markers listed again, change nothing.
+    again = spark.createDataFrame(slices[1], "collection string, name string, size int")
+    for batch in (1, 4):
+        take_markers(again, batch, path)
+    assert rows(complete_tickets(spark, path)) == sorted(want, key=str)
+    assert spark.read.parquet(f"{path}/open/batch=4").count() == 2
 
 
 def test_outcomes(spark, tmp_path):
