@@ -8,25 +8,45 @@ from pyspark.sql import functions as F
 from simquarry.session import freeze
 
 
+def _roots(near: DataFrame) -> DataFrame:
+    """Labels of (member, label) followed to their end; members that are their own label are left out.
+
+    The label of a member is never greater than the member, so the way ends.  Each
+    round follows the label of a label, so that its reach doubles.
+    """
+    at = near.where("label <> member")
+    while True:
+        onward = at.select(F.col("member").alias("label"), F.col("label").alias("far"))
+        moved = freeze(at.join(onward, "label", "left").select("member", F.coalesce("far", "label").alias("label"), F.col("far").isNotNull().alias("moved")))
+        at = moved.select("member", "label")
+        if moved.where("moved").isEmpty():
+            return at
+
+
 def connected(pairs: DataFrame) -> DataFrame:
     """(member, component) of every member of ``pairs`` (member, key): the least member it is tied to.
 
-    Members of a key are tied, and so on.  Each round hands the least label of a
-    key to its members and then follows labels one step, so that their reach
-    doubles; it ends when nothing changes.  A round is a written table, and a key
-    with many members is only ever aggregated and joined, never collected.
-    Members without a key are their own.
+    Members of a key are tied, and so on.  Each round ties a member to the least one
+    of its keys and follows these ties to their roots; then a root stands for its
+    members, and only keys that still have two go on, so that rounds shrink fast.  A
+    round is a written table, and a key with many members is only ever aggregated and
+    joined, never collected.  Members without a key are their own.
     """
-    shared = pairs.where("key is not null").groupBy("key").agg(F.min("member").alias("least"), F.max("member").alias("most")).where("least <> most")
-    tied = freeze(pairs.join(shared.select("key"), "key", "left_semi").select("member", "key").distinct())
-    rows = tied.withColumn("label", F.col("member"))
+    rows = pairs.where("key is not null").select("member", "key")
+    rounds: list[DataFrame] = []
     while True:
-        by_key = rows.groupBy("key").agg(F.min("label").alias("least"))
-        near = freeze(rows.join(by_key, "key").groupBy("member").agg(F.min("least").alias("label"), F.first("label").alias("old")))
-        if near.where("label <> old").isEmpty():
+        shared = rows.groupBy("key").agg(F.min("member").alias("least"), F.max("member").alias("most")).where("least <> most")
+        tied = freeze(rows.join(shared.select("key", "least"), "key"))
+        if tied.isEmpty():
             break
-        onward = near.select(F.col("member").alias("label"), F.col("label").alias("far"))
-        rows = tied.join(near.join(onward, "label").select("member", F.col("far").alias("label")), "member")
-    labels = near.select("member", "label")
+        roots = _roots(tied.groupBy("member").agg(F.min("least").alias("label")))
+        rounds.append(roots)
+        rows = tied.join(roots, "member", "left").select(F.coalesce("label", "member").alias("member"), "key")
     everyone = pairs.select("member").distinct()
+    if not rounds:
+        return everyone.select("member", F.col("member").alias("component"))
+    labels = rounds.pop()
+    for roots in reversed(rounds):
+        later = labels.select(F.col("member").alias("label"), F.col("label").alias("far"))
+        labels = labels.unionByName(roots.join(later, "label", "left").select("member", F.coalesce("far", "label").alias("label")))
     return everyone.join(labels, "member", "left").select("member", F.coalesce("label", "member").alias("component"))

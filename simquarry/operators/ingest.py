@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegralType, LongType, StringType, StructField, StructType
 
 from simquarry.functions import fixed_values as fv
 from simquarry.functions import rules, text
@@ -221,7 +221,12 @@ def resolve_simulations(imports: DataFrame, sim: DataFrame) -> DataFrame:
     order, in as many tasks as there are partitions.  New simulations get ids
     after the greatest, in the order of the documents that make them.
     """
-    text_of = lambda kind, c: F.concat(F.lit(f"{kind}:"), c.cast("string"))
+    # Members and keys are numbers, which are narrow to shuffle: two that meet by
+    # chance only put more documents into one fold, which goes by the values.
+    id_type = imports.schema["doc"].dataType
+    number = F.col("doc").cast("long") if isinstance(id_type, IntegralType) else F.when(F.col("doc").isNotNull(), F.xxhash64("doc"))
+    of_doc, of_sim = F.shiftleft(number, 1), lambda c: F.shiftleft(c, 1).bitwiseOR(F.lit(1))
+    hashed = lambda kind, c: F.when(c.isNotNull(), F.xxhash64(F.lit(kind), c))
     named_alias = lambda owner, alias: F.when(~blank(alias), F.concat(owner.cast("string"), F.lit(":"), alias))
     given = F.coalesce("simulation_id", F.lit(0)) != 0
     known = sim.select(F.col("id").cast("long").alias("__sim"), F.lit(True).alias("__exists"))
@@ -231,25 +236,27 @@ def resolve_simulations(imports: DataFrame, sim: DataFrame) -> DataFrame:
     )
     # Only documents that give an id go through the join on it.
     free, bound = docs.where("__sim is null"), docs.where("__sim is not null").join(known, "__sim", "left")
-    valid = freeze(free.unionByName(bound.where("__exists").drop("__exists")).withColumn("member", text_of("d", F.col("doc"))))
+    valid = freeze(free.unionByName(bound.where("__exists").drop("__exists")).withColumn("member", of_doc))
     invalid = bound.where("__exists is null").select("doc")
     sims = sim.select(
-        F.lit(None).cast(imports.schema["doc"].dataType).alias("doc"), F.col("id").cast("long").alias("__sim"),
+        F.lit(None).cast(id_type).alias("doc"), F.col("id").cast("long").alias("__sim"),
         named_alias(F.col("created_by_id"), F.col("alias")).alias("__alias"),
-        F.col("unique_file_hash_string").cast("string").alias("__hash"), text_of("s", F.col("id")).alias("member"),
+        F.col("unique_file_hash_string").cast("string").alias("__hash"), of_sim(F.col("id").cast("long")).alias("member"),
     )
-    keys = F.array_compact(F.array(text_of("s", F.col("__sim")), text_of("a", F.col("__alias")), text_of("h", F.col("__hash"))))
+    keys = F.array_compact(F.array(of_sim(F.col("__sim")), hashed("a", F.col("__alias")), hashed("h", F.col("__hash"))))
     of_docs = valid.select("member", F.explode_outer(keys).alias("key"))
     # A simulation that one document may find ties all its keys together.
     hit = sims.select("member", F.explode(keys).alias("key")).join(of_docs.select("key").distinct(), "key", "left_semi").select("member").distinct()
     met = freeze(sims.join(hit, "member", "left_semi"))
     tied = connected(of_docs.unionByName(met.select("member", F.explode(keys).alias("key"))))
-    doc_type = imports.schema["doc"].dataType
-    told = StructType([StructField("doc", doc_type), StructField("step", StringType()), StructField("sim_id", LongType()), StructField("made_by", doc_type)])
+    told = StructType([StructField("doc", id_type), StructField("step", StringType()), StructField("sim_id", LongType()), StructField("made_by", id_type)])
     decided = freeze(fold(valid.unionByName(met).join(tied, "member"), "component", ["doc"], _Simulations, told))
     first = _max_id(sim, "id")
     made = number_rows(decided.where("step = 'new'").select("doc"), ["doc"], "__no").select(F.col("doc").alias("made_by"), (F.col("__no") + first).alias("__new"))
-    ids = decided.join(made, "made_by", "left").select("doc", "step", F.coalesce("sim_id", "__new").alias("sim_id"))
+    # Documents of a simulation that was there have no maker and skip the join.
+    ids = decided.where("made_by is null").select("doc", "step", "sim_id").unionByName(
+        decided.where("made_by is not null").join(made, "made_by").select("doc", "step", F.col("__new").alias("sim_id"))
+    )
     every = ids.unionByName(invalid.select("doc", F.lit("invalid").alias("step"), F.lit(None).cast("long").alias("sim_id")))
     return imports.join(every, "doc")
 
