@@ -55,8 +55,7 @@ def compare_molecules(pairs: DataFrame) -> DataFrame:
 def level_key(canonical: Column, inchi: Column, level: str) -> Column:
     """Text that is equal for molecules that match at a level; NULL if the
     molecule matches nothing there."""
-    layers = rules.inchi_layers(inchi)
-    conn = F.nullif(layer(layers, "c"), F.lit(""))
+    conn = F.nullif(rules.inchi_layer(inchi, "c"), F.lit(""))
     if level == "exact":
         return canonical
     if level == "inchi":
@@ -64,7 +63,7 @@ def level_key(canonical: Column, inchi: Column, level: str) -> Column:
     if level == "connectivity":
         return conn
     if level == "stereo":
-        return F.when(conn.isNotNull(), F.concat_ws("/", *[layer(layers, k) for k in _STEREO]))
+        return F.when(conn.isNotNull(), F.concat_ws("/", *[rules.inchi_layer(inchi, k) for k in _STEREO]))
     raise ValueError(f"unknown level {level!r}")
 
 

@@ -1,9 +1,13 @@
 """Residues, sequences, chains, sibling files and trajectories."""
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from simquarry.functions import rules
 from simquarry.operators import molecules, structure, trajectory
 
 
@@ -311,3 +315,17 @@ def test_checked_batch(make):
     df = make("b int, pos int, smiles string, ok boolean", (1, 0, "C", True), (1, 1, "N", True), (2, 0, "C", True), (2, 1, "Q", False), (2, 2, "W", None))
     good, bad = molecules.checked_batch(df, "b", "pos", "smiles", F.col("ok"))
     assert rows(good, "b", "pos") == [(1, 0), (1, 1)] and rows(bad) == [(2, "Q", 1)]
+
+
+def test_layer_by_letter_equals_the_map(make):
+    odd = ["InChI=1S/CH4/c1-2/h1H/t1-/c9", "InChI=1S/X", "InChI=1S", "", "c1/c2/c3", "a/b/+1/-2/p3/C4/c5", "InChI=1S/C1//c/t2", None]
+    df = make("inchi string", *[(x,) for x in odd])
+    layers = rules.inchi_layers(F.col("inchi"))
+    same = [rules.layer(layers, k) == rules.inchi_layer(F.col("inchi"), k) for k in "ctbmhq"]
+    assert df.where(~reduce(and_, same)).count() == 0 and df.count() == len(odd)
+
+
+def test_keys_of_molecules_build_no_map(make):
+    mols = make("mol_id long, canonical string, inchi string", (1, "a", "InChI=1S/X/c1/t1-"))
+    plan = molecules.identity_groups(mols, "stereo")._jdf.queryExecution().toString()
+    assert "map_from_entries" not in plan
