@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from simquarry.session import spread
+
 OUT_ROWS = 10_000
 ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
 
@@ -50,7 +52,7 @@ def fold(rows: DataFrame, group: str, order: Sequence[str], start: Callable[[Any
             out += state.finish()
         yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    return rows.repartition(group).sortWithinPartitions(group, *order).mapInArrow(run, schema)
+    return spread(rows, group).sortWithinPartitions(group, *order).mapInArrow(run, schema)
 
 
 class Bearers:
