@@ -37,8 +37,10 @@ SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N
 # are split by the tokenizer itself.
 PLAIN = re.compile(r"[\x00-\u024f]*")
 
-MAX_WORDS = 500_000  # words that a worker remembers before it starts anew
-MAX_BYTES = 64 << 20  # and their bytes
+MAX_WORDS = 100_000  # words that a worker remembers before it forgets those not in its batch
+MAX_BYTES = 16 << 20  # and their bytes
+MAX_PAIRS = 250_000  # pairs of tokens that it remembers before it starts anew
+BATCH = 1 << 20  # bytes of text that are encoded at once
 
 
 def byte_letters() -> dict[str, int]:
@@ -72,7 +74,7 @@ class Vocabulary:
         # Only tokens that merging their own bytes yields can occur.
         self.ids = {s: i for s, i in every.items() if self.merge(s) == [i]}
         self.longest = max(map(len, self.ids))
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.tokenizer = Tokenizer.from_file(self.path)
         self.text_of = self.bytes_of | {i: s.encode() for s, i in self.special.items()}
 
@@ -87,9 +89,12 @@ class Vocabulary:
         return ids
 
     def may_follow(self, a: int, b: int) -> bool:
-        known = self.follows.get((a, b))
+        pair = a << 32 | b
+        known = self.follows.get(pair)
         if known is None:
-            known = self.follows[a, b] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            if len(self.follows) >= MAX_PAIRS:
+                self.follows.clear()
+            known = self.follows[pair] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return known
 
 
@@ -110,8 +115,9 @@ class WordTrie:
         """Learn the encodings of ``words``."""
         new = sorted((w.encode(), w) for w in words if w not in self.known)
         if len(self.known) + len(new) > MAX_WORDS or self.size > MAX_BYTES:
-            self.known, self.size = {}, 0
-            new = sorted((w.encode(), w) for w in words)
+            # A worker outlives its tasks: what recurs stays, words of one batch only go.
+            self.known = {w: self.known[w] for w in words if w in self.known}
+            self.size = sum(len(w.encode()) for w in self.known)
         last: list[int] = []  # last token of each prefix, from length 1
         span: list[int] = []  # and its number of bytes
         before = b""
@@ -162,7 +168,7 @@ class Encoder:
     def _learn(self, chunks: set[str]) -> None:
         new = chunks - self.known.keys()
         if len(self.known) + len(new) > MAX_WORDS:
-            self.known, new = {}, chunks
+            self.known = {c: self.known[c] for c in chunks if c in self.known}
         split = {c: self.words(c) for c in new}
         self.trie.add({w for words in split.values() for w in words})
         for c, words in split.items():
@@ -228,7 +234,7 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFra
     schema = docs.select(*keep, F.lit(None).cast("array<int>").alias("ids")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, "__text", BATCH):
             texts = [t or "" for t in batch.column("__text").to_pylist()]
             ids = id_lists(list(encoder(path).encode_batch(texts)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], names=[*keep, "ids"])
@@ -258,7 +264,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", BATCH):
             counts, ids_hex, texts_hex = [], [], []
             for ids in own.encode_batch([t or "" for t in batch.column("text").to_pylist()]):
                 counts.append(len(ids) // 4)

@@ -49,7 +49,7 @@ class _Hashes(dict):
     """Hash of a word, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -101,6 +101,22 @@ def _differing(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(narrow ^ folded).sum())
 
 
+def _often(sets: dict[int, np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in ``least`` sets or more, and in how many; ``sets`` is emptied.
+
+    The shingles of a batch are held once, and counted where a run begins.
+    """
+    token = np.concatenate(list(sets.values()))
+    sets.clear()
+    token.sort()
+    if len(token) < least:
+        return token[:0], np.empty(0, np.int64)
+    begins = token[: len(token) - least + 1] == token[least - 1 :]
+    begins[1:] &= token[1 : len(begins)] != token[: len(begins) - 1]
+    at = np.flatnonzero(begins)
+    return token[at], np.searchsorted(token, token[at], "right") - at
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -116,8 +132,8 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
         for batch in slices(batches, "text", 16 << 20):
             ids = batch.column("doc_id").to_pylist()
             node, n, bits, wide, once = [], [], np.zeros((len(ids), LONGS), np.int64), [], {}
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                s = shingles(text, hashes, size)
+            for i, text in enumerate(batch.column("text")):
+                s = shingles(text.as_py(), hashes, size)
                 n.append(len(s))
                 node.append(_key(s) if len(s) else None)
                 wide.append(_wide_bitmap(s) if len(s) else None)
@@ -127,10 +143,9 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
             none = pa.nulls(len(ids), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int64()), *(pa.array(bits[:, k]) for k in range(LONGS)), none, none, pa.array(wide, pa.binary())], schema=arrow)
             if once:
-                token, seen = np.unique(np.concatenate(list(once.values())), return_counts=True)
-                often = seen >= max(2, len(once) // FREQUENT)
-                none = pa.nulls(int(often.sum()), pa.int64())
-                yield pa.RecordBatch.from_arrays([*[none] * (3 + LONGS), pa.array(_signed(token[often])), pa.array(seen[often]), pa.nulls(len(none), pa.binary())], schema=arrow)
+                token, seen = _often(once, max(2, len(once) // FREQUENT))
+                none = pa.nulls(len(token), pa.int64())
+                yield pa.RecordBatch.from_arrays([*[none] * (3 + LONGS), pa.array(_signed(token)), pa.array(seen), pa.nulls(len(none), pa.binary())], schema=arrow)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
@@ -158,8 +173,8 @@ def _prefixes(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarr
         tokens, seen = shared.value
         for batch in slices(batches, "text", 16 << 20):
             once: dict[int, np.ndarray] = {}
-            for text in batch.column("text").to_pylist():
-                s = shingles(text, hashes, size)
+            for text in batch.column("text"):
+                s = shingles(text.as_py(), hashes, size)
                 if len(s) and (key := _key(s)) not in once:
                     once[key] = least(s, tokens, seen)
             if once:

@@ -31,6 +31,32 @@ def empty(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
 
 
+def test_memory_of_an_encoder_is_bounded(monkeypatch):
+    """It outlives its tasks: pairs and words beyond the bounds go, those of the batch stay, and ids are the same."""
+    for name, most in (("MAX_WORDS", 60), ("MAX_PAIRS", 40)):
+        monkeypatch.setattr(bpe, name, most, raising=False)
+    rnd = random.Random(3)
+    batches = [[" ".join(["the same words", *("".join(rnd.choices("etaoinshr", k=9)) for _ in range(20))])] for _ in range(12)]
+    own, library = bpe.Encoder(BYTE), Tokenizer.from_file(BYTE)
+    own.voc.follows.clear()
+    for k, texts in enumerate(batches):
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_batch(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(own.voc.follows) <= 40
+        assert max(len(own.known), len(own.trie.known)) <= 60
+        assert not k or " same" in own.known
+
+
+def test_shingles_counted_in_place():
+    rnd = np.random.default_rng(5)
+    for least in (2, 3, 7):
+        sets = {k: np.unique(rnd.integers(0, 60, n).astype(np.uint64)) for k, n in enumerate((40, 1, 25, 50, 30, 3, 60))}
+        token, seen = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+        got = jaccard._often(sets, least)
+        assert got[0].tolist() == token[seen >= least].tolist() and got[1].tolist() == seen[seen >= least].tolist()
+        assert not sets
+    assert jaccard._often({1: np.array([4], np.uint64)}, 2)[0].tolist() == []
+
+
 def test_bpe_is_the_library(docs):
     library = Tokenizer.from_file(BYTE)
     got = bpe.encode(docs, BYTE, ["doc_id", "text"])
