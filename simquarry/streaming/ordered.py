@@ -8,19 +8,24 @@ long as no event is later than the declared lateness.
 
 from __future__ import annotations
 
+import pickle
+from collections import namedtuple
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
+from itertools import batched, chain
+from operator import itemgetter
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 # (state or None, event) -> (new state, rows to give out)
 Step = Callable[[Any, Row], tuple[Any, list[Row]]]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EPOCH = datetime(1970, 1, 1)
+PACK = 1000  # events of a key in one element of its state, and in one row given out
 
 
 def to_time(micros: int | None) -> datetime | None:
@@ -38,14 +43,23 @@ def _millis(micros: int) -> int:
 
 
 class _InOrder(StatefulProcessor):
-    def __init__(self, step: Step, events: StructType, state: StructType) -> None:
-        self.step, self.events, self.state = step, events, state
+    """Events of a key wait packed, up to ``PACK`` in one element, and rows go out as arrays of so many.
+
+    An element and a row cost far more than an event in them: each is turned from
+    Python to Java or back by itself.
+    """
+
+    def __init__(self, step: Step, events: StructType, state: StructType, output: StructType) -> None:
+        self.step, self.events, self.state, self.output = step, events, state, output
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.events)
+        self.waiting = handle.getListState("waiting", "packed binary")
         self.now = handle.getValueState("now", self.state)
         self.timer = handle.getValueState("timer", "at long")
+        names = self.events.fieldNames()
+        self.event = namedtuple("Event", names)._make
+        self.micros, self.place = itemgetter(names.index("micros")), itemgetter(names.index("micros"), names.index("seq"))
 
     def _call_at(self, at: int) -> None:
         """One timer a key, at the earliest event that waits."""
@@ -56,33 +70,51 @@ class _InOrder(StatefulProcessor):
             self.handle.registerTimer(at)
             self.timer.update((at,))
 
+    def _packed(self, rows: Iterator[tuple]) -> tuple[list[tuple[bytes]], int]:
+        """Elements of the state for these events, and the time of the first."""
+        packed, first = [], None
+        for part in batched(rows, PACK):
+            packed.append((pickle.dumps(part, pickle.HIGHEST_PROTOCOL),))
+            least = min(map(self.micros, part))
+            first = least if first is None else min(first, least)
+        return packed, _millis(first)
+
+    def _given(self, rows: list[Row]) -> Iterator[Row]:
+        names = self.output.fieldNames()
+        for part in batched(rows, PACK):
+            order = [part[0].__fields__.index(n) for n in names]
+            columns = list(zip(*part, strict=True))
+            yield Row(**{n: list(columns[k]) for n, k in zip(names, order, strict=True)})
+
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        names = self.events.fieldNames()
-        new = [tuple(r[n] for n in names) for r in rows]
-        self.waiting.appendList(new)
-        at = names.index("micros")
-        self._call_at(min(_millis(r[at]) for r in new))
+        first = next(rows)
+        pick = itemgetter(*(first.__fields__.index(n) for n in self.events.fieldNames()))
+        packed, at = self._packed(pick(tuple(r)) for r in chain((first,), rows))
+        self.waiting.appendList(packed)
+        self._call_at(at)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         self.timer.clear()
-        over = timerValues.getCurrentWatermarkInMs()
-        names = self.events.fieldNames()
-        held = [Row(*names)(*r) for r in self.waiting.get()]
-        ready = sorted((r for r in held if _millis(r.micros) <= over), key=lambda r: (r.micros, r.seq))
-        left = [r for r in held if _millis(r.micros) > over]
+        over = timerValues.getCurrentWatermarkInMs() * 1000
+        ready, left = [], []
+        for (packed,) in self.waiting.get():
+            for event in pickle.loads(packed):
+                (ready if self.micros(event) <= over else left).append(event)
+        ready.sort(key=self.place)
         state, out = self.now.get(), []
-        for event in ready:
+        for event in map(self.event, ready):
             state, given = self.step(state, event)
             out += given
         if ready:
             self.now.update(state)
         if left:
-            self.waiting.put([tuple(r) for r in left])
-            self._call_at(min(_millis(r.micros) for r in left))
+            packed, at = self._packed(left)
+            self.waiting.put(packed)
+            self._call_at(at)
         else:
             self.waiting.clear()
-        return iter(out)
+        return self._given(out)
 
     def close(self) -> None:
         pass
@@ -100,4 +132,7 @@ def in_order(events: DataFrame, key: str, step: Step, state: str, output: str, l
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("micros", F.unix_micros("ts")).withWatermark("ts", lateness)
     kept = StructType([f for f in timed.schema.fields if f.name != "ts"])
-    return timed.groupBy(key).transformWithState(_InOrder(step, kept, StructType.fromDDL(state)), StructType.fromDDL(output), "Append", "EventTime")
+    given = StructType.fromDDL(output)
+    arrays = StructType([StructField(f.name, ArrayType(f.dataType)) for f in given.fields])
+    out = timed.groupBy(key).transformWithState(_InOrder(step, kept, StructType.fromDDL(state), given), arrays, "Append", "EventTime")
+    return out.select(F.inline(F.arrays_zip(*given.fieldNames())))

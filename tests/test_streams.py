@@ -2,15 +2,18 @@
 
 import datetime as dt
 import random
+import types
 
 import pytest
+from pyspark.sql import Row
+from pyspark.sql.types import StructType
 
 from simquarry.operators.alerts import alerts, failure_episodes
 from simquarry.operators.bundles import latest_outcomes
 from simquarry.operators.intake import parse_tickets, settle_jobs
 from simquarry.streaming.alerts import _EMPTY, advance, alert_stream
 from simquarry.streaming.intake import complete_tickets, completion_stream, current_jobs, job_step, job_stream, outcome_stream, take_markers
-from simquarry.streaming import views
+from simquarry.streaming import ordered, views
 from simquarry.streaming.run import closing, drain
 
 T0 = dt.datetime(2024, 1, 1)
@@ -228,6 +231,70 @@ def test_jobs_in_batch_form(make, seed):
     assert settle_jobs(make(EVENTS, *events).where("false")).collect() == []
 
 
+class Held:
+    """State of one key, as a processor's handle gives it."""
+
+    def __init__(self):
+        self.value, self.items, self.timers = None, [], set()
+
+    def getListState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return Value()
+
+    def appendList(self, items):
+        self.items += items
+
+    def put(self, items):
+        self.items = list(items)
+
+    def get(self):
+        return iter(self.items)
+
+    def clear(self):
+        self.items = []
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+class Value:
+    value = None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+def test_events_wait_and_go_in_packs():
+    """2,500 events of a key are three elements of its state and three rows given out, in order."""
+    events, out = StructType.fromDDL("k long, seq long, micros long"), StructType.fromDDL("micros long, seq long, n int")
+    # Rows may name their fields in another order than the output.
+    counted = lambda state, e: (((state or (0,))[0] + 1,), [Row(seq=e.seq, n=(state or (0,))[0] + 1, micros=e.micros)])
+    held, over = Held(), types.SimpleNamespace(getCurrentWatermarkInMs=lambda: 2)
+    fold = ordered._InOrder(counted, events, StructType.fromDDL("n int"), out)
+    fold.init(held)
+    row = Row("micros", "k", "seq")
+    ready = [(m, s) for m in (0, 1, 1999, 2000) for s in range(625)]
+    mixed = random.Random(1).sample(ready, len(ready))
+    assert list(fold.handleInputRows((7,), iter([row(m, 7, s) for m, s in mixed]), None)) == []
+    assert list(fold.handleInputRows((7,), iter([row(2001, 7, 1)]), None)) == []
+    assert len(held.items) == 4 and held.timers == {0}
+    given = list(fold.handleExpiredTimer((7,), over, None))
+    assert len(given) == 3
+    assert [x for g in given for x in zip(g.micros, g.seq, g.n)] == [(m, s, k + 1) for k, (m, s) in enumerate(ready)]
+    assert len(held.items) == 1 and 3 in held.timers
+
+
 def test_job_rules():
     pending = ("pending", 1, 1, None, T0)
     minutes = lambda m: T0 + dt.timedelta(minutes=m)
