@@ -4,8 +4,9 @@ The last token of the encoding of a prefix is the one token that ends there and
 may follow the last token of what stands before it; so the states of a word are
 those of its prefix and one more.  The distinct words of a batch, in order, are
 a trie walked depth first: what two neighbours share is a path already on the
-stack, and is not computed again.  An encoding is read off the states from the
-end of the word back to its start.
+stack, and is not computed again.  The tokens that end at a prefix come from an
+automaton of all tokens (Aho-Corasick), whose state stands on the stack too.  An
+encoding is read off the states from the end of the word back to its start.
 
 Documents stay where they are: each task encodes the words of its own batches.
 """
@@ -20,7 +21,6 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -52,10 +52,9 @@ def byte_letters() -> dict[str, int]:
 
 @dataclass
 class Vocabulary:
-    """A byte-level BPE vocabulary: tokens by bytes, and ranks of merges."""
+    """A byte-level BPE vocabulary: ranks of merges, and the automaton of its tokens."""
 
     path: str
-    ids: dict[bytes, int] = field(default_factory=dict)
     ranks: dict[tuple[int, int], tuple[int, int]] = field(default_factory=dict)
     special: dict[str, int] = field(default_factory=dict)
 
@@ -71,9 +70,7 @@ class Vocabulary:
             self.ranks.setdefault((every[a], every[b]), (rank, every[a + b]))
         self.bytes_of = {i: s for s, i in every.items()}
         self.single = [every[bytes([b])] for b in range(256)]
-        # Only tokens that merging their own bytes yields can occur.
-        self.ids = {s: i for s, i in every.items() if self.merge(s) == [i]}
-        self.longest = max(map(len, self.ids))
+        self._automaton(self._parts())
         self.follows: dict[int, bool] = {}
         self.tokenizer = Tokenizer.from_file(self.path)
         self.text_of = self.bytes_of | {i: s.encode() for s, i in self.special.items()}
@@ -88,13 +85,86 @@ class Vocabulary:
             ids[best[2] : best[2] + 2] = [best[1]]
         return ids
 
+    def _parts(self) -> list[int]:
+        """Find the tokens that merging their own bytes yields, as only these can occur, and their last merges.
+
+        Where each merge comes after all that yield its parts, merges are made in
+        the order of their ranks, and two parts tell which merge of them is next.
+        """
+        size = max(self.bytes_of) + 1
+        latest = [-1] * size  # rank of the last merge that yields a token
+        for rank, joined in self.ranks.values():
+            latest[joined] = rank
+        self.ordered = all(max(latest[a], latest[b]) < rank for (a, b), (rank, _) in self.ranks.items())
+        self.made = [-1] * size  # rank of a token's last merge
+        self.left = [-1] * size  # and its two parts
+        self.right = [-1] * size
+        if not self.ordered:
+            return [i for i, s in self.bytes_of.items() if self.merge(s) == [i]]
+        found = set(self.single)
+        for (a, b), (rank, joined) in self.ranks.items():
+            if joined not in found and a in found and b in found and not self._crossed(a, b):
+                found.add(joined)
+                self.made[joined], self.left[joined], self.right[joined] = rank, a, b
+        return list(found)
+
+    def _crossed(self, a: int, b: int) -> bool:
+        """Whether some merge joins what lies on both sides of the border before ``a`` and ``b`` are there.
+
+        Their merges are taken back, the last first.  Of merges of one rank that on the left came first.
+        """
+        ranks, made, left, right = self.ranks, self.made, self.left, self.right
+        ra, rb = made[a], made[b]
+        while ra >= 0 or rb >= 0:
+            if ra > rb:
+                limit = ra
+                a = right[a]
+                ra = made[a]
+            else:
+                limit = rb + 1
+                b = left[b]
+                rb = made[b]
+            over = ranks.get((a, b))
+            if over is not None and over[0] < limit:
+                return True
+        return False
+
+    def _automaton(self, tokens: list[int]) -> None:
+        """The trie of ``tokens``, with the state of the longest suffix that is in it and the tokens that end, longest first."""
+        self.step: dict[int, int] = {}  # state and byte to state
+        self.size_of = [0] * (max(self.bytes_of) + 1)
+        token, edge, depth = array("q", [-1]), array("q", [0]), array("q", [0])
+        for i in sorted(tokens, key=self.bytes_of.__getitem__):
+            at = 0
+            for k, byte in enumerate(self.bytes_of[i], 1):
+                to = self.step.setdefault(at << 8 | byte, len(token))
+                if to == len(token):
+                    token.append(-1)
+                    edge.append(at << 8 | byte)
+                    depth.append(k)
+                at = to
+            token[at] = i
+            self.size_of[i] = depth[at]
+        self.shorter = array("q", [0]) * len(token)
+        self.ends: list[tuple[int, ...]] = [()] * len(token)
+        for at in np.argsort(depth, kind="stable")[1:].tolist():
+            up, byte = edge[at] >> 8, edge[at] & 255
+            if up:
+                up = self.shorter[up]
+                while (to := self.step.get(up << 8 | byte)) is None:
+                    up = self.shorter[up]
+                self.shorter[at] = to
+            rest = self.ends[self.shorter[at]]
+            self.ends[at] = rest if token[at] < 0 else (token[at], *rest)
+
     def may_follow(self, a: int, b: int) -> bool:
         pair = a << 32 | b
         known = self.follows.get(pair)
         if known is None:
             if len(self.follows) >= MAX_PAIRS:
                 self.follows.clear()
-            known = self.follows[pair] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            known = (a, b) not in self.ranks and not self._crossed(a, b) if self.ordered else self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            self.follows[pair] = known
         return known
 
 
@@ -113,31 +183,48 @@ class WordTrie:
 
     def add(self, words: set[str]) -> None:
         """Learn the encodings of ``words``."""
-        new = sorted((w.encode(), w) for w in words if w not in self.known)
+        new = sorted(words - self.known.keys())  # as their bytes would be
         if len(self.known) + len(new) > MAX_WORDS or self.size > MAX_BYTES:
             # A worker outlives its tasks: what recurs stays, words of one batch only go.
             self.known = {w: self.known[w] for w in words if w in self.known}
             self.size = sum(len(w.encode()) for w in self.known)
         last: list[int] = []  # last token of each prefix, from length 1
-        span: list[int] = []  # and its number of bytes
+        span: list[int] = []  # its number of bytes
+        states: list[int] = []  # and the state of the automaton
         before = b""
-        for raw, word in new:
-            keep = len(commonprefix((before, raw)))
-            del last[keep:], span[keep:]
-            self._extend(raw, last, span)
+        for word in new:
+            raw = word.encode()
+            keep = 0
+            for x, y in zip(before, raw, strict=False):
+                if x != y:
+                    break
+                keep += 1
+            del last[keep:], span[keep:], states[keep:]
+            self._extend(raw, last, span, states)
             self.known[word] = self._read(last, span)
             self.size += len(raw)
             before = raw
 
-    def _extend(self, raw: bytes, last: list[int], span: list[int]) -> None:
-        ids, may_follow, longest = self.voc.ids, self.voc.may_follow, self.voc.longest
-        for end in range(len(last) + 1, len(raw) + 1):
-            for begin in range(max(0, end - longest), end):
-                token = ids.get(raw[begin:end])
-                if token is not None and (begin == 0 or may_follow(last[begin - 1], token)):
-                    last.append(token)
-                    span.append(end - begin)
-                    break
+    def _extend(self, raw: bytes, last: list[int], span: list[int], states: list[int]) -> None:
+        voc = self.voc
+        step, shorter, ends, size_of, follows = voc.step.get, voc.shorter, voc.ends, voc.size_of, voc.follows.get
+        at = states[-1] if states else 0
+        for end in range(len(last), len(raw)):
+            byte = raw[end]
+            while (to := step(at << 8 | byte)) is None:
+                at = shorter[at]
+            at = to
+            for token in ends[at]:
+                size = size_of[token]
+                if size <= end:
+                    before = last[end - size]
+                    fits = follows(before << 32 | token)
+                    if not (voc.may_follow(before, token) if fits is None else fits):
+                        continue
+                last.append(token)
+                span.append(size)
+                states.append(at)
+                break
 
     @staticmethod
     def _read(last: list[int], span: list[int]) -> bytes:
@@ -169,10 +256,12 @@ class Encoder:
         new = chunks - self.known.keys()
         if len(self.known) + len(new) > MAX_WORDS:
             self.known = {c: self.known[c] for c in chunks if c in self.known}
-        split = {c: self.words(c) for c in new}
+        # Letters with or without a blank before them are one word.
+        split = {c: (c,) if c.isalpha() or (c[0] == " " and c[1:].isalpha()) else self.words(c) for c in new}
         self.trie.add({w for words in split.values() for w in words})
+        find = self.trie.known.__getitem__
         for c, words in split.items():
-            self.known[c] = b"".join(map(self.trie.known.__getitem__, words))
+            self.known[c] = find(words[0]) if len(words) == 1 else b"".join(map(find, words))
 
     def _whole(self, text: str) -> bytes:
         """For texts beyond ``PLAIN``: the tokenizer splits, the trie encodes."""

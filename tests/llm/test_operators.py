@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -46,6 +47,54 @@ def test_memory_of_an_encoder_is_bounded(monkeypatch):
         assert not k or " same" in own.known
 
 
+def test_pairs_of_tokens_need_no_merging(monkeypatch):
+    """The last merges of two tokens tell whether one may follow the other; the bytes of neither are merged again."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("etaoinshrdlu'.,éß日", k=rnd.randrange(1, 12))) for _ in range(3000)] + ["a" * k for k in range(1, 40)] + ["=" * 300, "\u0301" * 50]
+    own, library = bpe.Encoder(BYTE), Tokenizer.from_file(BYTE)
+    own.voc.follows.clear()
+    with monkeypatch.context() as m:
+        m.setattr(bpe.Vocabulary, "merge", lambda *_: pytest.fail("bytes are merged"))
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode_batch([" ".join(words), *words])]
+        bpe.Vocabulary(BYTE)
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in (" ".join(words), *words)]
+    voc = own.voc
+    tokens = sorted(i for x in set(voc.ends) for i in x)
+    for a, b in [*voc.ranks][::500] + [(rnd.choice(tokens), rnd.choice(tokens)) for _ in range(3000)]:
+        assert voc.may_follow(a, b) == (voc.merge(voc.bytes_of[a] + voc.bytes_of[b]) == [a, b]), (a, b)
+
+
+@pytest.mark.parametrize(
+    "merges",
+    [
+        ["ab c", "a b", "b c", "c a", "bc a", "c ab"],  # a merge before the one that yields its part
+        ["a b", "b c", "ab c", "a bc", "abc abc", "c c", "cc c", "a a", "aa aa", "aa a"],  # two ways to one token
+        ["a a", "aa aa", "aaaa a", "b a", "aa b", "c b", "b b"],
+    ],
+)
+def test_vocabularies_of_few_merges(tmp_path, merges):
+    with open(BYTE, encoding="utf-8") as f:
+        model = json.load(f)
+    tokens = [*bpe.byte_letters(), *dict.fromkeys(m.replace(" ", "") for m in merges)]
+    model["added_tokens"] = []
+    model["model"]["vocab"] = {t: k for k, t in enumerate(tokens)}
+    model["model"]["merges"] = [m.split(" ") for m in merges] if isinstance(model["model"]["merges"][0], list) else merges
+    path = str(tmp_path / "few.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(model, f)
+    own, library = bpe.Encoder(path), Tokenizer.from_file(path)
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choices("abc", k=rnd.randrange(1, 30))) for _ in range(2000)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_batch(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_letters_are_one_word():
+    """Chunks of letters are not put to the pattern: each character with others beside it is the library's."""
+    own, library = bpe.Encoder(BYTE), Tokenizer.from_file(BYTE)
+    texts = [f"{a}{chr(c)}{b}" for c in range(0x260) for a, b in (("", ""), ("a", "X"), (" ", "b"), (" 1", "'t"))]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_batch(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_shingles_counted_in_place():
     rnd = np.random.default_rng(5)
     for least in (2, 3, 7):
