@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N
 # are split by the tokenizer itself.
 PLAIN = re.compile(r"[\x00-\u024f]*")
 
-MAX_WORDS = 100_000  # words that a worker remembers before it forgets those not in its batch
-MAX_BYTES = 16 << 20  # and their bytes
+MAX_WORDS = 200_000  # words and chunks that a worker remembers; it forgets those not met for longest
+MAX_BYTES = 16 << 20  # and the size of these and their ids
 MAX_PAIRS = 250_000  # pairs of tokens that it remembers before it starts anew
 BATCH = 1 << 20  # bytes of text that are encoded at once
 
@@ -181,18 +182,37 @@ class WordTrie:
         self.known: dict[str, bytes] = {}
         self.size = 0
 
-    def add(self, words: set[str]) -> None:
-        """Learn the encodings of ``words``."""
-        new = sorted(words - self.known.keys())  # as their bytes would be
-        if len(self.known) + len(new) > MAX_WORDS or self.size > MAX_BYTES:
-            # A worker outlives its tasks: what recurs stays, words of one batch only go.
-            self.known = {w: self.known[w] for w in words if w in self.known}
-            self.size = sum(len(w.encode()) for w in self.known)
+    def use(self, words: set[str]) -> set[str]:
+        """Those of ``words`` that are not known.  The others become the last to be forgotten."""
+        known = self.known
+        new = words - known.keys()
+        for w in words - new:
+            known[w] = known.pop(w)
+        return new
+
+    def forget(self, stay: int, room: int) -> None:
+        """Make room for so many words.  A worker outlives its tasks: what is in use stays, the last ``stay``."""
+        known = self.known
+        over = len(known) + room - MAX_WORDS
+        if over <= 0 and self.size <= MAX_BYTES:
+            return
+        for w in list(islice(known, max(0, len(known) - stay))):
+            if over <= 0 and self.size <= MAX_BYTES:
+                break
+            self.size -= len(w) + len(known.pop(w))
+            over -= 1
+
+    def keep(self, word: str, ids: bytes) -> None:
+        self.known[word] = ids
+        self.size += len(word) + len(ids)
+
+    def add(self, new: set[str]) -> None:
+        """Learn the encodings of words that are not known."""
         last: list[int] = []  # last token of each prefix, from length 1
         span: list[int] = []  # its number of bytes
         states: list[int] = []  # and the state of the automaton
         before = b""
-        for word in new:
+        for word in sorted(new):  # as their bytes would be
             raw = word.encode()
             keep = 0
             for x, y in zip(before, raw, strict=False):
@@ -201,8 +221,7 @@ class WordTrie:
                 keep += 1
             del last[keep:], span[keep:], states[keep:]
             self._extend(raw, last, span, states)
-            self.known[word] = self._read(last, span)
-            self.size += len(raw)
+            self.keep(word, self._read(last, span))
             before = raw
 
     def _extend(self, raw: bytes, last: list[int], span: list[int], states: list[int]) -> None:
@@ -250,24 +269,27 @@ class Encoder:
         names = sorted(self.voc.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
+        # A word is split into itself, so words and chunks share one memory.
+        self.known = self.trie.known
 
     def _learn(self, chunks: set[str]) -> None:
-        new = chunks - self.known.keys()
-        if len(self.known) + len(new) > MAX_WORDS:
-            self.known = {c: self.known[c] for c in chunks if c in self.known}
+        new = self.trie.use(chunks)
         # Letters with or without a blank before them are one word.
-        split = {c: (c,) if c.isalpha() or (c[0] == " " and c[1:].isalpha()) else self.words(c) for c in new}
-        self.trie.add({w for words in split.values() for w in words})
-        find = self.trie.known.__getitem__
+        split = {c: self.words(c) for c in new if not (c.isalpha() or (c[0] == " " and c[1:].isalpha()))}
+        words = {w for words in split.values() for w in words} | (new - split.keys())
+        ask = self.trie.use(words)
+        self.trie.forget(len(chunks) - len(new) + len(words) - len(ask), len(new | ask))
+        self.trie.add(ask)
+        find = self.known.__getitem__
         for c, words in split.items():
-            self.known[c] = find(words[0]) if len(words) == 1 else b"".join(map(find, words))
+            if len(words) > 1:
+                self.trie.keep(c, b"".join(map(find, words)))
 
     def _whole(self, text: str) -> bytes:
         """For texts beyond ``PLAIN``: the tokenizer splits, the trie encodes."""
         raw = (bytes(self.letters[c] for c in w) for w, _ in self.voc.tokenizer.pre_tokenizer.pre_tokenize_str(text))
         words = [w.decode() for w in raw]
-        self.trie.add(set(words))
+        self.trie.add(self.trie.use(set(words)))
         return b"".join(map(self.trie.known.__getitem__, words))
 
     def encode_batch(self, texts: list[str]) -> Iterator[bytes]:

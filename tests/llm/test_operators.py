@@ -47,6 +47,20 @@ def test_memory_of_an_encoder_is_bounded(monkeypatch):
         assert not k or " same" in own.known
 
 
+def test_an_encoder_forgets_what_it_has_not_met_for_longest(monkeypatch):
+    """Words of every second batch stay although the memory is full, also beside texts that go whole."""
+    monkeypatch.setattr(bpe, "MAX_WORDS", 60)
+    monkeypatch.setattr(bpe, "MAX_BYTES", 4000)
+    rnd = random.Random(5)
+    own, library = bpe.Encoder(BYTE), Tokenizer.from_file(BYTE)
+    for k in range(20):
+        texts = [f"now {'often' if k % 2 else 'seldom'} x{k}, don't", "日本語 " + "".join(rnd.choices("etaoin", k=9)), " ".join("".join(rnd.choices("etaoinshr", k=9)) for _ in range(8)), "now often's end", "z" * 200 * (k % 3)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_batch(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert own.trie.size == sum(len(w) + len(ids) for w, ids in own.known.items())
+        assert k < 2 or {" often", " seldom"} <= own.known.keys()
+        assert len(own.known) <= 70 and own.trie.size <= 6000
+
+
 def test_pairs_of_tokens_need_no_merging(monkeypatch):
     """The last merges of two tokens tell whether one may follow the other; the bytes of neither are merged again."""
     rnd = random.Random(4)
