@@ -33,10 +33,14 @@ LEAF, FAN = 16, 8
 BLOCK = 1024  # sets of a block in one task at once
 LONGS = 8  # of 64 bits in a bitmap
 FREQUENT = 1000  # a shingle in more than 1/FREQUENT of the sets is frequent
+PIECE = 1 << 19  # bytes of text that are split and hashed at once
+LONG_WORD = 64  # bytes; words up to this are hashed side by side
 MAX_FREQUENT = 500_000  # rows sent to all tasks at most; it orders shingles only
 
 BITS = [f"bits{k}" for k in range(LONGS)]
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k of eight bytes
+_LOWERED = bytes.maketrans(b"\t\n\v\f\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"     abcdefghijklmnopqrstuvwxyz")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -45,52 +49,98 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Hashes(dict):
-    """Hash of a word, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 100_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def shingles(text: str | None, hashes: dict, size: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles of a whole text.
-
-    Words stand between blanks, A-Z lowered.  Fewer than ``size`` words are one
-    shingle; none, or null, make the empty set.
+def _pieces(texts: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Texts of about ``PIECE`` bytes: the first one's number, all their bytes, and the bounds of each; null is empty."""
+    texts = texts.cast(pa.binary()).fill_null(b"")
+    _, ends, data = texts.buffers()
+    bounds = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    cuts = np.searchsorted(bounds[:-1], np.arange(bounds[0], bounds[-1] + 1, PIECE))
+    cuts = np.unique(np.r_[0, cuts, len(texts)]).tolist()
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        own = bounds[a : b + 1]
+        yield a, data.slice(own[0], own[-1] - own[0]).to_pybytes() if own[-1] > own[0] else b"", own - own[0]
+
+
+def _word_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word, eight bytes at a time; ``data`` has eight bytes more after the last."""
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    n = end - start
+    h = _mixed((eights[start] & _LOW[np.minimum(n, 8)]) + n.astype(np.uint64) * _MUL[0])
+    for k in range(8, LONG_WORD, 8):
+        more = np.flatnonzero(n > k)
+        if not len(more):
+            break
+        h[more] = _mixed((eights[start[more] + k] & _LOW[np.minimum(n[more] - k, 8)]) + h[more] * _MUL[1])
+    for i in np.flatnonzero(n > LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]])
+    return h
+
+
+def shingle_sets(data: bytes, bounds: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit hashes of the word shingles of whole texts, one text after the other, and the bounds of each.
+
+    Text i is ``data[bounds[i] : bounds[i + 1]]``.  Words stand between blanks,
+    A-Z lowered.  Fewer than ``size`` words are one shingle; none make the empty
+    set.  The texts are worked on side by side: nothing is done word by word
+    but for words of more than ``LONG_WORD`` bytes.
     """
-    words = (text or "").encode().lower().split()
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    if n < size:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)], np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    total = np.zeros(n - size + 1, np.uint64)
+    data = data.translate(_LOWERED) + b" " * 8
+    letter = np.frombuffer(data, np.uint8) != 32
+    first, last = letter.copy(), letter.copy()
+    np.greater(letter[1:], letter[:-1], out=first[1:])
+    np.greater(letter[:-1], letter[1:], out=last[:-1])
+    # A word ends with its text; the blanks at the end stand in for what is outside.
+    first[bounds[:-1]] = letter[bounds[:-1]]
+    last[bounds[1:] - 1] = letter[bounds[1:] - 1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    words = np.searchsorted(start, bounds)
+    h, n = _word_hashes(data, start, end), np.diff(words)
+
+    found = np.zeros(len(h), np.uint64)
+    windows = max(0, len(h) - size + 1)
     for k in range(size):
-        total = total * np.uint64(31) + h[k : n - size + 1 + k] * _MUL[k % len(_MUL)]
-    return np.unique(_mixed(total))
-
-
-def _key(s: np.ndarray) -> int:
-    """The node of a set: a hash of its hashes, as a signed 64-bit number."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s))).astype(np.int64))
-
-
-def _bitmap(s: np.ndarray) -> np.ndarray:
-    bits = np.zeros(64 * LONGS, bool)
-    bits[(s >> np.uint64(48)) % np.uint64(64 * LONGS)] = True
-    return np.packbits(bits).view(np.int64)
-
-
-def _wide_bitmap(s: np.ndarray) -> bytes:
-    """A bitmap with a power of two of bits, at least one for each shingle."""
-    width = max(512, 1 << (len(s) - 1).bit_length())
-    bits = np.zeros(width, bool)
-    bits[s & np.uint64(width - 1)] = True
-    return np.packbits(bits, bitorder="little").tobytes()
+        found[:windows] = found[:windows] * np.uint64(31) + h[k : windows + k] * _MUL[k % len(_MUL)]
+    found = _mixed(found)
+    inside = np.ones(len(h), bool)
+    for k in range(1, size):
+        inside[words[1:][n >= k] - k] = False
+    for i in np.flatnonzero((n > 0) & (n < size)).tolist():
+        a, b = words[i], words[i + 1]
+        found[a] = xxhash.xxh3_64_intdigest(b" ".join(data[x:y] for x, y in zip(start[a:b].tolist(), end[a:b].tolist(), strict=True)), seed=int(n[i]))
+        inside[a] = True
+    found = found[inside]
+    at = np.r_[0, np.cumsum(np.where(n < size, n > 0, n - size + 1))]
+    for a, b in zip(at.tolist(), at[1:].tolist(), strict=False):
+        found[a:b].sort()
+    new = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    new[at[:-1][n > 0]] = True
+    return found[new], np.r_[0, np.cumsum(new)][at]
+
+
+def _keys(s: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The node of each set: a hash of its hashes, as a signed 64-bit number."""
+    bounds, digest = at.tolist(), xxhash.xxh3_64_intdigest
+    return np.array([digest(s[a:b].tobytes(), seed=b - a) for a, b in zip(bounds, bounds[1:], strict=False)], np.uint64).view(np.int64)
+
+
+def _bitmaps(s: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A row of ``LONGS`` numbers for each set."""
+    n = np.diff(at)
+    bits = np.zeros((len(n), 64 * LONGS), bool)
+    bits[np.repeat(np.arange(len(n)), n), (s >> np.uint64(48)) % np.uint64(64 * LONGS)] = True
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
+def _wide_bitmaps(s: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A bitmap for each set with a power of two of bits, at least one for each shingle; null for the empty set."""
+    n = np.diff(at)
+    width = np.where(n > 0, np.maximum(512, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)), 0)
+    ends = np.r_[0, np.cumsum(width)]
+    bits = np.zeros(ends[-1], bool)
+    bits[np.repeat(ends[:-1], n) + (s & np.repeat((width - 1).astype(np.uint64), n)).astype(np.int64)] = True
+    valid = np.packbits(n > 0, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(n), [pa.py_buffer(x) for x in (valid, (ends // 8).astype(np.int32), np.packbits(bits, bitorder="little"))])
 
 
 def _differing(x: bytes, y: bytes) -> int:
@@ -128,20 +178,15 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     arrow = pa.schema([*((c, pa.int64()) for c in longs), ("wide", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in slices(batches, "text", 16 << 20):
-            ids = batch.column("doc_id").to_pylist()
-            node, n, bits, wide, once = [], [], np.zeros((len(ids), LONGS), np.int64), [], {}
-            for i, text in enumerate(batch.column("text")):
-                s = shingles(text.as_py(), hashes, size)
-                n.append(len(s))
-                node.append(_key(s) if len(s) else None)
-                wide.append(_wide_bitmap(s) if len(s) else None)
-                if len(s):
-                    bits[i] = _bitmap(s)
-                    once[node[-1]] = s
-            none = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int64()), *(pa.array(bits[:, k]) for k in range(LONGS)), none, none, pa.array(wide, pa.binary())], schema=arrow)
+            once: dict[int, np.ndarray] = {}
+            for first, data, bounds in _pieces(batch.column("text")):
+                s, at = shingle_sets(data, bounds, size)
+                n, node, bits = np.diff(at), _keys(s, at), _bitmaps(s, at)
+                none = pa.nulls(len(n), pa.int64())
+                ids = batch.column("doc_id").slice(first, len(n))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(node, mask=n == 0), pa.array(n), *(pa.array(bits[:, k]) for k in range(LONGS)), none, none, _wide_bitmaps(s, at)], schema=arrow)
+                once |= {node[i]: s[at[i] : at[i + 1]] for i in np.flatnonzero(n).tolist()}
             if once:
                 token, seen = _often(once, max(2, len(once) // FREQUENT))
                 none = pa.nulls(len(token), pa.int64())
@@ -158,29 +203,33 @@ def _prefixes(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarr
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     arrow = pa.schema([("token", pa.int64()), ("node", pa.int64())])
 
-    def least(s: np.ndarray, tokens: np.ndarray, seen: np.ndarray) -> np.ndarray:
-        take = len(s) - (percent * len(s) + 99) // 100 + 1
-        at = np.minimum(np.searchsorted(tokens, s), max(len(tokens) - 1, 0))
-        is_frequent = tokens[at] == s if len(tokens) else np.zeros(len(s), bool)
-        rare = s[~is_frequent]
-        if len(rare) >= take:
-            return rare[:take]
-        often, how = s[is_frequent], seen[at[is_frequent]]
-        return np.concatenate([rare, often[np.lexsort((often, how))][: take - len(rare)]])
+    def least(s: np.ndarray, at: np.ndarray, tokens: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chosen shingles of all sets, and for each the number of its set."""
+        n = np.diff(at)
+        take = n - (percent * n + 99) // 100 + (n > 0)
+        own = np.repeat(np.arange(len(n)), n)
+        where = np.minimum(np.searchsorted(tokens, s), max(len(tokens) - 1, 0))
+        is_rare = tokens[where] != s if len(tokens) else np.ones(len(s), bool)
+        before = np.r_[0, np.cumsum(is_rare)]
+        rare = np.diff(before[at])
+        chosen = is_rare & (before[1:] - before[at[:-1]][own] <= take[own])
+        for i in np.flatnonzero(rare < take).tolist():
+            often = at[i] + np.flatnonzero(~is_rare[at[i] : at[i + 1]])
+            chosen[often[np.lexsort((s[often], seen[where[often]]))][: take[i] - rare[i]]] = True
+        return s[chosen], own[chosen]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         tokens, seen = shared.value
         for batch in slices(batches, "text", 16 << 20):
-            once: dict[int, np.ndarray] = {}
-            for text in batch.column("text"):
-                s = shingles(text.as_py(), hashes, size)
-                if len(s) and (key := _key(s)) not in once:
-                    once[key] = least(s, tokens, seen)
-            if once:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(np.concatenate(list(once.values())))), pa.array(np.repeat(np.fromiter(once, np.int64, len(once)), [len(x) for x in once.values()]))], schema=arrow
-                )
+            known: set[int] = set()
+            for _, data, bounds in _pieces(batch.column("text")):
+                s, at = shingle_sets(data, bounds, size)
+                node = _keys(s, at)
+                token, own = least(s, at, tokens, seen)
+                # Of equal sets of a batch, the first.
+                once = np.zeros(len(node), bool)
+                once[[i for i, key in enumerate(node.tolist()) if not (key in known or known.add(key))]] = True
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(token[once[own]])), pa.array(node[own[once[own]]])], schema=arrow)
 
     return docs.select("text").mapInArrow(run, "token long, node long")
 
@@ -438,7 +487,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([squeeze((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())], names=["doc_id", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([squeeze(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.binary())], names=["doc_id", "packed"])
 
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(pack, "doc_id long, packed binary")
     return freeze(packed.join(broadcast_if_small(wanted), "doc_id").select("node", "packed"))
@@ -451,25 +500,38 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     with one id may differ) verifies nothing.
     """
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unpack = _Hashes(), zstandard.ZstdDecompressor().decompress
-        made: tuple[bytes, np.ndarray] = (b"", np.empty(0, np.uint64))
-
-        def full(packed: bytes) -> np.ndarray:
-            return shingles(unpack(packed).decode(), hashes, size)
+    def linked(rows: list[tuple[int, int, int, int]], whole: list[bytes]) -> pa.RecordBatch:
+        """Rows are a, b and the places of their texts in ``whole``."""
+        s, at = shingle_sets(b"".join(whole), np.r_[0, np.cumsum([len(t) for t in whole], dtype=np.int64)], size)
+        node, at, a, b, ok = _keys(s, at).tolist(), at.tolist(), [], [], []
+        for i, j, x, y in rows:
+            if node[x] == i and node[y] == j:
+                nx, ny = at[x + 1] - at[x], at[y + 1] - at[y]
+                both = np.concatenate([s[at[x] : at[x + 1]], s[at[y] : at[y + 1]]])
+                both.sort()
+                both = int(np.count_nonzero(both[1:] == both[:-1]))
+                a.append(i)
+                b.append(j)
+                ok.append(100 * both >= percent * (nx + ny - both))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
 
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            a, b, ok = [], [], []
+            rows, whole, packed, held = [], [], b"", 0
             for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y")), strict=True):
-                if made[0] != x:
-                    made = (x, full(x))
-                s, t = made[1], full(y)
-                if _key(s) == i and _key(t) == j:
-                    both = len(s) + len(t) - len(np.union1d(s, t))
-                    a.append(i)
-                    b.append(j)
-                    ok.append(100 * both >= percent * (len(s) + len(t) - both))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
+                if packed != x or not rows:
+                    packed, at = x, len(whole)
+                    whole.append(unpack(x))
+                    held += len(whole[-1])
+                whole.append(unpack(y))
+                held += len(whole[-1])
+                rows.append((i, j, at, len(whole) - 1))
+                if held >= PIECE:
+                    yield linked(rows, whole)
+                    rows, whole, held = [], [], 0
+            if rows:
+                yield linked(rows, whole)
 
     sent = texts.select(F.col("node").alias("b"), F.col("packed").alias("y")).join(broadcast_if_small(pairs), "b")
     near = texts.select(F.col("node").alias("a"), F.col("packed").alias("x")).join(broadcast_if_small(pairs.select("a").distinct()), "a", "left_semi")

@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +121,52 @@ def test_shingles_counted_in_place():
     assert jaccard._often({1: np.array([4], np.uint64)}, 2)[0].tolist() == []
 
 
+def shingle_lists(texts: list[str | None]) -> list[list[int]]:
+    out = []
+    for _, data, bounds in jaccard._pieces(pa.array([None, *texts, None], pa.string()).slice(1, len(texts))):
+        s, at = jaccard.shingle_sets(data, bounds)
+        out += [s[a:b].tolist() for a, b in zip(at, at[1:], strict=False)]
+    return out
+
+
+@pytest.mark.parametrize("piece", [1, 300, 1 << 19])
+def test_shingles_of_texts_side_by_side(monkeypatch, piece):
+    """Each different run of words has one hash of its own, whatever stands in the texts beside it."""
+    monkeypatch.setattr(jaccard, "PIECE", piece)
+    rnd = random.Random(3)
+    parts = ["a", "B", " ", "\t", "\n", "\x0b", "\x0c", "\0", "\x1c", "é", "\xa0", "\x85", "x" * 8, "y" * 31, "z" * 64, "q" * 65, "  "]
+    texts = [None, "", " ", "a", "A b", "a b\0", *("".join(rnd.choices(parts, k=rnd.randrange(60))) for _ in range(300)), "a b c d e " * 40, ""]
+    words = [(t or "").encode().lower().split() for t in texts]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()} for w in words]
+    single = sorted(set().union(*sets))
+    named = dict(zip(single, (x for (x,) in shingle_lists([b" ".join(s).decode() for s in single])), strict=True))
+    assert len(set(named.values())) == len(single)
+    assert shingle_lists(texts) == [sorted(named[x] for x in s) for s in sets]
+
+
+def test_shingles_without_a_call_for_each_word(monkeypatch):
+    calls, digest = [], jaccard.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(jaccard.xxhash, "xxh3_64_intdigest", lambda x, **k: calls.append(len(x)) or digest(x, **k))
+    texts = [" ".join(f"w{i}x{k}" for k in range(500)) for i in range(10)]
+    assert [len(s) for s in shingle_lists(texts)] == [496] * 10
+    assert len(calls) == 0
+
+
+def test_bitmaps_of_sets():
+    rnd = np.random.default_rng(1)
+    sets = [np.unique(rnd.integers(0, 1 << 64, n, np.uint64)) for n in (0, 1, 512, 513, 0, 2048, 7)]
+    s, at = np.concatenate(sets), np.r_[0, np.cumsum([len(x) for x in sets])]
+    narrow = jaccard._bitmaps(s, at)
+    for x, bits, wide in zip(sets, narrow, jaccard._wide_bitmaps(s, at).to_pylist(), strict=True):
+        assert np.flatnonzero(np.unpackbits(bits.view(np.uint8))).tolist() == sorted({int(v) >> 48 & 511 for v in x})
+        if not len(x):
+            assert wide is None
+            continue
+        width = max(512, 1 << (len(x) - 1).bit_length())
+        assert len(wide) * 8 == width
+        assert np.flatnonzero(np.unpackbits(np.frombuffer(wide, np.uint8), bitorder="little")).tolist() == sorted({int(v) % width for v in x})
+
+
 def test_bpe_is_the_library(docs):
     library = Tokenizer.from_file(BYTE)
     got = bpe.encode(docs, BYTE, ["doc_id", "text"])
