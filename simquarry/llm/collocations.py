@@ -42,19 +42,19 @@ def sieve(hashes: DataFrame) -> Callable[[Column], Column]:
     """Whether a hash may be among the column ``hash`` of ``hashes``, by one bit each.
 
     The bitmap has about 32 bits for each hash, and ``SIEVE_MAX`` at most (2 MB);
-    with so many hashes that it fills up, more passes and nothing is lost.
+    with so many hashes that it fills up, more passes and nothing is lost.  It is a
+    frozen table of one row, read by a subquery: as a literal its text would stand in
+    every plan, and the driver keeps several of them.
     """
     n = hashes.count()
     size = min(max(SIEVE_MIN, 1 << (32 * n).bit_length()), SIEVE_MAX) // 64
     word = lambda h: F.shiftrightunsigned(h, 6).bitwiseAND(size - 1).cast("int")
     bit = lambda h: h.bitwiseAND(63).cast("int")
     set_bit = F.expr("shiftleft(1L, cast(hash & 63 as int))")
-    rows = hashes.groupBy(word(F.col("hash")).alias("at")).agg(F.bit_or(set_bit).alias("bits")).collect()  # as many as words of the bitmap, at most
-    bits = [0] * size
-    for r in rows:
-        bits[r["at"]] = r["bits"]
-    bitmap = F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>")
-    return lambda h: F.getbit(bitmap[word(h)], bit(h)) == 1
+    blank = hashes.sparkSession.range(size).select(F.col("id").cast("int").alias("at"), F.lit(0).cast("long").alias("bits"))
+    rows = hashes.select(word(F.col("hash")).alias("at"), set_bit.alias("bits")).unionByName(blank).groupBy("at").agg(F.bit_or("bits").alias("bits"))  # a word of the bitmap each
+    bitmap = freeze(rows.agg(F.sort_array(F.collect_list(F.struct("at", "bits")))["bits"].alias("bitmap")))
+    return lambda h: F.getbit(bitmap.scalar()[word(h)], bit(h)) == 1
 
 
 def word_counts(cut: DataFrame, min_count: int) -> DataFrame:
@@ -89,12 +89,13 @@ def windows(cut: DataFrame, may_word: Callable[[Column], Column], may_pair: Call
     def good(k: int) -> Column:
         return _at(k + 1).isNotNull() & may_word(_hash(k + 1)) & may_pair(_pair(k))
 
-    first = cut.select("lang", "words", F.posexplode("words").alias("i", "w1")).where(_at(1).isNotNull() & may_word(_hash(0)) & good(0))
+    found = cut.select("lang", "words", F.posexplode("words").alias("i", "w1")).where(_at(1).isNotNull() & may_word(_hash(0)) & good(0))
     columns, goes_on = ["lang", "w1", _at(1).alias("w2")], F.lit(True)
     for k in range(1, longest - 1):
-        goes_on = goes_on & good(k)
+        found = found.withColumn(f"__{k}", goes_on & good(k))  # a column of its own, as each is needed by the next ones too
+        goes_on = F.col(f"__{k}")
         columns.append(F.when(goes_on, _at(k + 1)).alias(f"w{k + 2}"))
-    return first.select(*columns)
+    return found.select(*columns)
 
 
 def phrase_counts(found: DataFrame, longest: int, min_count: int) -> DataFrame:

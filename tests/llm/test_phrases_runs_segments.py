@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from simquarry.llm import collocations, runs, segment_bpe
 from simquarry.llm.queries import QUERIES, ORACLE
@@ -87,6 +88,19 @@ def test_a_full_sieve_loses_nothing(spark, monkeypatch):
     assert got == brute_phrases(rows, 5, 3, 2000, 100)
 
 
+def test_a_sieve_is_not_in_the_text_of_plans(spark, monkeypatch):
+    """The driver keeps the text of each plan, and a bitmap of 2 MB was in it a dozen times as a list of numbers."""
+    monkeypatch.setattr(collocations, "SIEVE_MIN", 1 << 20)
+    hashes = spark.range(500).select(F.xxhash64("id").alias("hash"))
+    may = collocations.sieve(hashes)
+    cut = collocations.pieces(spark.createDataFrame([("en", "a b c d e f")], "lang string, text string"))
+    found = collocations.windows(cut, may, may, 5)
+    assert len(found._jdf.queryExecution().toString()) < 100_000
+    passed = spark.range(2000).select("id", F.xxhash64("id").alias("hash")).where(may(F.col("hash")))
+    assert len(passed._jdf.queryExecution().toString()) < 10_000
+    assert 500 <= passed.count() < 510 and passed.where("id < 500").count() == 500
+
+
 def brute_runs(w, shortest):
     out = []
     for q in range(1, len(w) // 2 + 1):
