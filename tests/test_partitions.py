@@ -55,3 +55,10 @@ def test_folds_keep_their_partitions(make):
     out = folding.fold(rows, "k", ["at"], Last, rows.schema)
     assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(tuple(r) for r in out.collect()) == [(1, 2), (2, 5)]
+
+
+#: Sides that may be broadcast: refused tickets and bad simulations of j11, told by a product of sizes.
+@pytest.mark.parametrize(("name", "most"), [("j11_hold_back", 2)])
+def test_sides_that_grow_are_not_broadcast(spark, name, most):
+    """Spark takes files and inventories, made from the keys of a small table, for a hundredth of their size."""
+    assert QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") <= most
