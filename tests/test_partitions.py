@@ -58,7 +58,7 @@ def test_folds_keep_their_partitions(make):
 
 
 #: Sides that may be broadcast: refused tickets and bad simulations of j11, told by a product of sizes.
-@pytest.mark.parametrize(("name", "most"), [("j11_hold_back", 2), ("j9_verify_files", 0)])
+@pytest.mark.parametrize(("name", "most"), [("j11_hold_back", 2), ("j9_verify_files", 0), ("a26_purge_verdict", 0)])
 def test_sides_that_grow_are_not_broadcast(spark, name, most):
     """Spark takes files and inventories, made from the keys of a small table, for a hundredth of their size."""
     assert QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") <= most
